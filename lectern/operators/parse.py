@@ -10,20 +10,8 @@ from lectern.functions.ids import document_id
 from lectern.functions.text import content_hash, is_blank, normalize_text
 from lectern.sources.files import PAGED_TYPES, TEXT_TYPES
 
-# The version that is stored with every document, the columns of the documents table
-# in their order, and the wording of errors and placeholders.
+# The version that is stored with every document, the wording of errors and placeholders.
 PARSER_VERSION = "1.0.0"
-DOCUMENT_COLUMNS = [
-    "doc_id",
-    "source_path",
-    "text",
-    "hash",
-    "file_type",
-    "file_size_bytes",
-    "page_count",
-    "ingestion_timestamp",
-    "parser_version",
-]
 UNSUPPORTED = "Unsupported file type: "
 UNEXPECTED = "Unexpected error: "
 NO_EXTRACTOR = "no extractor for paged files"
@@ -146,14 +134,22 @@ def with_placeholder(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("text", text).where(~is_blank("text"))
 
 
-def to_documents(parsed: DataFrame, at: Column) -> DataFrame:
-    """Normalised rows of the documents table, with hash and id, before duplicates are removed."""
-    return (
-        successes(parsed)
-        .withColumn("text", normalize_text("text"))
-        .withColumn("hash", content_hash("text"))
-        .withColumn("doc_id", document_id("source_path", "hash"))
-        .withColumn("ingestion_timestamp", at)
-        .withColumn("parser_version", F.lit(PARSER_VERSION))
-        .select(*DOCUMENT_COLUMNS)
+def normalized(parsed: DataFrame) -> DataFrame:
+    """Parsed rows with their text normalised and its hash; both stay null for failures."""
+    text = F.when(F.col("parse_success"), normalize_text("text"))
+    return parsed.withColumn("text", text).withColumn("hash", content_hash("text"))
+
+
+def to_documents(ready: DataFrame, at: Column) -> DataFrame:
+    """Normalised rows as rows of the documents table, before duplicates are removed."""
+    return successes(ready).select(
+        document_id("source_path", "hash").alias("doc_id"),
+        "source_path",
+        "text",
+        "hash",
+        "file_type",
+        "file_size_bytes",
+        "page_count",
+        at.alias("ingestion_timestamp"),
+        F.lit(PARSER_VERSION).alias("parser_version"),
     )

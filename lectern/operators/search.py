@@ -2,46 +2,64 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.operators.filters import matches
 from lectern.operators.nearest import nearest
-from lectern.operators.rows import top_k
+from lectern.operators.rows import sized, top_k
+from lectern.session import stage
 
 # Fixed value: how many times k is fetched when filters are applied after the search.
 OVERFETCH = 10
 
 
 def with_metadata(found: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Result rows with the metadata of their vector; a vector without metadata keeps nulls."""
-    return found.join(metadata, "vec_id", "left")
+    """Result rows with the metadata of their vector; a vector without metadata keeps nulls.
+
+    The results are staged, so their size is known: when it is within the bound their ids are sent to
+    the scan of the metadata, and the texts of a large corpus are never shuffled for a few results.
+    """
+    found = stage(found, "found")
+    ids = found.select("vec_id").distinct()
+    needed = metadata.join(sized(ids), "vec_id", "left_semi")
+    return found.join(needed, "vec_id", "left")
+
+
+def _metadata(entries: DataFrame) -> DataFrame:
+    return entries.drop("embedding", "list_id")
 
 
 def search_prefiltered(
-    vectors: DataFrame, metadata: DataFrame, queries: DataFrame, k: int, filters: Mapping[str, object] | None
+    entries: DataFrame, queries: DataFrame, k: int, filters: Mapping[str, object] | None
 ) -> DataFrame:
-    """Exact filtered search: the k nearest among the vectors whose metadata match."""
-    if not filters:
-        return with_metadata(nearest(vectors, queries, k), metadata)
-    wanted = metadata.where(matches(metadata, filters))
-    kept = vectors.join(wanted.select("vec_id"), "vec_id", "left_semi")
-    return with_metadata(nearest(kept, queries, k), metadata)
+    """Exact filtered search: the k nearest among the entries whose metadata match.
+
+    ``entries`` holds vec_id, embedding and the metadata columns, so the filter is a scan predicate.
+    """
+    kept = entries.where(matches(entries, filters)).select("vec_id", "embedding")
+    return with_metadata(nearest(kept, queries, k), _metadata(entries))
 
 
 def search_postfiltered(
-    vectors: DataFrame, metadata: DataFrame, queries: DataFrame, k: int, filters: Mapping[str, object] | None
+    entries: DataFrame,
+    queries: DataFrame,
+    k: int,
+    filters: Mapping[str, object] | None,
+    candidates: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> DataFrame:
     """Filter after the search: among the 10 k nearest, those that match, at most k.
 
-    May give fewer than k rows where :func:`search_prefiltered` finds k.
+    May give fewer than k rows where :func:`search_prefiltered` finds k. ``candidates`` replaces the
+    exact search behind it.
     """
+    find = candidates or (lambda asked, n: nearest(entries.select("vec_id", "embedding"), asked, n))
     if not filters:
-        return with_metadata(nearest(vectors, queries, k), metadata)
-    wanted = metadata.where(matches(metadata, filters))
-    fetched = nearest(vectors, queries, k * OVERFETCH).drop("rank")
-    return top_k(fetched.join(wanted, "vec_id"), "query_id", [F.col("distance"), F.col("vec_id")], k)
+        return with_metadata(find(queries, k), _metadata(entries))
+    fetched = with_metadata(find(queries, k * OVERFETCH).drop("rank"), _metadata(entries))
+    matching = fetched.where(matches(fetched, filters))
+    return top_k(matching, "query_id", [F.col("distance"), F.col("vec_id")], k)
 
 
 def with_similarity(found: DataFrame) -> DataFrame:

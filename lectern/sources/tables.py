@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from lectern.operators.metrics import METRICS_SCHEMA
+
 
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores when the scan has fewer partitions than there are cores.
@@ -37,3 +42,20 @@ INDEX_METADATA = ["chunk_text", "doc_id", "source_path", "file_type", "chunk_ind
 def load_index_metadata(spark: SparkSession, path: str) -> DataFrame:
     """What search results carry of the chunk table."""
     return spark.read.parquet(path).select("chunk_id", *INDEX_METADATA)
+
+
+def if_stored(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """The table, or None when nothing has been written at its path yet."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def load_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Stored metrics rows of all stages; a folder that is not there gives no rows."""
+    reader = spark.read.schema(METRICS_SCHEMA).option("recursiveFileLookup", "true")
+    stored = if_stored(lambda: reader.json(path))
+    return spark.createDataFrame([], METRICS_SCHEMA) if stored is None else stored
