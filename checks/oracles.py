@@ -358,9 +358,8 @@ SELECT doc_id, source, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 300 AS
     "latest_checkpoint": """
 SELECT 'checkpoint_' || max(doc_id) AS latest, max(doc_id) AS number FROM documents WHERE lang = 'en'""",
     "term_frequency": f"""
-SELECT doc_id, token, count(*) AS term_count, any_value(total) AS total_tokens
-FROM (SELECT doc_id, unnest({terms("text")}) AS token, len({terms("text")}) AS total FROM documents)
-GROUP BY doc_id, token""",
+WITH {tfidf("documents", "doc_id", "text")}
+SELECT doc_id, token, c AS term_count, CAST(total AS BIGINT) AS total_tokens FROM unit_terms""",
     "document_frequency": f"""
 SELECT token, count(DISTINCT doc_id) AS df
 FROM (SELECT doc_id, unnest({terms("text")}) AS token FROM documents) GROUP BY token""",

@@ -211,15 +211,11 @@ def chunk_strategies(spark, sf_dir):
 
 @query
 def chunk_enrich(spark, sf_dir):
-    """Fixed chunks with the columns of their document and, where there is one, its label."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "source")
-    chunks = _chunks(spark, sf_dir).select("doc_id", "chunk_index", "token_count")
-    labelled = chunk.enrich_chunks(
-        chunk.enrich_chunks(chunks, docs, ["lang", "source"]),
-        table(spark, sf_dir, "labels"),
-        ["quality", "toxic"],
-    )
-    return plain(labelled)
+    """Fixed chunks with columns that ride along, and with their document's label where there is one."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "lang", "source", "text")
+    chunks = chunk.chunk_documents(docs, carry=["lang", "source"])
+    slim = chunks.select("doc_id", "chunk_index", "token_count", "lang", "source")
+    return plain(chunk.enrich_chunks(slim, table(spark, sf_dir, "labels"), ["quality", "toxic"]))
 
 
 # ---- duplicates, resume, order -------------------------------------------------------------------

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lectern.functions.arrays import run_lengths, run_starts
 from lectern.functions.text import tokens
 
 
@@ -20,19 +19,18 @@ def token_bucket(token: Column, dim: int) -> Column:
     return (digits % dim).cast("int")
 
 
-def token_buckets(text: Column | str, dim: int) -> Column:
-    """Sorted bucket of every token of a text."""
-    return F.sort_array(F.transform(tokens(text), lambda token: token_bucket(token, dim)))
+def padded_buckets(text: Column | str, dim: int) -> Column:
+    """Sorted buckets of all tokens of a text, and every bucket once more."""
+    buckets = F.transform(tokens(text), lambda token: token_bucket(token, dim))
+    return F.sort_array(F.concat(buckets, F.sequence(F.lit(0), F.lit(dim - 1))))
 
 
-def bucket_counts(sorted_buckets: Column) -> Column:
-    """Map from bucket to its number of tokens."""
-    return F.map_from_entries(run_lengths(sorted_buckets, run_starts(sorted_buckets), "bucket", "count"))
+def dense_counts(padded: Column, starts: Column) -> Column:
+    """array<float> of the number of tokens per bucket, from padded buckets and their run starts.
 
-
-def dense(counts: Column, dim: int) -> Column:
-    """array<float> of length ``dim`` with the counts at their buckets and 0 elsewhere."""
+    Every bucket has a run, one longer than its number of tokens.
+    """
     return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda bucket: F.coalesce(counts[bucket], F.lit(0)).cast("float"),
+        starts,
+        lambda start, i: (F.coalesce(F.get(starts, i + 1), F.size(padded)) - start - 1).cast("float"),
     )

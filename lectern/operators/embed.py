@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.functions.vectors import bucket_counts, dense, token_buckets
+from lectern.functions.arrays import run_starts
+from lectern.functions.vectors import dense_counts, padded_buckets
 from lectern.operators.dedup import not_yet_stored
 from lectern.operators.ordering import dense_index
 
@@ -22,9 +23,9 @@ EncoderFactory = Callable[[], Callable[[list], object]]
 
 def embed_hashed(df: DataFrame, text: str = "chunk_text", vector: str = "embedding", dim: int = HASHED_DIM) -> DataFrame:
     """The native encoder: token counts hashed into ``dim`` buckets, without leaving the JVM."""
-    hashed = df.withColumn("_buckets", token_buckets(text, dim))
-    counted = hashed.withColumn("_counts", bucket_counts(F.col("_buckets")))
-    return counted.withColumn(vector, dense(F.col("_counts"), dim)).drop("_buckets", "_counts")
+    padded = df.select("*", padded_buckets(text, dim).alias("_padded"))
+    cut = padded.select("*", run_starts(F.col("_padded")).alias("_starts"))
+    return cut.select(*df.columns, dense_counts(F.col("_padded"), F.col("_starts")).alias(vector))
 
 
 def embed_with(

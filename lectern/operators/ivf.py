@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.operators.nearest import nearest, nearest_in_lists
+from lectern.operators.nearest import nearest, nearest_in_lists, ranked
 from lectern.session import stage
 
 # Lists per vector, lists searched per query, training points per list.
@@ -108,4 +108,4 @@ def search(
     if len(named) <= FILTERED_LISTS:
         lists = lists.where(F.col("list_id").isin([row["list_id"] for row in named]))
     asked = queries.select("query_id", "query_vector").join(probed, "query_id")
-    return nearest_in_lists(lists, asked, k, list_bound=total, **options)
+    return ranked(nearest_in_lists(lists, asked, k, list_bound=total, **options), k)

@@ -95,17 +95,18 @@ def nearest(
     small = _small_side(queries, "query_id", "query_vector", broadcast_bytes)
     if small is not None:
         if not small[0]:
-            return _ranked(queries.sparkSession.createDataFrame([], schema), k)
-        return _ranked(_scan_vectors(vectors, small, k, schema), k)
+            return ranked(queries.sparkSession.createDataFrame([], schema), k)
+        return ranked(_scan_vectors(vectors, small, k, schema), k)
     small = _small_side(vectors, "vec_id", "embedding", broadcast_bytes)
     if small is not None:
         if not small[0]:
-            return _ranked(queries.sparkSession.createDataFrame([], schema), k)
+            return ranked(queries.sparkSession.createDataFrame([], schema), k)
         return _scan_queries(queries, small, k, schema)
-    return _ranked(_by_cells(vectors, queries, k, schema, cell_vectors, cell_queries), k)
+    return ranked(_by_cells(vectors, queries, k, schema, cell_vectors, cell_queries), k)
 
 
-def _ranked(candidates: DataFrame, k: int) -> DataFrame:
+def ranked(candidates: DataFrame, k: int) -> DataFrame:
+    """The k nearest candidates per query with their rank; ties by smaller id."""
     return top_k(candidates, "query_id", [F.col("distance"), F.col("vec_id")], k)
 
 
@@ -231,7 +232,7 @@ def nearest_in_lists(
     cell_vectors: int = CELL_VECTORS,
     cell_queries: int = CELL_QUERIES,
 ) -> DataFrame:
-    """Top k per query among the vectors that share a list with it.
+    """At most k (query_id, vec_id, distance) rows per query and cell, among the vectors of its lists.
 
     ``vectors`` has list_id, vec_id, embedding; ``queries`` has list_id, query_id, query_vector. A
     list that holds very many vectors or is asked by very many queries is salted on that side and the
@@ -262,4 +263,4 @@ def nearest_in_lists(
         F.explode(_numbers(F.col("_vector_salts"))).alias("cell"),
         F.pmod(F.xxhash64("query_id"), "_query_salts").alias("part"),
     )
-    return _ranked(nearest_in_cells(left, right, ["list_id", "cell", "part"], k, schema), k)
+    return nearest_in_cells(left, right, ["list_id", "cell", "part"], k, schema)

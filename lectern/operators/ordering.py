@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lectern.operators.rows import BROADCAST_ROWS
 from lectern.session import stage
 
 # Fixed value: rows per write batch.
@@ -49,10 +50,13 @@ def write_batches(df: DataFrame, key: str, batch_rows: int = BATCH_ROWS) -> Data
 
 
 def page_of_rows(df: DataFrame, key: str, offset: int, limit: int) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit - 1`` in key order, at any depth."""
+    """Rows ``offset`` to ``offset + limit - 1`` in key order, at any depth.
+
+    Only the keys are ordered; the rows of the page are then picked from the table by key.
+    """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
-    numbered = dense_index(df, key, "_position", "pages")
-    return numbered.where(
-        (F.col("_position") >= offset) & (F.col("_position") < offset + limit)
-    ).drop("_position")
+    numbered = dense_index(df.select(key), key, "_position", "pages")
+    page = numbered.where((F.col("_position") >= offset) & (F.col("_position") < offset + limit))
+    keys = F.broadcast(page.select(key)) if limit <= BROADCAST_ROWS else page.select(key)
+    return df.join(keys, key, "left_semi")
