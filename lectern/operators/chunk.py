@@ -192,4 +192,5 @@ def enrich_chunks(chunks: DataFrame, documents: DataFrame, columns: list[str]) -
     For chunks read from a table of their own. The document side has one row per id, so a document
     with very many chunks only makes the chunk side uneven, which adaptive execution splits.
     """
-    return chunks.join(documents.select("doc_id", *columns), "doc_id", "left")
+    known = documents.select("doc_id", *columns)
+    return chunks.join(known, "doc_id", "left").select(*chunks.columns, *columns)

@@ -20,7 +20,8 @@ def drop_duplicates(df: DataFrame, key: str, text_hash: str = "hash") -> DataFra
     The texts join the survivors on the unique key, so a text with very many copies never gathers
     them in one task.
     """
-    return df.join(survivors(df, key, text_hash).select(key), key, "left_semi")
+    kept = survivors(df, key, text_hash).select(key)
+    return df.join(kept, key, "left_semi").select(*df.columns)
 
 
 def duplicate_stats(df: DataFrame, text_hash: str = "hash") -> DataFrame:
@@ -36,7 +37,7 @@ def duplicate_stats(df: DataFrame, text_hash: str = "hash") -> DataFrame:
 def not_yet_stored(incoming: DataFrame, stored: DataFrame, keys: str | list[str] = "hash") -> DataFrame:
     """Incoming rows whose keys the stored table lacks; only the key columns of it are read."""
     keys = [keys] if isinstance(keys, str) else keys
-    return incoming.join(stored.select(*keys), keys, "left_anti")
+    return incoming.join(stored.select(*keys), keys, "left_anti").select(*incoming.columns)
 
 
 def changes(stored: DataFrame, incoming: DataFrame, key: str = "source_path", text_hash: str = "hash") -> DataFrame:

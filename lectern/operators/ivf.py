@@ -60,6 +60,8 @@ def train_centroids(vectors: DataFrame, lists: int, seed: int = 1, iterations: i
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
+    if lists == 1:
+        return _mean(vectors)
     total = vectors.count()
     wanted = lists * TRAINING_POINTS_PER_LIST
     points = vectors
@@ -72,6 +74,14 @@ def train_centroids(vectors: DataFrame, lists: int, seed: int = 1, iterations: i
     return vectors.sparkSession.createDataFrame(rows, "list_id int, centroid array<double>")
 
 
+def _mean(vectors: DataFrame) -> DataFrame:
+    """The only centroid of a single list: the mean vector."""
+    values = vectors.select(F.posexplode_outer("embedding").alias("at", "value")).where("at IS NOT NULL")
+    means = values.groupBy("at").agg(F.avg(F.col("value").cast("double")).alias("value"))
+    ordered = means.agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("_means"))
+    return ordered.select(F.lit(0).alias("list_id"), F.col("_means.value").alias("centroid"))
+
+
 def assign(vectors: DataFrame, centroids: DataFrame, **options: int) -> DataFrame:
     """(vec_id, list_id): the nearest centroid of every vector; ties by the smaller list."""
     lists = centroids.select(F.col("list_id").alias("vec_id"), F.col("centroid").alias("embedding"))

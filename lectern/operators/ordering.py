@@ -59,4 +59,4 @@ def page_of_rows(df: DataFrame, key: str, offset: int, limit: int) -> DataFrame:
     numbered = dense_index(df.select(key), key, "_position", "pages")
     page = numbered.where((F.col("_position") >= offset) & (F.col("_position") < offset + limit))
     keys = F.broadcast(page.select(key)) if limit <= BROADCAST_ROWS else page.select(key)
-    return df.join(keys, key, "left_semi")
+    return df.join(keys, key, "left_semi").select(*df.columns)

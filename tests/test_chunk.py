@@ -159,7 +159,8 @@ def test_uneven_chunks_are_split_when_joined(spark, folder):
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
         "spark.sql.files.maxPartitionBytes": "30k",
     }
