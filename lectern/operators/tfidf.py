@@ -12,13 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lectern.functions.arrays import run_lengths, run_starts
 from lectern.functions.text import tokens
 from lectern.operators.ordering import dense_index
-from lectern.operators.rows import BROADCAST_ROWS, explode_structs, fits_broadcast, sized, top_k
+from lectern.operators.rows import BROADCAST_ROWS, explode_structs, sized, top_k
 from lectern.session import stage
 
-# A token in more than one of this many (unit, token) rows is spread over several tasks; there can be
-# no more such tokens than this number, which bounds the list of them.
-HOT_SHARE = 1024
-
 # Similarities that agree to this many digits are ties: their last digits depend on the order in
 # which the parts are added.
 TIE_DIGITS = 9
@@ -60,29 +56,29 @@ def vocabulary(units: DataFrame, text: str = "text") -> DataFrame:
     return dense_index(document_frequency(units, text).select("token"), "token", "token_index", "vocabulary")
 
 
-def join_idf(terms: DataFrame, idf: DataFrame, spread: Column, broadcast: bool) -> DataFrame:
-    """Term rows with the idf columns of their token; unknown tokens vanish.
+def split_vocabulary(idf: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(frequent, rare): the most frequent tokens, at most ``rows`` of them, and the others if any.
 
-    A vocabulary within the bound is broadcast. A larger one is joined by shuffle, and there a frequent
-    token would fill one task with its rows. Its df is exactly the number of those rows, so tokens
-    above a 1/1024 share are known in advance and at most 1,024: both sides of each get a salt, which
-    cuts its rows into that many parts by ``spread``, an expression over the unit.
+    ``idf`` is a staged table. The border is a power of two, found in a histogram of at most 64 rows.
+    Most rows of a corpus belong to frequent tokens; broadcasting those keeps the rows in place, and
+    what remains to be shuffled is few rows, none of whose tokens holds more than ``2 / rows`` of all
+    rows, so that no token can crowd a task.
     """
-    if broadcast:
-        return terms.join(F.broadcast(idf), "token")
-    rows = idf.agg(F.sum("df").alias("_rows"))
-    hot = (
-        idf.crossJoin(F.broadcast(rows))  # one row
-        .where(F.col("df") * HOT_SHARE > F.col("_rows"))
-        .select("token", F.ceil(F.col("df") * HOT_SHARE / F.col("_rows")).cast("int").alias("_salts"))
-    )
-    hot = F.broadcast(hot)  # at most HOT_SHARE rows, since their df add up to at most all rows
-    parts = F.coalesce(F.col("_salts"), F.lit(1))
-    left = terms.join(hot, "token", "left").withColumn(
-        "_salt", F.pmod(F.xxhash64(spread), parts).cast("int")
-    )
-    right = idf.join(hot, "token", "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return left.drop("_salts").join(right.drop("_salts"), ["token", "_salt"]).drop("_salt")
+    bits = F.length(F.bin("df")).alias("bits")
+    histogram = idf.groupBy(bits).agg(F.count("*").alias("tokens")).collect()
+    counted, border = 0, None
+    for bits, tokens_ in sorted(histogram, reverse=True):
+        counted += tokens_
+        if counted > rows:
+            border = 1 << bits
+            break
+    if border is None:
+        return F.broadcast(idf), None
+    return F.broadcast(idf.where(F.col("df") >= border)), idf.where(F.col("df") < border)
+
+
+def _weight() -> Column:
+    return F.col("count") / F.col("total_tokens") * F.col("idf")
 
 
 def weights(
@@ -92,8 +88,12 @@ def weights(
 
     Tokens without an idf are dropped but still count in the unit's total.
     """
-    joined = join_idf(terms, idf, F.struct(*keys), fits_broadcast(idf, broadcast_rows))
-    return joined.select(*keys, "token", (F.col("count") / F.col("total_tokens") * F.col("idf")).alias("weight"))
+    frequent, rare = split_vocabulary(idf, broadcast_rows)
+    weighted = terms.join(frequent, "token")
+    if rare is not None:
+        rest = terms.join(F.broadcast(frequent.select("token")), "token", "left_anti")
+        weighted = weighted.unionByName(rest.join(rare, "token"))
+    return weighted.select(*keys, "token", _weight().alias("weight"))
 
 
 @dataclass(frozen=True)
@@ -110,15 +110,63 @@ def fit(units: DataFrame, text: str = "text") -> DataFrame:
     return stage(inverse_document_frequency(units, text), "idf")
 
 
-def vectors(units: DataFrame, idf: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+def vectors(
+    units: DataFrame,
+    idf: DataFrame,
+    keys: list[str],
+    text: str = "text",
+    *,
+    wanted: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """(keys, terms, norm): one sparse vector per unit with its Euclidean norm.
 
+    ``wanted`` is a table of tokens that the vectors are restricted to; the norms are of all tokens.
     A unit without any known token has no row; its similarity to everything is 0.
+
+    The terms of a unit stand in one task, so with a vocabulary within the bound a single row per
+    unit is shuffled. Beyond it, the unit's rare tokens travel in that row, are looked up by a
+    shuffle join on their own, and come back as one row per unit again.
     """
-    weighted = weights(term_frequency(units, keys, text), idf, keys)
-    return weighted.groupBy(*keys).agg(
-        F.collect_list(F.struct("token", "weight")).alias("terms"),
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
+
+    def marked(part: DataFrame) -> DataFrame:
+        if wanted is None:
+            return part.select("token", "idf", F.lit(True).alias("_wanted"))
+        flags = sized(wanted.select("token").distinct().withColumn("_wanted", F.lit(True)))
+        return part.join(flags, "token", "left").select("token", "idf", "_wanted")
+
+    def gathered(weighted: DataFrame, *more: Column) -> DataFrame:
+        kept = F.when(F.col("_wanted"), F.struct("token", "weight"))
+        return weighted.groupBy(*keys).agg(
+            F.sum(F.col("weight") * F.col("weight")).alias("_square"),
+            F.collect_list(kept).alias("terms"),
+            *more,
+        )
+
+    frequent, rare = split_vocabulary(idf, broadcast_rows)
+    terms = term_frequency(units, keys, text)
+    known = terms.join(F.broadcast(marked(frequent)), "token", "inner" if rare is None else "left")
+    known = known.withColumn("weight", _weight())
+    if rare is None:
+        return gathered(known).select(*keys, "terms", F.sqrt("_square").alias("norm"))
+
+    unknown = F.when(F.col("idf").isNull(), F.struct("token", "count", "total_tokens"))
+    whole = stage(gathered(known, F.collect_list(unknown).alias("_rest")), "units")
+    rest = explode_structs(whole, keys, F.col("_rest"), ["token", "count", "total_tokens"])
+    found = gathered(rest.join(marked(rare), "token").withColumn("weight", _weight()))
+    found = found.withColumnRenamed("_square", "_rest_square").withColumnRenamed("terms", "_rest_terms")
+    square = F.coalesce("_square", F.lit(0.0)) + F.coalesce("_rest_square", F.lit(0.0))
+    return (
+        whole.drop("_rest")
+        .join(found, keys, "left")
+        .where(F.col("_square").isNotNull() | F.col("_rest_square").isNotNull())
+        .select(
+            *keys,
+            F.when(F.col("_rest_terms").isNull(), F.col("terms"))
+            .otherwise(F.concat("terms", "_rest_terms"))
+            .alias("terms"),
+            F.sqrt(square).alias("norm"),
+        )
     )
 
 
@@ -153,11 +201,11 @@ def search_index(index: TfidfIndex, queries: DataFrame, k: int = 5) -> DataFrame
     query and task are shuffled. The queries are broadcast if their counted terms are within the bound.
     """
     query_terms = _query_weights(queries, index.idf)
-    hits = explode_structs(index.vectors, [*index.keys, "norm"], F.col("terms"), ["token", "weight"])
-    return _rank(_similarity(hits, query_terms, index.keys), index.keys, k)
+    return _rank(_similarity(index.vectors, query_terms, index.keys), index.keys, k)
 
 
-def _similarity(hits: DataFrame, query_terms: DataFrame, keys: list[str]) -> DataFrame:
+def _similarity(vectors: DataFrame, query_terms: DataFrame, keys: list[str]) -> DataFrame:
+    hits = explode_structs(vectors, [*keys, "norm"], F.col("terms"), ["token", "weight"])
     matched = hits.join(sized(query_terms), "token")
     dots = matched.groupBy(*keys, "query_id").agg(
         F.sum(F.col("weight") * F.col("query_weight")).alias("dot"),
@@ -179,22 +227,9 @@ def search(
     """(query_id, keys, similarity, rank): the k units most similar to each query text.
 
     Fits the corpus first. Of each unit only the norm and the weights of tokens that some query
-    holds leave the aggregation by unit, and that partitioning serves the sums per (unit, query) too.
+    holds are gathered, and that partitioning by unit serves the sums per (unit, query) too.
     """
     idf = fit(units, text)
     query_terms = _query_weights(queries, idf)
-    asked = query_terms.select("token").distinct().withColumn("_asked", F.lit(True))
-    marked = idf.join(asked, "token", "left")
-    terms = term_frequency(units, keys, text)
-    weighted = join_idf(terms, marked, F.struct(*keys), fits_broadcast(idf, broadcast_rows)).select(
-        *keys,
-        "token",
-        "_asked",
-        (F.col("count") / F.col("total_tokens") * F.col("idf")).alias("weight"),
-    )
-    per_unit = weighted.groupBy(*keys).agg(
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
-        F.collect_list(F.when(F.col("_asked"), F.struct("token", "weight"))).alias("_hits"),
-    )
-    hits = explode_structs(per_unit, [*keys, "norm"], F.col("_hits"), ["token", "weight"])
-    return _rank(_similarity(hits, query_terms, keys), keys, k)
+    found = vectors(units, idf, keys, text, wanted=query_terms, broadcast_rows=broadcast_rows)
+    return _rank(_similarity(found, query_terms, keys), keys, k)

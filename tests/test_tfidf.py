@@ -69,23 +69,44 @@ def test_top_k_against_model(spark, k):
         assert found.get(query_id, []) == expected
 
 
-def test_salted_join_and_stored_index_agree(spark):
+@pytest.mark.parametrize("rows", [0, 1, 10, 40])
+def test_vocabulary_beyond_the_bound_gives_the_same(spark, rows):
     texts = corpus(150)
     df, asked = units(spark, texts), questions(spark, *QUESTIONS)
     plain = ranked(tfidf.search(df, asked, ["key"], 7))
-    assert ranked(tfidf.search(df, asked, ["key"], 7, broadcast_rows=0)) == plain
+    assert ranked(tfidf.search(df, asked, ["key"], 7, broadcast_rows=rows)) == plain
+    idf = tfidf.fit(df)
+    terms = tfidf.term_frequency(df, ["key"])
+
+    def weighted(bound):
+        rows_ = tfidf.weights(terms, idf, ["key"], bound).collect()
+        return sorted((r["key"], r["token"], round(r["weight"], 12)) for r in rows_)
+
+    assert weighted(rows) == weighted(10_000)
+
+
+def test_stored_index_agrees(spark):
+    df, asked = units(spark, corpus(150)), questions(spark, *QUESTIONS)
+    plain = ranked(tfidf.search(df, asked, ["key"], 7))
     assert ranked(tfidf.search_index(tfidf.build_index(df, ["key"]), asked, 7)) == plain
 
 
-def test_hot_tokens_are_spread(spark):
-    """With a shuffle join a token of a third of all rows gets many salts, a rare one a single salt."""
-    texts = {key: "hot " + f"rare{key}" for key in range(300)}
+def test_frequent_tokens_are_few_and_rare_ones_rare(spark):
+    texts = {key: f"hot {'warm' if key % 2 else ''} rare{key} pair{key // 2}" for key in range(300)}
     idf = tfidf.fit(units(spark, texts))
-    terms = tfidf.term_frequency(units(spark, texts), ["key"])
-    joined = tfidf.join_idf(terms, idf, terms["key"], broadcast=False)
-    assert joined.count() == 600
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+    frequent, rare = tfidf.split_vocabulary(idf, rows=10)
+    assert {r["token"] for r in frequent.collect()} == {"hot", "warm"}
+    assert rare.count() == 450 and rare.agg({"df": "max"}).first()[0] == 2
+    everything, nothing = tfidf.split_vocabulary(idf, rows=452)
+    assert everything.count() == 452 and nothing is None
+
+
+def test_units_without_known_tokens_have_no_vector(spark):
+    idf = tfidf.fit(units(spark, {1: "a b", 2: "c"}))
+    strange = units(spark, {7: "zzz", 8: "a zzz", 9: ""})
+    for rows in (0, 2, 100):
+        found = tfidf.vectors(strange, idf, ["key"], broadcast_rows=rows).collect()
+        assert [(r["key"], [t["token"] for t in r["terms"]]) for r in found] == [(8, ["a"])]
 
 
 def test_ties_favour_the_later_unit(spark):
