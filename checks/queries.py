@@ -316,7 +316,9 @@ def idf(spark, sf_dir):
 @query
 def tfidf_vectors(spark, sf_dir):
     docs = _documents(spark, sf_dir)
-    weighted = tfidf.weights(tfidf.term_frequency(docs, ["doc_id"]), tfidf.fit(docs), ["doc_id"])
+    weighted = tfidf.weights(
+        tfidf.term_frequency(docs, ["doc_id"]), tfidf.inverse_document_frequency(docs), ["doc_id"]
+    )
     return weighted.select("doc_id", "token", F.round("weight", 9).alias("weight"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lectern.operators.nearest import nearest, nearest_in_lists, ranked
 from lectern.session import stage
@@ -44,11 +44,9 @@ def seed_centroids(vectors: DataFrame, lists: int) -> DataFrame:
     A reproducible choice of centroids without training; also the order of the table does not matter.
     """
     chosen = vectors.select(F.md5(F.col("vec_id").cast("string")).alias("_order"), "embedding")
-    numbered = chosen.orderBy("_order").limit(lists)  # at most 2 * sqrt(n) rows
-    rows = numbered.agg(F.sort_array(F.collect_list(F.struct("_order", "embedding"))).alias("_rows"))
-    return rows.select(F.posexplode("_rows").alias("list_id", "_row")).select(
-        "list_id", F.col("_row.embedding").alias("centroid")
-    )
+    first = chosen.orderBy("_order").limit(lists)  # at most 2 * sqrt(n) rows
+    number = F.row_number().over(Window.orderBy("_order")) - 1
+    return first.select(number.alias("list_id"), F.col("embedding").alias("centroid"))
 
 
 def train_centroids(vectors: DataFrame, lists: int, seed: int = 1, iterations: int = 20) -> DataFrame:
@@ -86,7 +84,7 @@ def assign(vectors: DataFrame, centroids: DataFrame, **options: int) -> DataFram
     """(vec_id, list_id): the nearest centroid of every vector; ties by the smaller list."""
     lists = centroids.select(F.col("list_id").alias("vec_id"), F.col("centroid").alias("embedding"))
     points = vectors.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector"))
-    found = nearest(lists, points, 1, **options)
+    found = nearest(lists, points, 1, few_vectors=True, **options)
     return found.select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("list_id"))
 
 
@@ -100,7 +98,7 @@ def build_lists(vectors: DataFrame, centroids: DataFrame) -> DataFrame:
 def probes(queries: DataFrame, centroids: DataFrame, nprobe: int) -> DataFrame:
     """(query_id, list_id): the lists every query looks into."""
     lists = centroids.select(F.col("list_id").alias("vec_id"), F.col("centroid").alias("embedding"))
-    return nearest(lists, queries, nprobe).select("query_id", F.col("vec_id").alias("list_id"))
+    return nearest(lists, queries, nprobe, few_vectors=True).select("query_id", F.col("vec_id").alias("list_id"))
 
 
 def search(

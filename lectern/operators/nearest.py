@@ -81,6 +81,7 @@ def nearest(
     queries: DataFrame,
     k: int,
     *,
+    few_vectors: bool = False,
     broadcast_bytes: int = BROADCAST_BYTES,
     cell_vectors: int = CELL_VECTORS,
     cell_queries: int = CELL_QUERIES,
@@ -89,19 +90,24 @@ def nearest(
 
     ``vectors`` has vec_id and embedding, ``queries`` has query_id and query_vector. Whichever side
     is within the bound is sent to every task, and the other is scanned in place. When neither is,
-    both are cut into cells of bounded size and every cell pair is one task's work.
+    both are cut into cells of bounded size and every cell pair is one task's work. The queries are
+    tried first, unless ``few_vectors`` says that the vectors are the smaller side.
     """
     schema = _types(vectors, queries)
-    small = _small_side(queries, "query_id", "query_vector", broadcast_bytes)
-    if small is not None:
-        if not small[0]:
-            return ranked(queries.sparkSession.createDataFrame([], schema), k)
-        return ranked(_scan_vectors(vectors, small, k, schema), k)
-    small = _small_side(vectors, "vec_id", "embedding", broadcast_bytes)
-    if small is not None:
-        if not small[0]:
-            return ranked(queries.sparkSession.createDataFrame([], schema), k)
-        return _scan_queries(queries, small, k, schema)
+
+    def over_queries() -> DataFrame | None:
+        small = _small_side(queries, "query_id", "query_vector", broadcast_bytes)
+        return None if small is None else ranked(_scan_vectors(vectors, small, k, schema), k)
+
+    def over_vectors() -> DataFrame | None:
+        small = _small_side(vectors, "vec_id", "embedding", broadcast_bytes)
+        return None if small is None else _scan_queries(queries, small, k, schema)
+
+    ways = [over_vectors, over_queries] if few_vectors else [over_queries, over_vectors]
+    for way in ways:
+        found = way()
+        if found is not None:
+            return found
     return ranked(_by_cells(vectors, queries, k, schema, cell_vectors, cell_queries), k)
 
 
@@ -122,7 +128,7 @@ def _scan_vectors(vectors: DataFrame, small, k: int, schema: str) -> DataFrame:
         ids, queries = shared.value
         ids = np.array(ids)
         for batch in batches:
-            if batch.empty:
+            if batch.empty or not len(ids):
                 continue
             batch = batch.sort_values("vec_id", kind="stable")
             matrix = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
@@ -150,7 +156,7 @@ def _scan_queries(queries: DataFrame, small, k: int, schema: str) -> DataFrame:
         ids, vectors = shared.value
         ids = np.array(ids)
         for batch in batches:
-            if batch.empty:
+            if batch.empty or not len(ids):
                 continue
             matrix = np.stack(batch["query_vector"].to_numpy()).astype(np.float64)
             query_row, vector_row, distance = kernel(vectors, matrix, k)

@@ -22,14 +22,12 @@ def explode_structs(df: DataFrame, carry: list[str], array: Column, fields: list
     )
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a table has at most ``rows`` rows; counting stops there. Meant for staged tables."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if its counted size is within the bound, else as it is."""
-    return F.broadcast(df) if fits_broadcast(df, rows) else df
+    """The table with a broadcast hint if it has at most ``rows`` rows, else as it is.
+
+    Meant for staged tables, whose rows are counted from the file footers.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def top_k(df: DataFrame, group: str | list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:

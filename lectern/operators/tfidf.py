@@ -37,15 +37,25 @@ def term_frequency(units: DataFrame, keys: list[str], text: str = "text") -> Dat
 
 def document_frequency(units: DataFrame, text: str = "text") -> DataFrame:
     """(token, df): the number of units that hold the token; summed within each task first."""
-    distinct = units.select(F.explode_outer(F.array_distinct(tokens(text))).alias("token"))
-    return distinct.where("token IS NOT NULL").groupBy("token").agg(F.count("*").alias("df"))
+    return _counts(units, text).where("token IS NOT NULL")
+
+
+def _counts(units: DataFrame, text: str) -> DataFrame:
+    """(token, df), where the null token stands for the unit itself: its df is the number of units."""
+    listed = F.array_append(F.array_distinct(tokens(text)), F.lit(None))
+    return units.select(F.explode_outer(listed).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
 
 
 def inverse_document_frequency(units: DataFrame, text: str = "text") -> DataFrame:
-    """(token, df, idf) with idf = ln(N / (df + 1)): 0 for a token in all but one unit, negative in all."""
-    total = units.agg(F.count("*").alias("_units"))
+    """(token, df, idf) with idf = ln(N / (df + 1)): 0 for a token in all but one unit, negative in all.
+
+    One pass over the corpus counts tokens and units alike; the counts are staged, so whatever
+    follows reads a narrow table of known size.
+    """
+    counts = stage(_counts(units, text), "df")
+    total = counts.where("token IS NULL").select(F.col("df").alias("_units"))
     return (
-        document_frequency(units, text)
+        counts.where("token IS NOT NULL")
         .crossJoin(F.broadcast(total))  # one row
         .select("token", "df", F.log(F.col("_units") / (F.col("df") + 1)).alias("idf"))
     )
@@ -59,7 +69,7 @@ def vocabulary(units: DataFrame, text: str = "text") -> DataFrame:
 def split_vocabulary(idf: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame | None]:
     """(frequent, rare): the most frequent tokens, at most ``rows`` of them, and the others if any.
 
-    ``idf`` is a staged table. The border is a power of two, found in a histogram of at most 64 rows.
+    The border is a power of two, found in a histogram of at most 64 rows.
     Most rows of a corpus belong to frequent tokens; broadcasting those keeps the rows in place, and
     what remains to be shuffled is few rows, none of whose tokens holds more than ``2 / rows`` of all
     rows, so that no token can crowd a task.
@@ -84,7 +94,7 @@ def _weight() -> Column:
 def weights(
     terms: DataFrame, idf: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
-    """(keys, token, weight): share of the unit's tokens times idf, which is a staged table.
+    """(keys, token, weight): share of the unit's tokens times idf.
 
     Tokens without an idf are dropped but still count in the unit's total.
     """
@@ -98,18 +108,13 @@ def weights(
 
 @dataclass(frozen=True)
 class TfidfIndex:
-    """Weights of a corpus: one staged idf table and one row per unit with its vector and norm."""
+    """Weights of a corpus: the idf table and one stored row per unit with its vector and norm."""
 
     idf: DataFrame
     vectors: DataFrame
     keys: list[str]
 
 
-def fit(units: DataFrame, text: str = "text") -> DataFrame:
-    """The staged idf table of a corpus."""
-    return stage(inverse_document_frequency(units, text), "idf")
-
-
 def vectors(
     units: DataFrame,
     idf: DataFrame,
@@ -172,7 +177,7 @@ def vectors(
 
 def build_index(units: DataFrame, keys: list[str], text: str = "text") -> TfidfIndex:
     """Fit a corpus and store its vectors, so that later query batches only scan them."""
-    idf = fit(units, text)
+    idf = inverse_document_frequency(units, text)
     return TfidfIndex(idf, stage(vectors(units, idf, keys, text), "tfidf"), keys)
 
 
@@ -229,7 +234,7 @@ def search(
     Fits the corpus first. Of each unit only the norm and the weights of tokens that some query
     holds are gathered, and that partitioning by unit serves the sums per (unit, query) too.
     """
-    idf = fit(units, text)
+    idf = inverse_document_frequency(units, text)
     query_terms = _query_weights(queries, idf)
     found = vectors(units, idf, keys, text, wanted=query_terms, broadcast_rows=broadcast_rows)
     return _rank(_similarity(found, query_terms, keys), keys, k)

@@ -45,6 +45,6 @@ def scan_corpus(
     )
 
 
-def scan_flat(spark: SparkSession, path: str) -> DataFrame:
+def scan_flat(spark: SparkSession, path: str, extensions: Iterable[str] = FLAT_TYPES) -> DataFrame:
     """Text and paged files directly in ``path``, not in its sub-folders."""
-    return scan_corpus(spark, path, FLAT_TYPES, recursive=False)
+    return scan_corpus(spark, path, extensions, recursive=False)

@@ -52,7 +52,7 @@ def test_terms_counted_without_shuffle(spark):
 
 
 def test_unknown_tokens_count_in_the_total(spark):
-    idf = tfidf.fit(units(spark, {1: "a b", 2: "c"}))
+    idf = tfidf.inverse_document_frequency(units(spark, {1: "a b", 2: "c"}))
     rows = tfidf.weights(tfidf.term_frequency(units(spark, {9: "a zzz yyy zzz"}), ["key"]), idf, ["key"]).collect()
     assert [(r["token"], r["weight"]) for r in rows] == [("a", pytest.approx(0.25 * math.log(2 / 2)))]
 
@@ -75,7 +75,7 @@ def test_vocabulary_beyond_the_bound_gives_the_same(spark, rows):
     df, asked = units(spark, texts), questions(spark, *QUESTIONS)
     plain = ranked(tfidf.search(df, asked, ["key"], 7))
     assert ranked(tfidf.search(df, asked, ["key"], 7, broadcast_rows=rows)) == plain
-    idf = tfidf.fit(df)
+    idf = tfidf.inverse_document_frequency(df)
     terms = tfidf.term_frequency(df, ["key"])
 
     def weighted(bound):
@@ -93,7 +93,7 @@ def test_stored_index_agrees(spark):
 
 def test_frequent_tokens_are_few_and_rare_ones_rare(spark):
     texts = {key: f"hot {'warm' if key % 2 else ''} rare{key} pair{key // 2}" for key in range(300)}
-    idf = tfidf.fit(units(spark, texts))
+    idf = tfidf.inverse_document_frequency(units(spark, texts))
     frequent, rare = tfidf.split_vocabulary(idf, rows=10)
     assert {r["token"] for r in frequent.collect()} == {"hot", "warm"}
     assert rare.count() == 450 and rare.agg({"df": "max"}).first()[0] == 2
@@ -102,7 +102,7 @@ def test_frequent_tokens_are_few_and_rare_ones_rare(spark):
 
 
 def test_units_without_known_tokens_have_no_vector(spark):
-    idf = tfidf.fit(units(spark, {1: "a b", 2: "c"}))
+    idf = tfidf.inverse_document_frequency(units(spark, {1: "a b", 2: "c"}))
     strange = units(spark, {7: "zzz", 8: "a zzz", 9: ""})
     for rows in (0, 2, 100):
         found = tfidf.vectors(strange, idf, ["key"], broadcast_rows=rows).collect()
