@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lectern.operators.rows import BROADCAST_ROWS
+from lectern.session import stage
+
 
 def survivors(df: DataFrame, key: str, text_hash: str = "hash") -> DataFrame:
     """Smallest key of every hash with the number of its copies.
@@ -14,14 +17,23 @@ def survivors(df: DataFrame, key: str, text_hash: str = "hash") -> DataFrame:
     return df.groupBy(text_hash).agg(F.min(key).alias(key), F.count("*").alias("copies"))
 
 
-def drop_duplicates(df: DataFrame, key: str, text_hash: str = "hash") -> DataFrame:
-    """Keep the row with the smallest key of every hash. ``key`` is unique per row.
+def drop_duplicates(
+    df: DataFrame, key: str, text_hash: str = "hash", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Keep the row with the smallest key of every hash. ``key`` is unique per row, no hash is null.
 
-    The texts join the survivors on the unique key, so a text with very many copies never gathers
-    them in one task.
+    Where few texts have copies, those are broadcast and the other columns are not shuffled at all.
+    Otherwise the rows join the survivors on their unique key. Either way the copies of a text are
+    never gathered in one task.
     """
-    kept = survivors(df, key, text_hash).select(key)
-    return df.join(kept, key, "left_semi").select(*df.columns)
+    copied = stage(survivors(df, key, text_hash).where("copies > 1"), "copied")
+    if copied.count() <= broadcast_rows:
+        first = F.broadcast(copied.select(text_hash, F.col(key).alias("_first")))
+        marked = df.join(first, text_hash, "left")
+        kept = marked.where(F.col("_first").isNull() | (F.col("_first") == F.col(key)))
+    else:
+        kept = df.join(survivors(df, key, text_hash).select(key), key, "left_semi")
+    return kept.select(*df.columns)
 
 
 def duplicate_stats(df: DataFrame, text_hash: str = "hash") -> DataFrame:

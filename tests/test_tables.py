@@ -18,12 +18,17 @@ def test_five_files(spark):
     assert tuple(dedup.duplicate_stats(df).first()) == (5, 2, 3)
 
 
-def test_survivor_does_not_depend_on_order(spark):
+@pytest.mark.parametrize("bound", [0, 1000])
+def test_survivor_does_not_depend_on_order(spark, bound):
+    """A third of all rows are copies of one text."""
     rows = [(f"p{i:03}", f"text {i % 7 if i % 3 else 0}") for i in range(200)]
-    first = sorted(dedup.drop_duplicates(hashed(spark, rows), "source_path").collect())
-    second = sorted(dedup.drop_duplicates(hashed(spark, rows[::-1]).repartition(7), "source_path").collect())
-    assert first == second
-    assert len(first) == len({text for _, text in rows})
+    first = sorted(dedup.drop_duplicates(hashed(spark, rows), "source_path", broadcast_rows=bound).collect())
+    again = hashed(spark, rows[::-1]).repartition(7)
+    assert first == sorted(dedup.drop_duplicates(again, "source_path", broadcast_rows=bound).collect())
+    smallest = {}
+    for path, text in rows:
+        smallest.setdefault(text, path)
+    assert {(r["source_path"], r["text"]) for r in first} == {(p, t) for t, p in smallest.items()}
 
 
 def test_texts_of_copies_are_not_gathered_by_hash(spark):
