@@ -64,14 +64,13 @@ def ingest_metrics(parsed: DataFrame, seconds: float) -> DataFrame:
 def chunk_metrics(chunks: DataFrame, documents: DataFrame, seconds: float) -> DataFrame:
     """One row: chunks, documents, average token count, chunks per second."""
     elapsed = F.lit(float(seconds))
-    total = chunks.agg(
+    total_documents = documents.agg(F.count("*")).scalar()
+    return chunks.agg(
         F.count("*").alias("total_chunks"),
         F.coalesce(F.round(F.avg("token_count"), 2), F.lit(0.0)).alias("average_chunk_size"),
-    )
-    docs = documents.agg(F.count("*").alias("total_documents"))
-    return total.crossJoin(F.broadcast(docs)).select(  # one row each
+    ).select(
         "total_chunks",
-        "total_documents",
+        total_documents.alias("total_documents"),
         "average_chunk_size",
         F.round(elapsed, 2).alias("processing_time_seconds"),
         rate(F.col("total_chunks"), elapsed).alias("chunks_per_second"),
@@ -175,13 +174,10 @@ def scale_projection(stages: DataFrame) -> DataFrame:
     scales = stages.sparkSession.createDataFrame(
         SCALES, "scale string, chunks long, unit string, seconds_per_unit double"
     )
-    speed = stages.where((F.col("stage") == "embedding") & (F.col("chunks_per_second") > 0)).select(
-        "chunks_per_second"
-    )
-    amount = F.col("chunks") / F.col("chunks_per_second") / F.col("seconds_per_unit")
-    return scales.crossJoin(F.broadcast(speed)).select(  # three rows and one
-        "scale", "chunks", F.round(amount, 1).alias("amount"), "unit"
-    )
+    speed = stages.agg(_metric("embedding", "chunks_per_second")).scalar()
+    measured = scales.withColumn("_speed", speed).where(F.col("_speed") > 0)
+    amount = F.col("chunks") / F.col("_speed") / F.col("seconds_per_unit")
+    return measured.select("scale", "chunks", F.round(amount, 1).alias("amount"), "unit")
 
 
 def metrics_row(stages: DataFrame) -> DataFrame:

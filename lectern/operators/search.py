@@ -67,27 +67,25 @@ def with_similarity(found: DataFrame) -> DataFrame:
     return found.withColumn("similarity_score", F.col("distance"))
 
 
-def _missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.join(right.select(key), key, "left_anti").agg(F.count("*").alias("n"))
+def _missing(left: DataFrame, right: DataFrame, key: str) -> Column:
+    return left.select(key).join(right.select(key), key, "left_anti").agg(F.count("*")).scalar()
 
 
 def validate(vectors: DataFrame, metadata: DataFrame, dim: int) -> DataFrame:
     """One row: counts of vectors, of ids and of every defect, and whether the index is valid."""
     broken = F.exists("embedding", lambda x: x.isNull() | F.isnan(x))
-    shape = vectors.agg(
+    counts = vectors.agg(
         F.count("*").alias("total_vectors"),
         F.count_if(F.size("embedding") != dim).alias("wrong_dimension"),
         F.count_if(F.col("embedding").isNull() | broken).alias("null_or_nan"),
+    ).select(
+        "*",
+        metadata.agg(F.count("*")).scalar().alias("total_ids"),
+        _missing(vectors, metadata, "vec_id").alias("without_metadata"),
+        _missing(metadata, vectors, "vec_id").alias("without_vector"),
     )
-    counts = shape.crossJoin(F.broadcast(metadata.agg(F.count("*").alias("total_ids"))))
-    for name, lost in {
-        "without_metadata": _missing(vectors, metadata, "vec_id"),
-        "without_vector": _missing(metadata, vectors, "vec_id"),
-    }.items():
-        counts = counts.crossJoin(F.broadcast(lost.withColumnRenamed("n", name)))  # one row each
-    defects = ["wrong_dimension", "null_or_nan", "without_vector"]
     sound = F.col("total_vectors") == F.col("total_ids")
-    for defect in defects:
+    for defect in ("wrong_dimension", "null_or_nan", "without_vector"):
         sound = sound & (F.col(defect) == 0)
     return counts.withColumn("valid", sound)
 

@@ -53,12 +53,9 @@ def inverse_document_frequency(units: DataFrame, text: str = "text") -> DataFram
     follows reads a narrow table of known size.
     """
     counts = stage(_counts(units, text), "df")
-    total = counts.where("token IS NULL").select(F.col("df").alias("_units"))
-    return (
-        counts.where("token IS NOT NULL")
-        .crossJoin(F.broadcast(total))  # one row
-        .select("token", "df", F.log(F.col("_units") / (F.col("df") + 1)).alias("idf"))
-    )
+    total = counts.where("token IS NULL").select("df").scalar()
+    known = counts.where("token IS NOT NULL")
+    return known.select("token", "df", F.log(total / (F.col("df") + 1)).alias("idf"))
 
 
 def vocabulary(units: DataFrame, text: str = "text") -> DataFrame:
@@ -195,7 +192,8 @@ def _query_weights(queries: DataFrame, idf: DataFrame) -> DataFrame:
 def _rank(scored: DataFrame, keys: list[str], k: int) -> DataFrame:
     """The k most similar units per query; ties go to the later unit; similarity 0 never counts."""
     positive = scored.where(F.col("similarity") > 0)
-    order = [F.round("similarity", TIE_DIGITS).desc(), *[F.col(key).desc() for key in keys]]
+    rounded = F.floor(F.col("similarity") * 10**TIE_DIGITS + 0.5)
+    order = [rounded.desc(), *[F.col(key).desc() for key in keys]]
     return top_k(positive, "query_id", order, k)
 
 
