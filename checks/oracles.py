@@ -169,10 +169,11 @@ def hashed_vectors(source: str, key: str, text: str, name: str) -> str:
 )"""
 
 
-PAIRS = """pairs AS (
-  SELECT q.vec_id AS query_id, v.vec_id, v.label,
-         array_distance(q.embedding::DOUBLE[64], v.embedding::DOUBLE[64]) AS d
-  FROM embeddings q, embeddings v
+PAIRS = """parts AS (SELECT vec_id, label, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
+means AS (SELECT label, i, avg(x) AS m FROM parts GROUP BY label, i),
+asked AS (SELECT label::BIGINT AS query_id, list(m ORDER BY i)::DOUBLE[64] AS v FROM means GROUP BY label),
+pairs AS (
+  SELECT query_id, vec_id, label, array_distance(v, embedding::DOUBLE[64]) AS d FROM asked, embeddings
 )"""
 
 
@@ -196,7 +197,11 @@ to_lists AS (
   FROM embeddings, centroids
 ),
 assigned AS (SELECT vec_id, list_id FROM to_lists WHERE near = 1),
-probed AS (SELECT vec_id AS query_id, list_id FROM to_lists WHERE near <= 3),
+probed AS (
+  SELECT query_id, list_id, row_number() OVER (PARTITION BY query_id
+           ORDER BY array_distance(v, centroid::DOUBLE[64]), list_id) AS near
+  FROM asked, centroids QUALIFY near <= 3
+),
 reached AS (
   SELECT p.query_id, a.vec_id, pairs.d
   FROM probed p JOIN assigned a USING (list_id) JOIN pairs ON pairs.query_id = p.query_id AND pairs.vec_id = a.vec_id
@@ -415,9 +420,8 @@ WITH {PAIRS},{IVF} SELECT query_id, vec_id, round(d * d, 6) AS distance, rank FR
 WITH {PAIRS},{IVF}, approximate AS ({ranked("reached", 10)}), exact AS ({ranked("pairs", 10)})
 SELECT e.query_id, count(a.vec_id) / 10.0::DOUBLE AS recall
 FROM exact e LEFT JOIN approximate a ON a.query_id = e.query_id AND a.vec_id = e.vec_id GROUP BY e.query_id""",
-    "pair_distance": """
-WITH parts AS (SELECT vec_id, label, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS x FROM embeddings),
-means AS (SELECT label, i, avg(x) AS m FROM parts GROUP BY label, i)
+    "pair_distance": f"""
+WITH {PAIRS}
 SELECT vec_id, round(sum((x - m) * (x - m)), 6) AS distance FROM parts JOIN means USING (label, i) GROUP BY vec_id""",
     "index_validate": """
 WITH c AS (

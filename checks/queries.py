@@ -381,11 +381,22 @@ def _vectors(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "embeddings", "vec_id", "embedding")
 
 
+def _label_means(spark, sf_dir) -> DataFrame:
+    """(label, mean): the mean vector of every label, from all vectors."""
+    values = table(spark, sf_dir, "embeddings", "label", "embedding").select(
+        "label", F.posexplode("embedding").alias("component", "value")
+    )
+    means = values.groupBy("label", "component").agg(F.avg(F.col("value").cast("double")).alias("value"))
+    listed = F.sort_array(F.collect_list(F.struct("component", "value")))  # one row per component
+    return means.groupBy("label").agg(listed.alias("_mean")).select("label", F.col("_mean.value").alias("mean"))
+
+
 def _vector_queries(spark, sf_dir) -> DataFrame:
-    """Every stored vector asks for its neighbours."""
-    return _vectors(spark, sf_dir).select(
-        F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vector")
+    """Every label asks for the vectors nearest to its mean."""
+    asked = _label_means(spark, sf_dir).select(
+        F.col("label").cast("long").alias("query_id"), F.col("mean").alias("query_vector")
     )
+    return stage(asked, "asked")
 
 
 def _rounded(found: DataFrame) -> DataFrame:
@@ -495,17 +506,9 @@ def recall_at_k(spark, sf_dir):
 @query
 def pair_distance(spark, sf_dir):
     """Distance of every vector to the mean vector of its label, as a column expression."""
-    entries = _entries(spark, sf_dir)
-    means = (
-        entries.select("label", F.posexplode("embedding").alias("component", "value"))
-        .groupBy("label", "component")
-        .agg(F.avg(F.col("value").cast("double")).alias("value"))
-        .groupBy("label")
-        .agg(F.sort_array(F.collect_list(F.struct("component", "value"))).alias("mean"))
-        .select("label", F.col("mean.value").alias("mean"))
-    )
     distance = F.round(squared_distance("embedding", "mean"), 6)
-    return entries.join(means, "label").select("vec_id", distance.alias("distance"))
+    means = _label_means(spark, sf_dir)
+    return _entries(spark, sf_dir).join(means, "label").select("vec_id", distance.alias("distance"))
 
 
 @query
@@ -532,7 +535,7 @@ def _retrieved(spark, sf_dir, k: int = 5) -> DataFrame:
     )
     vectors = embed.embed_hashed(metadata.select("vec_id", "chunk_text"), "chunk_text").drop("chunk_text")
     asked = embed.embed_hashed(_questions(spark, sf_dir), "query_text", "query_vector").drop("query_text")
-    found = search.with_metadata(nn.nearest(vectors, asked, k), metadata)
+    found = search.with_metadata(nn.nearest(vectors, stage(asked, "asked"), k), metadata)
     return search.with_similarity(found).withColumnRenamed("vec_id", "chunk_id")
 
 

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from lectern.operators import prompt
 from lectern.operators.embed import Encoders
 from lectern.plans.indexing import Index
+from lectern.session import stage
 
 
 def embed_queries(queries: DataFrame, model_name: str, encoders: Encoders | None = None) -> DataFrame:
-    """(query_id, query_vector), by the encoder the index was built with."""
+    """Staged (query_id, query_vector), by the encoder the index was built with: encoded only once."""
     embedded = (encoders or Encoders()).embed(queries, model_name, text="query_text")
-    return embedded.select("query_id", F.col("embedding").alias("query_vector"))
+    return stage(embedded.select("query_id", F.col("embedding").alias("query_vector")), "asked")
 
 
 def retrieve(
