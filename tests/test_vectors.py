@@ -106,14 +106,14 @@ def test_lsh_recall_and_candidate_share(spark):
     data, asked = clustered(1500), clustered(30, seed=9)
     vectors, queries = tables(spark, data, asked)
     exact = nn.nearest(vectors, queries, 10)
-    options = dict(width_share=0.5, tables=8, projections=4)
-    found = lsh.search(vectors, queries, 10, dim=8, **options)
+    shape = lsh.Shape(8, lsh.bucket_width(vectors, 0.5), tables=8)
+    placed = stage(lsh.with_lists(vectors, "embedding", shape), "placed")
+    found = lsh.search(placed, queries, 10, shape)
     rows = found.collect()
     assert len(rows) == 300  # k for every query
     assert search.recall(exact, found, 10).agg(F.avg("recall")).first()[0] > 0.9
-    shape = (8, lsh.bucket_width(vectors, 0.5), 8, 4, 1)
-    left = lsh.with_buckets(vectors, "embedding", *shape).select("vec_id", "list_id")
-    right = lsh.with_buckets(queries, "query_vector", *shape).select("query_id", "list_id")
+    left = lsh.by_list(placed).select("vec_id", "list_id")
+    right = lsh.by_list(lsh.with_lists(queries, "query_vector", shape)).select("query_id", "list_id")
     candidates = left.join(right, "list_id").select("vec_id", "query_id").distinct().count()
     assert candidates / (1500 * 30) < 0.35
 
@@ -122,8 +122,10 @@ def test_lsh_with_a_crowded_bucket(spark):
     """A third of all vectors are equal; cell sizes do not change the result."""
     data, asked = clustered(400, hot=0.34), clustered(12, seed=5, hot=0.5)
     vectors, queries = tables(spark, data, asked)
-    whole = ranked(lsh.search(vectors, queries, 10, dim=8))
-    assert ranked(lsh.search(vectors, queries, 10, dim=8, cell_vectors=13, cell_queries=3)) == whole
+    shape = lsh.Shape(8, lsh.bucket_width(vectors))
+    placed = lsh.with_lists(vectors, "embedding", shape)
+    whole = ranked(lsh.search(placed, queries, 10, shape))
+    assert ranked(lsh.search(placed, queries, 10, shape, cell_vectors=13, cell_queries=3)) == whole
     assert whole[0] == list(range(10))
 
 
