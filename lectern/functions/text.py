@@ -9,6 +9,10 @@ from pyspark.sql import Column, functions as F
 
 # The character classes and factors that decide the results.
 WHITESPACE = r"\s\x1c-\x1f\x85\p{Z}"
+WHITESPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 NOT_PRINTABLE = r"[\p{C}\p{Z}&&[^ \t\n]]"
 WORD = r"[\p{L}\p{N}_]+"
 EXTENSION = r"[^/.][^/]*\.([^/.]*)$"
@@ -38,7 +42,7 @@ def is_blank(text: Column | str) -> Column:
 
 def strip(text: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind, not only spaces."""
-    return F.regexp_replace(_col(text), rf"\A[{WHITESPACE}]+|[{WHITESPACE}]+\z", "")
+    return F.btrim(_col(text), F.lit(WHITESPACE_CHARACTERS))
 
 
 def content_hash(text: Column | str) -> Column:

@@ -115,40 +115,75 @@ def sentence_windows(
     not reach the end of the text is cut after the last ``. ! ?`` among its last 200 characters (the
     character right behind it included), or at ``size`` when there is none; the next window starts
     ``overlap`` before the cut. Windows are stripped; blank ones and blank documents vanish.
+
+    The steps here run from cut to cut. A line end is appended to the text, so that the last step,
+    which is what lies behind the last cut, is never empty; stripping removes it again.
     """
-    shortest = max(size - SENTENCE_LOOKBACK, 0) + 2 - overlap
-    if overlap < 0 or shortest < 1 or overlap >= size:
+    low = max(size - SENTENCE_LOOKBACK, 0) + 1
+    step = size - overlap
+    if overlap < 0 or low < overlap or step < 1:
         raise ValueError("overlap leaves no room for the windows to advance")
     carry = ["doc_id"] if carry is None else carry
-    longest = size + 1 - overlap
-    if overlap:
-        to_sentence_end = f".{{{shortest},{longest}}}(?=.{{{overlap - 1}}}{SENTENCE_END})"
-    else:
-        to_sentence_end = f".{{{shortest - 1},{longest - 1}}}{SENTENCE_END}"
-    pattern = f"(?=.{{{size + 1}}}){to_sentence_end}|.{{1,{size - overlap}}}"
-    fits = F.char_length(text) <= size
+    first = rf"\A(?:.{{{low},{size}}}{SENTENCE_END}|.{{{size}}})"
+    later = f"(?=.{{{step + 2}}})(?:.{{{low - overlap},{step}}}{SENTENCE_END}|.{{{step}}})"
+    padded = F.concat(text, F.lit("\n"))
     cut = documents.select(
         *carry,
-        fits.alias("_fits"),
-        F.when(fits, F.array(text)).otherwise(_steps(F.col(text), pattern)).alias("_steps"),
+        F.char_length(text).alias("_length"),
+        F.when(F.char_length(text) <= size, F.array(padded))
+        .otherwise(_steps(padded, f"{first}|{later}|.+"))
+        .alias("_steps"),
     )
-    steps = F.col("_steps")
-    placed = cut.select(
+    steps, length = F.col("_steps"), F.col("_length")
+    spanned = math.ceil(overlap / (low + 1 - overlap))
+
+    def with_overlap(piece: Column, i: Column) -> Column:
+        """A step with the characters before it, which may span several steps."""
+        if overlap == 0:
+            return piece
+        before = F.concat_ws("", *[F.get(steps, i - n) for n in range(spanned, 0, -1)])
+        return F.concat(F.substring(before, -overlap, overlap), piece)
+
+    measured = cut.select(
+        *carry,
+        "_length",
+        F.transform(steps, with_overlap).alias("_texts"),
+        F.transform(steps, lambda piece: F.char_length(piece)).alias("_lengths"),
+    )
+    placed = measured.select(
         *carry,
-        "_fits",
-        F.transform(steps, lambda piece, i: _window_text(steps, piece, i, overlap, shortest)).alias("_texts"),
-        running_total(F.transform(steps, lambda piece: F.char_length(piece))).alias("_starts"),
+        "_length",
+        "_texts",
+        F.transform(
+            running_total(F.col("_lengths")), lambda total: F.greatest(total - overlap, F.lit(0))
+        ).alias("_starts"),
     )
+    last, last_start = F.element_at("_texts", -1), F.element_at("_starts", -1)
+    short_tails = F.ceil((length - last_start) / F.lit(float(step))).cast("int") - 1
     windows = placed.select(
         *carry,
-        F.zip_with(
-            "_texts",
-            "_starts",
-            lambda window, start: F.struct(
-                start.alias("start"),
-                (start + F.char_length(window)).alias("end"),
-                F.when(F.col("_fits"), window).otherwise(strip(window)).alias("text"),
+        F.concat(
+            F.zip_with(
+                "_texts",
+                "_starts",
+                lambda window, start: F.struct(
+                    start.alias("start"),
+                    F.least(start + F.char_length(window), length).alias("end"),
+                    F.when(length <= size, F.left(window, length)).otherwise(strip(window)).alias("text"),
+                ),
             ),
+            # A last window longer than a step is followed by others that start within it.
+            F.when(
+                (length > size) & (short_tails > 0),
+                F.transform(
+                    F.sequence(F.lit(1), short_tails),
+                    lambda n: F.struct(
+                        (last_start + n * step).alias("start"),
+                        length.alias("end"),
+                        strip(F.substring(last, n * step + 1, length)).alias("text"),
+                    ),
+                ),
+            ).otherwise(F.array().cast("array<struct<start:int,end:int,text:string>>")),
         ).alias("_windows"),
     )
     return _explode_kept(windows, carry)
