@@ -25,31 +25,65 @@ CELL_QUERIES = 5_000
 def _block_nearest():
     """The numpy kernel, made here so that it travels to the workers by value."""
 
+    import numpy as np
+
+    def candidates(block, pool, count):
+        """(query row, pool row) pairs that may belong to the ``count`` nearest."""
+        lengths = np.einsum("ij,ij->i", pool, pool)
+        rough = block @ pool.T  # becomes the distance less the query's own length
+        rough *= -2.0
+        rough += lengths
+        if count == 1:
+            border = rough.min(axis=1)
+        else:
+            border = np.partition(rough, count - 1, axis=1)[:, count - 1]
+        own = np.einsum("ij,ij->i", block, block)
+        slack = 1e-9 * (own + lengths.max() + 1e-300)
+        return np.nonzero(rough <= (border + slack)[:, None])
+
+    def first_k(query_row, pool_row, distance, k):
+        """The k rows per query with the smallest distance; the earlier row wins a tie."""
+        order = np.lexsort((pool_row, distance, query_row))
+        query_row, pool_row, distance = query_row[order], pool_row[order], distance[order]
+        keep = np.arange(len(query_row)) - np.searchsorted(query_row, query_row, side="left") < k
+        return query_row[keep], pool_row[keep], distance[keep]
+
+    def distinct(vectors):
+        """Distinct vectors in the order of their first row, and the rows of each in order."""
+        _, first, group = np.unique(vectors, axis=0, return_index=True, return_inverse=True)
+        by_first = np.argsort(first)
+        number = np.empty(len(first), dtype=np.int64)
+        number[by_first] = np.arange(len(first))
+        group = number[group.reshape(-1)]
+        rows = np.argsort(group, kind="stable")
+        counts = np.bincount(group)
+        return vectors[first[by_first]], rows, np.cumsum(counts) - counts, counts
+
     def nearest(vectors, queries, k):
         """(query row, vector row, distance) of the k nearest vectors per query; rows of ``vectors``
         are in id order, and the earlier row wins a tie."""
-        import numpy as np
-
-        count = min(k, len(vectors))
-        lengths = np.einsum("ij,ij->i", vectors, vectors)
-        found = []
+        pool, copies, found = vectors, None, []
         for start in range(0, len(queries), 256):
             block = queries[start : start + 256]
-            own = np.einsum("ij,ij->i", block, block)
-            rough = own[:, None] + lengths[None, :] - 2.0 * (block @ vectors.T)
-            border = np.partition(rough, count - 1, axis=1)[:, count - 1]
-            slack = 1e-9 * (own + lengths.max() + 1e-300)
-            query_row, vector_row = np.nonzero(rough <= (border + slack)[:, None])
+            query_row, pool_row = candidates(block, pool, min(k, len(pool)))
+            if copies is None and len(query_row) > 4 * k * len(block) + 1000:
+                # Many ties: equal vectors are looked at once, and their rows are put back below.
+                pool, *copies = distinct(vectors)
+                query_row, pool_row = candidates(block, pool, min(k, len(pool)))
             exact = np.empty(len(query_row))
             for at in range(0, len(query_row), 100_000):
                 part = slice(at, at + 100_000)
-                gap = vectors[vector_row[part]] - block[query_row[part]]
+                gap = pool[pool_row[part]] - block[query_row[part]]
                 exact[part] = np.einsum("ij,ij->i", gap, gap)
-            order = np.lexsort((vector_row, exact, query_row))
-            query_row, vector_row, exact = query_row[order], vector_row[order], exact[order]
-            first = np.searchsorted(query_row, query_row, side="left")
-            keep = np.arange(len(query_row)) - first < count
-            found.append((query_row[keep] + start, vector_row[keep], exact[keep]))
+            best = first_k(query_row, pool_row, exact, k)
+            if copies is not None:
+                rows, starts, counts = copies
+                query_row, pool_row, exact = best
+                taken = np.minimum(counts[pool_row], k)  # k rows of one vector are enough
+                within = np.arange(taken.sum()) - np.repeat(np.cumsum(taken) - taken, taken)
+                vector_row = rows[np.repeat(starts[pool_row], taken) + within]
+                best = first_k(np.repeat(query_row, taken), vector_row, np.repeat(exact, taken), k)
+            found.append((best[0] + start, *best[1:]))
         return tuple(np.concatenate(part) for part in zip(*found))
 
     return nearest
