@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,18 +26,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor reaches, as the cluster names it.
-
-    Only a local session may fall back to a folder of its own; on a cluster a missing setting is an
-    error, since a machine-local folder would be lost with its executor.
-    """
+    """The folder that every executor reaches: the one that ``spark.checkpoint.dir`` names, else one
+    below the warehouse, which all of them share too."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"{CHECKPOINT_DIR} must name a shared folder on a cluster")
-    folder = tempfile.mkdtemp(prefix="lectern-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lectern-stage"
+        spark.conf.set(CHECKPOINT_DIR, folder)
     return folder
 
 
