@@ -54,8 +54,9 @@ def _members(docs: DataFrame, shared: DataFrame, id_col: str, text: str, prefix_
 
 
 def _decided(members: DataFrame) -> DataFrame:
-    groups = members.groupBy("content_hash").agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")
+    groups = stage(  # a stored table, so that the join can split the rows of a large group
+        members.groupBy("content_hash").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
+        "dedup-groups",
     )
     return members.join(groups, "content_hash").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 

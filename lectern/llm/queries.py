@@ -3,9 +3,20 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
-
-from lectern.llm import exact_dedup, licenses, simhash, token_counts, token_files, topk, toxicity
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from lectern.llm import (
+    backoff,
+    exact_dedup,
+    licenses,
+    mixing,
+    packing,
+    simhash,
+    token_counts,
+    token_files,
+    topk,
+    toxicity,
+)
 from lectern.llm.common import LOWER, UPPER
 
 
@@ -29,12 +40,22 @@ def op1_exact_topk(spark, sf_dir):
     return topk.top_k_search(vectors.where("vec_id % 50 = 0"), vectors)
 
 
+@query
+def op2_source_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_simhash_groups(spark, sf_dir):
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return groups.withColumn("fingerprint", simhash.hex_digits(groups.fingerprint))
 
 
+@query
+def op4_length_buckets(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_token_files(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -53,6 +74,17 @@ def op7_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+@query
+def op8_backoff_scores(spark, sf_dir):
+    scores = backoff.backoff_scores(table(spark, sf_dir, "documents"))
+    return scores.select(
+        "doc_id",
+        "n_words",
+        F.round("log_score", 5).alias("log_score"),
+        F.round("mean_log_score", 7).alias("mean_log_score"),
+    )
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -123,6 +155,28 @@ scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op8_backoff_scores": f"""
+WITH words AS (
+  SELECT doc_id, unnest(list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))
+    AS word, generate_subscripts(list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> ''), 1) AS place FROM documents),
+grams AS (
+  SELECT w.doc_id, w.place, w.word, b.word AS before
+  FROM words w LEFT JOIN words b ON w.doc_id = b.doc_id AND w.place = b.place + 1),
+counted AS (
+  SELECT *, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS others,
+    count(*) OVER (PARTITION BY word) - count(*) OVER (PARTITION BY doc_id, word) AS n1,
+    CASE WHEN before IS NOT NULL THEN count(*) OVER (PARTITION BY before, word)
+      - count(*) OVER (PARTITION BY doc_id, before, word) END AS n2 FROM grams),
+contexts AS (
+  SELECT c.*, lag(n1) OVER (PARTITION BY doc_id ORDER BY place) AS context FROM counted c),
+scored AS (
+  SELECT doc_id, CASE WHEN n2 > 0 THEN log10(n2) - log10(context)
+    ELSE log10(CASE WHEN n1 > 0 THEN n1 ELSE 0.5 END) - log10(greatest(others, 1))
+      + CASE WHEN before IS NOT NULL THEN log10({backoff.ALPHA}) ELSE 0 END END AS score FROM contexts)
+SELECT d.doc_id, count(score) AS n_words, round(coalesce(sum(score), 0.0), 5) AS log_score,
+  round(avg(score), 7) AS mean_log_score
+FROM documents d LEFT JOIN scored USING (doc_id) GROUP BY d.doc_id""",
     "op9_exact_dedup": f"""
 WITH hashed AS (SELECT doc_id, sha256({_LOWERED}) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

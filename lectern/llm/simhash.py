@@ -9,6 +9,7 @@ radius of its own, and full distances decide.
 
 from __future__ import annotations
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -30,6 +31,7 @@ BITS = 64
 CROWDED = 512
 
 _SLICE_BYTES = 4 << 20
+_MEETING_COST = 0.05  # of comparing two fingerprints, against sending a look-up
 
 
 def shingle_hashes(text: bytes, shingle_words: int = SHINGLE_WORDS) -> list[int]:
@@ -84,7 +86,6 @@ def fingerprints(
 
 def segments(link_bits: int, count: int) -> list[tuple[int, int, int]]:
     """Offset, width and radius of each segment; sum(radius + 1) = link_bits + 1."""
-    count = min(count, link_bits + 1)
     out, offset = [], 0
     for i in range(count):
         width = BITS // count + (i < BITS % count)
@@ -94,6 +95,21 @@ def segments(link_bits: int, count: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def best_segments(fingerprints: int, link_bits: int) -> int:
+    """The number of segments with the least work for so many fingerprints. Long segments have more
+    values to look up, short ones more chance meetings per value; any number finds the same links."""
+
+    def work(count: int) -> float:
+        parts = segments(link_bits, count)
+        return sum(
+            math.comb(width, r) * (1 + _MEETING_COST * fingerprints / 2**width)
+            for _, width, radius in parts
+            for r in range(radius + 1)
+        )
+
+    return min(range(2, max(2, link_bits) + 1), key=work) if link_bits else 1
+
+
 def _ball(width: int, radius: int, offset: int = 0) -> list[int]:
     """Masks of at most ``radius`` bits within a segment, as signed longs."""
     masks = [
@@ -131,8 +147,8 @@ def links(
     smallest one at the point. That is a fixed number of rows per member, and loses no connection. An
     odd distance takes the larger half, and verifies the links: see ``_through_points``.
     """
-    if count is None:  # more fingerprints want longer segments, with fewer chance meetings in each table
-        count = 3 if distinct.count() < 1 << 24 else 2
+    if count is None:
+        count = best_segments(distinct.count(), link_bits)
     parts = segments(link_bits, count)
     table = _lookups(distinct, parts, ball=False)
     sizes = table.groupBy("segment", "value").agg(F.count("*").alias("n"))
