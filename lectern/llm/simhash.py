@@ -110,26 +110,26 @@ def best_segments(fingerprints: int, link_bits: int) -> int:
     return min(range(2, max(2, link_bits) + 1), key=work) if link_bits else 1
 
 
-def _ball(width: int, radius: int, offset: int = 0) -> list[int]:
-    """Masks of at most ``radius`` bits within a segment, as signed longs."""
-    masks = [
-        sum(1 << (offset + b) for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)
-    ]
-    return [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in masks]
+def _ball(width: int, radius: int) -> list[int]:
+    """Masks of at most ``radius`` bits of a segment."""
+    return [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
 
 
 def _value(fingerprint: Column, offset: int, width: int) -> Column:
     return F.shiftrightunsigned(fingerprint, offset).bitwiseAND(F.lit((1 << width) - 1))
 
 
+def _values(fingerprint: Column, number: int, part: tuple[int, int, int], ball: bool) -> Column:
+    """(segment, value) of one segment: its own value, or all values within the radius."""
+    offset, width, radius = part
+    masks = F.array(*[F.lit(m).cast("long") for m in _ball(width, radius if ball else 0)])
+    own = _value(fingerprint, offset, width)
+    return F.transform(masks, lambda m: F.struct(F.lit(number).alias("segment"), own.bitwiseXOR(m).alias("value")))
+
+
 def _lookups(distinct: DataFrame, parts: list[tuple[int, int, int]], ball: bool) -> DataFrame:
     """segment, value, fingerprint: own values (table), or all values within the radius (look-ups)."""
-    rows = []
-    for i, (offset, width, radius) in enumerate(parts):
-        masks = F.array(*[F.lit(m).cast("long") for m in _ball(width, radius if ball else 0)])
-        own = _value(F.col("fingerprint"), offset, width)
-        values = F.transform(masks, lambda m, own=own: own.bitwiseXOR(m))
-        rows.append(F.transform(values, lambda v, i=i: F.struct(F.lit(i).alias("segment"), v.alias("value"))))
+    rows = [_values(F.col("fingerprint"), i, part, ball) for i, part in enumerate(parts)]
     return distinct.select("fingerprint", F.explode(F.concat(*rows)).alias("_k")).select(
         "_k.segment", "_k.value", "fingerprint"
     )
@@ -144,8 +144,8 @@ def links(
     A value with more may hold most fingerprints, all near to each other, and so a quadratic number of
     pairs. Its members, and those that look it up, instead send the points within half the distance;
     two fingerprints share such a point exactly if they are close enough, and each links to the
-    smallest one at the point. That is a fixed number of rows per member, and loses no connection. An
-    odd distance takes the larger half, and verifies the links: see ``_through_points``.
+    smallest one at the point (see ``_through_points``). That is a fixed number of rows per member, and
+    loses no connection.
     """
     if count is None:
         count = best_segments(distinct.count(), link_bits)
@@ -169,6 +169,16 @@ def links(
     return found.distinct()
 
 
+def _points(members: DataFrame, radius: int) -> DataFrame:
+    """fingerprint, point: every value within so many bits of each fingerprint, once."""
+    points = members.select("fingerprint", F.col("fingerprint").alias("point"), F.lit(0).alias("bit"))
+    for _ in range(radius):  # flip one of the bits from ``bit`` on, or, at the last number, none any more
+        points = points.select("fingerprint", "point", F.explode(F.expr(f"sequence(bit, {BITS})")).alias("bit"))
+        flipped = F.expr(f"IF(bit < {BITS}, point ^ shiftleft(1L, bit), point)")
+        points = points.select("fingerprint", flipped.alias("point"), F.least(F.col("bit") + 1, F.lit(BITS)).alias("bit"))
+    return points.select("fingerprint", "point")
+
+
 def _through_points(members: DataFrame, link_bits: int) -> DataFrame:
     """Links of each fingerprint to the smallest one with which it shares a point.
 
@@ -178,16 +188,10 @@ def _through_points(members: DataFrame, link_bits: int) -> DataFrame:
     do not meet, as they may be 2h + 2 apart.
     """
     half, odd = divmod(link_bits, 2)
-    own = F.array(*[F.lit(m).cast("long") for m in _ball(BITS, half)])
-    points = members.select("fingerprint", F.explode(own).alias("_m")).select(
-        "fingerprint", F.col("fingerprint").bitwiseXOR(F.col("_m")).alias("point")
-    )
+    points = _points(members, half)
     first = points.groupBy("point").agg(F.min("fingerprint").alias("a"))
     if odd:
-        wide = F.array(*[F.lit(m).cast("long") for m in _ball(BITS, half + 1)])
-        points = members.select("fingerprint", F.explode(wide).alias("_m")).select(
-            "fingerprint", F.col("fingerprint").bitwiseXOR(F.col("_m")).alias("point")
-        )
+        points = _points(members, half + 1)
     return (
         points.join(first, "point")
         .where("a <> fingerprint")
