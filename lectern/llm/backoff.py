@@ -88,7 +88,7 @@ def _scores(grams: Grams, totals: np.ndarray, words: int, order: int, alpha: flo
         seen, ends = longer > 0, grams.ends[n - 1]
         score[ends] += np.log10(alpha)
         score[ends[seen]] = np.log10(longer[seen]) - np.log10(shorter[seen])
-    return np.bincount(grams.owners[0], weights=score, minlength=documents)
+    return np.bincount(grams.owners[0], weights=score, minlength=documents).astype(np.float64)
 
 
 def backoff_scores(
