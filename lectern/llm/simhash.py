@@ -116,6 +116,8 @@ def _ball(width: int, radius: int) -> list[int]:
 
 
 def _value(fingerprint: Column, offset: int, width: int) -> Column:
+    if width == BITS:
+        return fingerprint
     return F.shiftrightunsigned(fingerprint, offset).bitwiseAND(F.lit((1 << width) - 1))
 
 
