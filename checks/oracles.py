@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks.queries import CHUNK_SECONDS, EMBED_SECONDS, INDEX_SECONDS, INGEST_SECONDS
-from lectern.operators import prompt
+from lectern.operators import ivf, prompt
 
 # Character classes of the SQL engine's regular expressions.
 WS = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
@@ -111,7 +111,7 @@ FILES = """files AS (
 )"""
 
 FIXED_CHUNKS = f"""chunks AS (
-  SELECT {stable_id("doc_id", "'fixed'", "chunk_index")} AS chunk_id, * FROM ({fixed(512, 50)})
+  SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, * FROM ({fixed(512, 50)})
 )"""
 
 
@@ -210,7 +210,7 @@ reached AS (
 RETRIEVED = f"""
 questions AS (SELECT item_id AS query_id, text AS query_text FROM benchmark),
 chunks AS (
-  SELECT {stable_id("doc_id", "'fixed'", "chunk_index")} AS chunk_id, * FROM ({fixed(512, 50, carry=", source")})
+  SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, * FROM ({fixed(512, 50, carry=", source")})
 ),{hashed_vectors("chunks", "chunk_id", "chunk_text", "c")},{hashed_vectors("questions", "query_id", "query_text", "q")},
 products AS (
   SELECT query_id, chunk_id, sum(q.v * c.v) AS dot FROM q_buckets q JOIN c_buckets c USING (bucket)
@@ -295,12 +295,42 @@ SELECT query_id, {literal(header)} || string_agg({line}, chr(10) || chr(10) ORDE
 FROM retrieved WHERE {condition} GROUP BY query_id"""
 
 
+def trained_ivf(rounds: int, probes: int) -> str:
+    """CTE bodies: k-means from the same seed centroids, round by round, then as IVF."""
+    seeds = IVF[: IVF.index("to_lists AS")].replace("centroids AS", "c0 AS").replace(
+        "embedding AS centroid", "embedding::DOUBLE[64] AS centroid"
+    )
+    steps = ""
+    for r in range(rounds + 1):
+        steps += f"""
+near{r} AS (
+  SELECT vec_id, list_id FROM embeddings, c{r}
+  QUALIFY row_number() OVER (PARTITION BY vec_id
+    ORDER BY array_distance(embedding::DOUBLE[64], centroid), list_id) = 1
+),"""
+        if r < rounds:
+            steps += f"""
+means{r} AS (SELECT list_id, i, avg(x) AS m FROM near{r} JOIN parts USING (vec_id) GROUP BY list_id, i),
+lists{r} AS (SELECT list_id, list(m ORDER BY i)::DOUBLE[64] AS mean FROM means{r} GROUP BY list_id),
+c{r + 1} AS (SELECT list_id, coalesce(mean, centroid) AS centroid FROM c{r} LEFT JOIN lists{r} USING (list_id)),"""
+    return f"""{seeds}{steps}
+probed AS (
+  SELECT query_id, list_id FROM asked, c{rounds}
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY array_distance(v, centroid), list_id) <= {probes}
+),
+reached AS (
+  SELECT p.query_id, a.vec_id, pairs.d FROM probed p JOIN near{rounds} a USING (list_id)
+  JOIN pairs ON pairs.query_id = p.query_id AND pairs.vec_id = a.vec_id
+)"""
+
+
 ORACLES = {
     "normalize_text": f"SELECT doc_id, {CLEAN} AS text FROM documents",
     "content_hash": f"SELECT doc_id, sha256({CLEAN}) AS hash FROM documents",
     "assign_ids": f"""
-WITH named AS (SELECT doc_id, {stable_id("source || '/' || doc_id", "sha256(text)")} AS document_id FROM documents)
-SELECT *, {stable_id("document_id", "'fixed'", "0")} AS first_chunk_id FROM named""",
+WITH named AS (SELECT doc_id, {stable_id("source || '/' || doc_id", "sha256(text)")} AS document_id, sha256(text) AS hash
+  FROM documents)
+SELECT doc_id, document_id, {stable_id("document_id", "'fixed'", "0", "hash")} AS first_chunk_id FROM named""",
     "token_count": f"SELECT doc_id, {words('text')} AS words, {tokens_of('text')} AS tokens FROM documents",
     "tokenize": f"SELECT doc_id, array_to_string({terms('text')}, ' ') AS tokens FROM documents",
     "file_type": r"""
@@ -338,7 +368,7 @@ FROM documents""",
     "chunk_sentence": f"WITH RECURSIVE {sentence()} SELECT * FROM sentence_chunks",
     "chunk_strategies": f"""
 WITH RECURSIVE {sentence()}
-SELECT {stable_id("doc_id", "'fixed'", "chunk_index")} AS chunk_id, doc_id, 'fixed' AS chunking_strategy,
+SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, doc_id, 'fixed' AS chunking_strategy,
        chunk_index, chunk_text FROM ({fixed(512, 50)})
 UNION ALL
 SELECT {stable_id("doc_id", "'semantic'", "chunk_index")}, doc_id, 'semantic', chunk_index, chunk_text
@@ -387,6 +417,13 @@ FROM slots LEFT JOIN c_buckets USING (chunk_id, bucket) GROUP BY chunk_id""",
     "embed_resume": f"""
 WITH {FIXED_CHUNKS}
 SELECT chunk_id, doc_id FROM chunks WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "rechunk_resume": f"""
+WITH chunks AS (
+  SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, * FROM ({fixed(300, 30)})
+),{hashed_vectors("chunks", "chunk_id", "chunk_text", "c")},
+slots AS (SELECT chunk_id, unnest(range(64)) AS bucket FROM chunks)
+SELECT chunk_id, string_agg(CAST(coalesce(v, 0) AS VARCHAR), ',' ORDER BY bucket) AS embedding
+FROM slots LEFT JOIN c_buckets USING (chunk_id, bucket) GROUP BY chunk_id""",
     "embedding_index": f"""
 WITH {FIXED_CHUNKS}
 SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS embedding_index, 'hashed-bag-of-words' AS model_name,
@@ -399,7 +436,8 @@ FROM ({ranked("pairs", 3)}) p LEFT JOIN labels l ON l.doc_id = p.vec_id""",
     "knn_filtered": """
 SELECT vec_id, label = 3 AS equal, label IN (1, 4, 7) AS member,
        label IN (1, 4, 7) AND coalesce(quality = 1, false) AS both, false AS empty_list,
-       false AS unknown_key, quality IS NULL AS none, true AS no_filter
+       false AS unknown_key, quality IS NULL AS none, true AS no_filter, false AS other_type,
+       label IN (3, 4) AS mixed_list
 FROM embeddings LEFT JOIN labels ON labels.doc_id = embeddings.vec_id""",
     "knn_prefilter": f"""
 WITH {PAIRS}, wanted AS (SELECT * FROM pairs WHERE label IN (2, 5))
@@ -416,6 +454,9 @@ SELECT n AS total_vectors, nlist, least(10, nlist) AS nprobe FROM params""",
     "ivf_assign": f"WITH {PAIRS},{IVF} SELECT vec_id, list_id FROM assigned",
     "knn_ivf": f"""
 WITH {PAIRS},{IVF} SELECT query_id, vec_id, round(d * d, 6) AS distance, rank FROM ({ranked("reached", 10)})""",
+    "knn_ivf_trained": f"""
+WITH {PAIRS},{trained_ivf(ivf.TRAINING_ROUNDS, ivf.PROBES)}
+SELECT query_id, vec_id, round(d * d, 6) AS distance, rank FROM ({ranked("reached", 10)})""",
     "recall_at_k": f"""
 WITH {PAIRS},{IVF}, approximate AS ({ranked("reached", 10)}), exact AS ({ranked("pairs", 10)})
 SELECT e.query_id, count(a.vec_id) / 10.0::DOUBLE AS recall
@@ -424,15 +465,22 @@ FROM exact e LEFT JOIN approximate a ON a.query_id = e.query_id AND a.vec_id = e
 WITH {PAIRS}
 SELECT vec_id, round(sum((x - m) * (x - m)), 6) AS distance FROM parts JOIN means USING (label, i) GROUP BY vec_id""",
     "index_validate": """
-WITH c AS (
-  SELECT (SELECT count(*) FROM embeddings) AS total_vectors,
-         (SELECT count(*) FROM embeddings WHERE len(embedding) <> 64) AS wrong_dimension,
-         (SELECT count(*) FROM embeddings WHERE embedding IS NULL
-             OR len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) > 0) AS null_or_nan,
+WITH v AS (
+  SELECT vec_id, embedding FROM embeddings
+  UNION ALL SELECT vec_id, embedding FROM embeddings WHERE vec_id % 100 = 0
+  UNION ALL SELECT -1 - vec_id, list_transform(embedding, lambda x: 'inf'::FLOAT) FROM embeddings WHERE vec_id % 200 = 0),
+c AS (
+  SELECT (SELECT count(*) FROM v) AS total_vectors,
+         (SELECT count(*) FROM v WHERE len(embedding) <> 64) AS wrong_dimension,
+         (SELECT count(*) FROM v WHERE embedding IS NULL
+             OR len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0) AS not_finite,
+         (SELECT count(*) - count(DISTINCT vec_id) FROM v) AS repeated_vectors,
          (SELECT count(*) FROM labels) AS total_ids,
-         (SELECT count(*) FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels)) AS without_metadata,
-         (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)) AS without_vector)
-SELECT *, total_vectors = total_ids AND wrong_dimension = 0 AND null_or_nan = 0 AND without_vector = 0 AS valid
+         (SELECT count(*) - count(DISTINCT doc_id) FROM labels) AS repeated_ids,
+         (SELECT count(*) FROM v WHERE vec_id NOT IN (SELECT doc_id FROM labels)) AS without_metadata,
+         (SELECT count(*) FROM labels WHERE doc_id NOT IN (SELECT vec_id FROM v)) AS without_vector)
+SELECT *, total_vectors = total_ids AND wrong_dimension = 0 AND not_finite = 0 AND without_vector = 0
+  AND repeated_vectors = 0 AND repeated_ids = 0 AS valid
 FROM c""",
     "index_stats": """
 SELECT count(*) AS total_vectors, 'Flat' AS index_type, CAST(max(len(embedding)) AS BIGINT) AS embedding_dim
@@ -502,7 +550,7 @@ FROM embedding, (VALUES ('10k', 10000::BIGINT, 'minutes', 60.0::DOUBLE), ('100k'
 WITH cleaned AS (SELECT doc_id, lang, source, {CLEAN} AS text FROM documents),
 hashed AS (SELECT *, sha256(text) AS hash FROM cleaned),
 kept AS (SELECT * FROM hashed QUALIFY row_number() OVER (PARTITION BY hash ORDER BY doc_id) = 1)
-SELECT {stable_id("doc_id", "'fixed'", "chunk_index")} AS chunk_id, doc_id, chunk_text, chunk_index, char_start,
+SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, doc_id, chunk_text, chunk_index, char_start,
        char_end, token_count, 'fixed' AS chunking_strategy, hash, lang, source
 FROM ({fixed(512, 50, "kept", ", hash, lang, source")})""",
 }

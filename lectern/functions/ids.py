@@ -22,5 +22,9 @@ def document_id(source_path: Column | str, text_hash: Column | str) -> Column:
     return stable_id(source_path, text_hash)
 
 
-def chunk_id(doc_id: Column | str, strategy: Column | str, chunk_index: Column | str) -> Column:
-    return stable_id(doc_id, strategy, chunk_index)
+def chunk_id(
+    doc_id: Column | str, strategy: Column | str, chunk_index: Column | str, text_hash: Column | str
+) -> Column:
+    """The hash of the chunk's own text is part of its id: cut a document another way, and whatever was
+    stored for an id still belongs to the same text."""
+    return stable_id(doc_id, strategy, chunk_index, text_hash)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.arrays import running_total
 from lectern.functions.ids import chunk_id
-from lectern.functions.text import is_blank, strip, token_count
+from lectern.functions.text import content_hash, is_blank, strip, token_count
 
 # Default sizes, and how far back a sentence end is looked for.
 FIXED_SIZE, FIXED_OVERLAP = 512, 50
@@ -205,11 +205,11 @@ def chunk_documents(
     no join with the documents is needed afterwards.
     """
     if strategy not in STRATEGIES:
-        raise NotImplementedError(f"Chunking strategy '{strategy}' not implemented")
+        raise NotImplementedError(f"no chunking strategy named '{strategy}'; known: {', '.join(STRATEGIES)}")
     carry = carry or []
     chunks = STRATEGIES[strategy](documents, carry=["doc_id", *carry], **options)
     return chunks.select(
-        chunk_id("doc_id", F.lit(strategy), "chunk_index").alias("chunk_id"),
+        chunk_id("doc_id", F.lit(strategy), "chunk_index", content_hash("chunk_text")).alias("chunk_id"),
         "doc_id",
         "chunk_text",
         "chunk_index",

@@ -100,6 +100,11 @@ def not_yet_embedded(chunks: DataFrame, stored: DataFrame, model_name: str) -> D
     return not_yet_stored(chunks, done, "chunk_id")
 
 
+def orphaned(stored: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Stored vectors whose chunk is not there any more; only ids are compared."""
+    return stored.join(chunks.select("chunk_id"), "chunk_id", "left_anti")
+
+
 def embedding_index(embedded: DataFrame, at: Column) -> DataFrame:
     """(chunk_id, embedding_index, model_name, embedding_dim, embedding_timestamp) in chunk_id order."""
     slim = embedded.select("chunk_id", "model_name", "embedding_dim")

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lectern.operators.nearest import nearest, nearest_in_lists, ranked
 from lectern.session import stage
 
-# Lists per vector, lists searched per query, training points per list.
+# Lists per square root of the vectors, vectors per list at least, lists searched per query.
 LISTS_PER_SQRT = 2
 VECTORS_PER_LIST = 39
 PROBES = 10
-TRAINING_POINTS_PER_LIST = 256
+# Rounds of k-means over all vectors.
+TRAINING_ROUNDS = 4
 
 # Probed lists are named in the scan's filter up to this number, so that other row groups are skipped.
 FILTERED_LISTS = 1_000
@@ -49,35 +51,52 @@ def seed_centroids(vectors: DataFrame, lists: int) -> DataFrame:
     return first.select(number.alias("list_id"), F.col("embedding").alias("centroid"))
 
 
-def train_centroids(vectors: DataFrame, lists: int, seed: int = 1, iterations: int = 20) -> DataFrame:
-    """(list_id, centroid) by k-means, trained on at most 256 vectors per list.
+def train_centroids(vectors: DataFrame, lists: int, rounds: int = TRAINING_ROUNDS) -> DataFrame:
+    """(list_id, centroid) by k-means over all vectors, from the seed centroids, in a fixed number of rounds.
 
-    Only the training reads a share of a large table, chosen by the hash of the id; every vector is
-    assigned to a list afterwards.
+    A round assigns every vector to its nearest centroid and takes the mean of each list; a list
+    without vectors keeps its centroid. Tasks sum their own vectors per list first, so what is shuffled
+    does not grow with the vectors, and the centroids stay in tables.
     """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    if lists == 1:
-        return _mean(vectors)
-    total = vectors.count()
-    wanted = lists * TRAINING_POINTS_PER_LIST
-    points = vectors
-    if total > wanted:
-        share = int(wanted / total * (1 << 30))
-        points = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < share)
-    features = points.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    model = KMeans(k=lists, seed=seed, maxIter=iterations).fit(features)
-    rows = [(n, [float(x) for x in center]) for n, center in enumerate(model.clusterCenters())]
-    return vectors.sparkSession.createDataFrame(rows, "list_id int, centroid array<double>")
-
-
-def _mean(vectors: DataFrame) -> DataFrame:
-    """The only centroid of a single list: the mean vector."""
-    values = vectors.select(F.posexplode_outer("embedding").alias("at", "value")).where("at IS NOT NULL")
-    means = values.groupBy("at").agg(F.avg(F.col("value").cast("double")).alias("value"))
-    ordered = means.agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("_means"))
-    return ordered.select(F.lit(0).alias("list_id"), F.col("_means.value").alias("centroid"))
+    centroids = stage(seed_centroids(vectors, lists), "centroids")
+    for _ in range(rounds):
+        members = vectors.join(assign(vectors, centroids), "vec_id").select("list_id", "embedding")
+        means = _means(members)
+        moved = centroids.join(means, "list_id", "left").select(
+            "list_id", F.coalesce("mean", F.col("centroid").cast("array<double>")).alias("centroid")
+        )
+        centroids = stage(moved, "centroids")
+    return centroids
+
+
+def _means(members: DataFrame) -> DataFrame:
+    """(list_id, mean) of vectors with a list, from one sum per list and task."""
+
+    def sums(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        total, count = {}, {}
+        for batch in batches:
+            if batch.empty:
+                continue
+            matrix, lists = np.stack(batch["embedding"].to_numpy()).astype(np.float64), batch["list_id"].to_numpy()
+            found, group = np.unique(lists, return_inverse=True)
+            part = np.zeros((len(found), matrix.shape[1]))
+            np.add.at(part, group, matrix)
+            for name, row, n in zip(found.tolist(), part, np.bincount(group).tolist()):
+                total[name] = total.get(name, 0.0) + row
+                count[name] = count.get(name, 0) + n
+        if total:
+            yield pd.DataFrame({"list_id": list(total), "n": list(count.values()), "sums": list(total.values())})
+
+    partial = members.mapInPandas(sums, "list_id int, n long, sums array<double>")
+    values = partial.select("list_id", "n", F.posexplode("sums").alias("at", "value"))
+    per_component = values.groupBy("list_id", "at").agg((F.sum("value") / F.sum("n")).alias("value"))
+    ordered = F.sort_array(F.collect_list(F.struct("at", "value")))  # one row per component
+    return per_component.groupBy("list_id").agg(ordered.alias("_mean")).select(
+        "list_id", F.col("_mean.value").alias("mean")
+    )
 
 
 def assign(vectors: DataFrame, centroids: DataFrame, **options: int) -> DataFrame:

@@ -151,7 +151,7 @@ def ranked(candidates: DataFrame, k: int) -> DataFrame:
 
 
 def _scan_vectors(vectors: DataFrame, small, k: int, schema: str) -> DataFrame:
-    """Every task compares its vectors with all queries; only its k best per query are shuffled."""
+    """Every task compares its vectors with all queries, batch by batch, and sends its k best per query."""
     shared = vectors.sparkSession.sparkContext.broadcast(small)
     kernel = _block_nearest()
 
@@ -160,19 +160,23 @@ def _scan_vectors(vectors: DataFrame, small, k: int, schema: str) -> DataFrame:
         import pandas as pd
 
         ids, queries = shared.value
-        ids = np.array(ids)
+        ids, best = np.array(ids), None
         for batch in batches:
             if batch.empty or not len(ids):
                 continue
             batch = batch.sort_values("vec_id", kind="stable")
             matrix = np.stack(batch["embedding"].to_numpy()).astype(np.float64)
             query_row, vector_row, distance = kernel(matrix, queries, k)
+            found = pd.DataFrame(
+                {"_row": query_row, "vec_id": batch["vec_id"].to_numpy()[vector_row], "distance": distance}
+            )
+            if best is not None:  # of all batches so far, the k best per query
+                both = pd.concat([best, found]).sort_values(["_row", "distance", "vec_id"], kind="stable")
+                found = both[both.groupby("_row").cumcount() < k]
+            best = found
+        if best is not None:
             yield pd.DataFrame(
-                {
-                    "query_id": ids[query_row],
-                    "vec_id": batch["vec_id"].to_numpy()[vector_row],
-                    "distance": distance,
-                }
+                {"query_id": ids[best["_row"]], "vec_id": best["vec_id"].to_numpy(), "distance": best["distance"].to_numpy()}
             )
 
     return vectors.select("vec_id", "embedding").mapInPandas(scan, schema)

@@ -73,28 +73,34 @@ def _missing(left: DataFrame, right: DataFrame, key: str) -> Column:
 
 def validate(vectors: DataFrame, metadata: DataFrame, dim: int) -> DataFrame:
     """One row: counts of vectors, of ids and of every defect, and whether the index is valid."""
-    broken = F.exists("embedding", lambda x: x.isNull() | F.isnan(x))
+    broken = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     counts = vectors.agg(
         F.count("*").alias("total_vectors"),
         F.count_if(F.size("embedding") != dim).alias("wrong_dimension"),
-        F.count_if(F.col("embedding").isNull() | broken).alias("null_or_nan"),
+        F.count_if(F.col("embedding").isNull() | broken).alias("not_finite"),
+        (F.count("*") - F.count_distinct("vec_id")).alias("repeated_vectors"),
     ).select(
         "*",
         metadata.agg(F.count("*")).scalar().alias("total_ids"),
+        metadata.agg(F.count("*") - F.count_distinct("vec_id")).scalar().alias("repeated_ids"),
         _missing(vectors, metadata, "vec_id").alias("without_metadata"),
         _missing(metadata, vectors, "vec_id").alias("without_vector"),
     )
     sound = F.col("total_vectors") == F.col("total_ids")
-    for defect in ("wrong_dimension", "null_or_nan", "without_vector"):
+    for defect in ("wrong_dimension", "not_finite", "without_vector", "repeated_vectors", "repeated_ids"):
         sound = sound & (F.col(defect) == 0)
     return counts.withColumn("valid", sound)
 
 
 def require_valid(vectors: DataFrame, metadata: DataFrame, dim: int) -> None:
-    """Fail the job if the index is not valid."""
+    """Fail the job if the index is not valid, or if a search for one of its vectors does not find it."""
     report = validate(vectors, metadata, dim).first()
     if not report["valid"]:
         raise ValueError(f"invalid index: {report.asDict()}")
+    probe = vectors.orderBy(F.md5(F.col("vec_id").cast("string"))).limit(1)
+    asked = probe.select(F.lit(0).alias("query_id"), F.col("embedding").alias("query_vector"))
+    if [row["distance"] for row in nearest(vectors.select("vec_id", "embedding"), asked, 1).collect()] != [0.0]:
+        raise ValueError("invalid index: a search for a stored vector does not find it")
 
 
 def stats(vectors: DataFrame, index_type: str | Column) -> DataFrame:

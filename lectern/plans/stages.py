@@ -107,7 +107,10 @@ def embed_corpus(
     batch_size: int = embed.BATCH_SIZE,
     at: Column | None = None,
 ) -> DataFrame:
-    """Vectors of the chunks the model has not embedded yet; returns the metrics row."""
+    """Vectors of the chunks the model has not embedded yet; returns the metrics row.
+
+    Vectors of the model whose chunk is not stored any more, since documents were cut anew, go first.
+    """
     started = time.time()
     encoders = encoders or Encoders()
     at = F.lit(int(started)).cast("timestamp") if at is None else at
@@ -117,12 +120,17 @@ def embed_corpus(
     chunks = chunks.select("chunk_id", "chunk_text")
     stored = tables.if_stored(lambda: spark.read.parquet(corpus.embeddings))
     if stored is not None:
+        stored = stored.where(F.col("model_name") == model_name)
         chunks = embed.not_yet_embedded(chunks, stored, model_name)
-    embedded = encoders.embed(chunks, model_name, batch_size=batch_size)
-    sink.write_embeddings(
-        embedded.select("chunk_id", "embedding", "embedding_dim", at.alias("embedding_timestamp"), "model_name"),
-        corpus.embeddings,
+    embedded = encoders.embed(chunks, model_name, batch_size=batch_size).select(
+        "chunk_id", "embedding", "embedding_dim", at.alias("embedding_timestamp"), "model_name"
     )
+    known = spark.read.parquet(corpus.chunks).select("chunk_id")
+    if stored is not None and embed.orphaned(stored, known).take(1):
+        kept = stored.join(known, "chunk_id", "left_semi").select(*embedded.columns)
+        sink.replace_embeddings(stage(kept.unionByName(embedded), "vectors"), corpus.embeddings)
+    else:
+        sink.write_embeddings(embedded, corpus.embeddings)
     stored = spark.read.parquet(corpus.embeddings).where(F.col("model_name") == model_name)
     row = metrics.embed_metrics(stored.select("chunk_id"), model_name, "cpu", time.time() - started)
     return _finish(corpus, "embedding", row)

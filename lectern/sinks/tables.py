@@ -39,6 +39,11 @@ def write_embeddings(embedded: DataFrame, path: str) -> None:
     embedded.write.mode("append").partitionBy("model_name").parquet(path)
 
 
+def replace_embeddings(embedded: DataFrame, path: str) -> None:
+    """Replace the vectors of the models at hand, from a table that is not stored at the same path."""
+    embedded.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("model_name").parquet(path)
+
+
 def write_json(rows: DataFrame, path: str) -> None:
     """Side output: metrics or quarantine rows."""
     rows.write.mode("overwrite").json(path)
