@@ -424,6 +424,20 @@ WITH chunks AS (
 slots AS (SELECT chunk_id, unnest(range(64)) AS bucket FROM chunks)
 SELECT chunk_id, string_agg(CAST(coalesce(v, 0) AS VARCHAR), ',' ORDER BY bucket) AS embedding
 FROM slots LEFT JOIN c_buckets USING (chunk_id, bucket) GROUP BY chunk_id""",
+    "apply_changes": f"""
+WITH delivered AS (
+  SELECT doc_id, source, CASE WHEN quality IS NULL THEN text || ' edited' ELSE text END AS text
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE toxic IS DISTINCT FROM 1),
+chunks AS (
+  SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, *
+  FROM ({fixed(512, 50, "delivered", ", source")})
+),{hashed_vectors("chunks", "chunk_id", "chunk_text", "c")},
+slots AS (SELECT chunk_id, unnest(range(64)) AS bucket FROM chunks),
+vectors AS (
+  SELECT chunk_id, string_agg(CAST(coalesce(v, 0) AS VARCHAR), ',' ORDER BY bucket) AS embedding
+  FROM slots LEFT JOIN c_buckets USING (chunk_id, bucket) GROUP BY chunk_id)
+SELECT chunk_id, CAST(d.doc_id AS VARCHAR) AS doc_id, d.source || '/' || d.doc_id AS source_path, embedding
+FROM delivered d LEFT JOIN chunks c ON c.doc_id = d.doc_id LEFT JOIN vectors USING (chunk_id)""",
     "embedding_index": f"""
 WITH {FIXED_CHUNKS}
 SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS embedding_index, 'hashed-bag-of-words' AS model_name,

@@ -399,6 +399,28 @@ def _as_documents(docs: DataFrame) -> DataFrame:
     )
 
 
+@query
+def apply_changes(spark, sf_dir):
+    """Chunks with vectors after a second delivery: good documents are new in it, toxic ones are gone, and
+    those without a label have changed."""
+    corpus = stages.Corpus(f"{shared_dir(spark).rstrip('/')}/changes-{uuid.uuid4().hex}")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source").join(labels, "doc_id", "left")
+    first = docs.where(~F.col("quality").eqNullSafe(1))
+    edited = F.when(F.col("quality").isNull(), F.concat("text", F.lit(" edited"))).otherwise(F.col("text"))
+    second = docs.where(~F.col("toxic").eqNullSafe(1)).withColumn("text", edited)
+    sink.write_documents(_as_documents(first), corpus.documents)
+    stages.chunk_corpus(spark, corpus, "fixed")
+    stages.embed_corpus(spark, corpus)
+    for _ in range(2):  # the second time changes nothing
+        stages.apply_changes(spark, corpus, _as_documents(second))
+    chunks = spark.read.parquet(corpus.chunks)
+    vectors = spark.read.parquet(corpus.embeddings).select("chunk_id", _as_text("embedding").alias("embedding"))
+    names = spark.read.parquet(corpus.documents).select("doc_id", "source_path")
+    joined = chunks.select("chunk_id", "doc_id").join(names, "doc_id", "full").join(vectors, "chunk_id", "full")
+    return joined.select("chunk_id", "doc_id", "source_path", "embedding")
+
+
 @query
 def embedding_index(spark, sf_dir):
     chunks = _chunks(spark, sf_dir).select(

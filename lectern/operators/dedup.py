@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.operators.rows import BROADCAST_ROWS
+from lectern.operators.rows import BROADCAST_ROWS, fits
 from lectern.session import stage
 
 
@@ -27,7 +27,7 @@ def drop_duplicates(
     never gathered in one task.
     """
     copied = stage(survivors(df, key, text_hash).where("copies > 1"), "copied")
-    if copied.count() <= broadcast_rows:
+    if fits(copied, broadcast_rows):
         first = F.broadcast(copied.select(text_hash, F.col(key).alias("_first")))
         marked = df.join(first, text_hash, "left")
         kept = marked.where(F.col("_first").isNull() | (F.col("_first") == F.col(key)))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-# Largest table that is broadcast, in rows. Every broadcast hint in the package is given only after a
-# count against this bound; beyond it the same join runs as a shuffle join.
+# Largest table that is broadcast, in rows and in bytes of its values. Every broadcast hint in the
+# package is given only after a check against these bounds; beyond them the same join is a shuffle join.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 32 << 20
 
 
 def explode_structs(df: DataFrame, carry: list[str], array: Column, fields: list[str]) -> DataFrame:
@@ -22,12 +23,24 @@ def explode_structs(df: DataFrame, carry: list[str], array: Column, fields: list
     )
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if it has at most ``rows`` rows, else as it is.
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table has at most so many rows, and so many bytes of values. Meant for staged tables."""
+    fixed = sum(not isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType)) for f in df.schema) * 8
+    width = F.lit(fixed).cast("long")
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, T.ArrayType):
+            # other than numbers, an element is counted by its text
+            text = F.octet_length(F.to_json(field.name)) if not isinstance(field.dataType.elementType, T.NumericType) else F.size(field.name) * 8
+            width = width + F.coalesce(text, F.lit(0))
+    found = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    return found["rows"] <= rows and found["size"] <= size
 
-    Meant for staged tables, whose rows are counted from the file footers.
-    """
-    return F.broadcast(df) if df.count() <= rows else df
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The table with a broadcast hint if it is within the bounds, else as it is."""
+    return F.broadcast(df) if fits(df, rows) else df
 
 
 def top_k(df: DataFrame, group: str | list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:

@@ -136,6 +136,34 @@ def embed_corpus(
     return _finish(corpus, "embedding", row)
 
 
+def apply_changes(
+    spark: SparkSession, corpus: Corpus, incoming: DataFrame, strategy: str = "fixed", **options: int
+) -> None:
+    """Bring documents, chunks and vectors in line with an incoming documents table.
+
+    Documents whose path is gone or whose text has changed leave, with their chunks and vectors; new and
+    changed ones come in, with chunks by the given strategy and, where vectors are stored, vectors of the
+    native encoder (other models are brought up to date by ``embed_corpus``). Documents that stay are
+    neither cut nor embedded again. Doing it a second time changes nothing.
+    """
+    stored = tables.load_documents(spark, corpus.documents)
+    status = stage(dedup.changes(stored, incoming).select("source_path", "status"), "changes")
+    stays = status.where(F.col("status") == "same").select("source_path")
+    kept = stage(stored.join(stays, "source_path", "left_semi").select(*stored.columns), "documents-kept")
+    fresh = incoming.join(status.where(F.col("status").isin("new", "changed")), "source_path", "left_semi")
+    fresh = dedup.not_yet_stored(dedup.drop_duplicates(fresh, "source_path"), kept)
+    fresh = stage(fresh.select(*stored.columns), "documents-new")
+    chunks = tables.if_stored(lambda: spark.read.parquet(corpus.chunks))
+    cut = chunk.chunk_documents(fresh, strategy, carry=["source_path", "file_type", "ingestion_timestamp"], **options)
+    if chunks is not None:
+        cut = chunks.join(kept.select("doc_id"), "doc_id", "left_semi").select(*cut.columns).unionByName(cut)
+    cut = stage(cut, "chunks")
+    sink.write_documents(kept.unionByName(fresh), corpus.documents, resume=False)
+    sink.replace_chunks(cut, corpus.chunks)
+    if tables.if_stored(lambda: spark.read.parquet(corpus.embeddings)) is not None:
+        embed_corpus(spark, corpus)
+
+
 def detect_changes(spark: SparkSession, corpus: Corpus, incoming: DataFrame) -> DataFrame:
     """(source_path, status) of an incoming documents table against the stored one."""
     return dedup.changes(tables.load_documents(spark, corpus.documents), incoming)

@@ -34,6 +34,11 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
     ).parquet(path)
 
 
+def replace_chunks(chunks: DataFrame, path: str) -> None:
+    """Replace the whole chunk table, from rows that are not read from the same path."""
+    chunks.write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy("chunking_strategy").parquet(path)
+
+
 def write_embeddings(embedded: DataFrame, path: str) -> None:
     """Append vectors, a partition per model."""
     embedded.write.mode("append").partitionBy("model_name").parquet(path)
