@@ -25,14 +25,22 @@ def term_frequency(units: DataFrame, keys: list[str], text: str = "text") -> Dat
 
     Terms are counted within the row, from the sorted token array, so nothing is shuffled.
     """
+    return _terms(counted_terms(units, keys, text), keys)
+
+
+def counted_terms(units: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """(keys, total_tokens, terms): one row per unit with its distinct tokens and their counts."""
     listed = units.select(*keys, F.sort_array(tokens(text)).alias("_tokens"))
     cut = listed.select(*keys, "_tokens", run_starts(F.col("_tokens")).alias("_starts"))
-    counted = cut.select(
+    return cut.select(
         *keys,
         F.size("_tokens").alias("total_tokens"),
-        run_lengths(F.col("_tokens"), F.col("_starts"), "token", "count").alias("_terms"),
+        run_lengths(F.col("_tokens"), F.col("_starts"), "token", "count").alias("terms"),
     )
-    return explode_structs(counted, [*keys, "total_tokens"], F.col("_terms"), ["token", "count"])
+
+
+def _terms(counted: DataFrame, keys: list[str]) -> DataFrame:
+    return explode_structs(counted, [*keys, "total_tokens"], F.col("terms"), ["token", "count"])
 
 
 def document_frequency(units: DataFrame, text: str = "text") -> DataFrame:
@@ -52,7 +60,16 @@ def inverse_document_frequency(units: DataFrame, text: str = "text") -> DataFram
     One pass over the corpus counts tokens and units alike; the counts are staged, so whatever
     follows reads a narrow table of known size.
     """
-    counts = stage(_counts(units, text), "df")
+    return _idf(stage(_counts(units, text), "df"))
+
+
+def _unit_counts(counted: DataFrame) -> DataFrame:
+    """As ``_counts``, from counted terms."""
+    listed = F.array_append(F.col("terms.token"), F.lit(None))
+    return counted.select(F.explode_outer(listed).alias("token")).groupBy("token").agg(F.count("*").alias("df"))
+
+
+def _idf(counts: DataFrame) -> DataFrame:
     total = counts.where("token IS NULL").select("df").scalar()
     known = counts.where("token IS NOT NULL")
     return known.select("token", "df", F.log(total / (F.col("df") + 1)).alias("idf"))
@@ -118,12 +135,10 @@ def vectors(
     keys: list[str],
     text: str = "text",
     *,
-    wanted: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(keys, terms, norm): one sparse vector per unit with its Euclidean norm.
 
-    ``wanted`` is a table of tokens that the vectors are restricted to; the norms are of all tokens.
     A unit without any known token has no row; its similarity to everything is 0.
 
     The terms of a unit stand in one task, so with a vocabulary within the bound a single row per
@@ -131,23 +146,16 @@ def vectors(
     shuffle join on their own, and come back as one row per unit again.
     """
 
-    def marked(part: DataFrame) -> DataFrame:
-        if wanted is None:
-            return part.select("token", "idf", F.lit(True).alias("_wanted"))
-        flags = sized(wanted.select("token").distinct().withColumn("_wanted", F.lit(True)))
-        return part.join(flags, "token", "left").select("token", "idf", "_wanted")
-
     def gathered(weighted: DataFrame, *more: Column) -> DataFrame:
-        kept = F.when(F.col("_wanted"), F.struct("token", "weight"))
         return weighted.groupBy(*keys).agg(
             F.sum(F.col("weight") * F.col("weight")).alias("_square"),
-            F.collect_list(kept).alias("terms"),
+            F.collect_list(F.when(F.col("weight").isNotNull(), F.struct("token", "weight"))).alias("terms"),
             *more,
         )
 
     frequent, rare = split_vocabulary(idf, broadcast_rows)
     terms = term_frequency(units, keys, text)
-    known = terms.join(F.broadcast(marked(frequent)), "token", "inner" if rare is None else "left")
+    known = terms.join(frequent, "token", "inner" if rare is None else "left")
     known = known.withColumn("weight", _weight())
     if rare is None:
         return gathered(known).select(*keys, "terms", F.sqrt("_square").alias("norm"))
@@ -155,7 +163,7 @@ def vectors(
     unknown = F.when(F.col("idf").isNull(), F.struct("token", "count", "total_tokens"))
     whole = stage(gathered(known, F.collect_list(unknown).alias("_rest")), "units")
     rest = explode_structs(whole, keys, F.col("_rest"), ["token", "count", "total_tokens"])
-    found = gathered(rest.join(marked(rare), "token").withColumn("weight", _weight()))
+    found = gathered(rest.join(rare, "token").withColumn("weight", _weight()))
     found = found.withColumnRenamed("_square", "_rest_square").withColumnRenamed("terms", "_rest_terms")
     square = F.coalesce("_square", F.lit(0.0)) + F.coalesce("_rest_square", F.lit(0.0))
     return (
@@ -172,6 +180,18 @@ def vectors(
     )
 
 
+def norms(counted: DataFrame, idf: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(keys, norm) of units with counted terms. Squares are summed within the task that holds the unit;
+    only rare tokens beyond the broadcast bound are looked up by a shuffle join."""
+    frequent, rare = split_vocabulary(idf, broadcast_rows)
+    square = (_weight() * _weight()).alias("_square")
+    squares = _terms(counted, keys).join(frequent, "token").select(*keys, square)
+    if rare is not None:
+        rest = _terms(counted, keys).join(F.broadcast(frequent.select("token")), "token", "left_anti")
+        squares = squares.unionByName(rest.join(rare, "token").select(*keys, square))
+    return squares.groupBy(*keys).agg(F.sqrt(F.sum("_square")).alias("norm"))
+
+
 def build_index(units: DataFrame, keys: list[str], text: str = "text") -> TfidfIndex:
     """Fit a corpus and store its vectors, so that later query batches only scan them."""
     idf = inverse_document_frequency(units, text)
@@ -179,14 +199,16 @@ def build_index(units: DataFrame, keys: list[str], text: str = "text") -> TfidfI
 
 
 def _query_weights(queries: DataFrame, idf: DataFrame) -> DataFrame:
-    """Staged (query_id, token, weight, norm) of the query texts."""
-    weighted = weights(term_frequency(queries, ["query_id"], "query_text"), idf, ["query_id"])
+    """Staged (query_id, token, query_weight, idf, query_norm) of the query texts; of the idf table only the
+    tokens that some query holds are looked at."""
+    terms = stage(term_frequency(queries, ["query_id"], "query_text"), "query-terms")
+    needed = idf.join(sized(terms.select("token").distinct()), "token", "left_semi")
+    weighted = terms.join(needed, "token").withColumn("query_weight", _weight())
     norms = weighted.groupBy("query_id").agg(
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("query_norm")
-    )
-    return stage(
-        weighted.withColumnRenamed("weight", "query_weight").join(norms, "query_id"), "query-weights"
+        F.sqrt(F.sum(F.col("query_weight") * F.col("query_weight"))).alias("query_norm")
     )
+    kept = weighted.select("query_id", "token", "query_weight", "idf")
+    return stage(kept.join(norms, "query_id"), "query-weights")
 
 
 def _rank(scored: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -215,8 +237,12 @@ def _similarity(vectors: DataFrame, query_terms: DataFrame, keys: list[str]) ->
         F.first("norm").alias("norm"),
         F.first("query_norm").alias("query_norm"),
     )
+    return dots.select(*keys, "query_id", _cosine().alias("similarity"))
+
+
+def _cosine() -> Column:
     cosine = F.try_divide(F.col("dot"), F.col("norm") * F.col("query_norm"))
-    return dots.select(*keys, "query_id", F.coalesce(cosine, F.lit(0.0)).alias("similarity"))
+    return F.coalesce(cosine, F.lit(0.0))
 
 
 def search(
@@ -229,10 +255,15 @@ def search(
 ) -> DataFrame:
     """(query_id, keys, similarity, rank): the k units most similar to each query text.
 
-    Fits the corpus first. Of each unit only the norm and the weights of tokens that some query
-    holds are gathered, and that partitioning by unit serves the sums per (unit, query) too.
+    Fits the corpus first. Units are cut and tokenised once: one row per unit with its counted terms is
+    stored, and document frequencies, norms and products are taken from there.
     """
-    idf = inverse_document_frequency(units, text)
+    counted = stage(counted_terms(units, keys, text), "counted")
+    idf = _idf(stage(_unit_counts(counted), "df"))
     query_terms = _query_weights(queries, idf)
-    found = vectors(units, idf, keys, text, wanted=query_terms, broadcast_rows=broadcast_rows)
-    return _rank(_similarity(found, query_terms, keys), keys, k)
+    matched = _terms(counted, keys).join(sized(query_terms), "token")
+    dots = matched.groupBy(*keys, "query_id").agg(
+        F.sum(_weight() * F.col("query_weight")).alias("dot"), F.first("query_norm").alias("query_norm")
+    )
+    scored = dots.join(norms(counted, idf, keys, broadcast_rows), keys)
+    return _rank(scored.select(*keys, "query_id", _cosine().alias("similarity")), keys, k)

@@ -16,18 +16,19 @@ def load_units(spark: SparkSession, path: str, extractor: parse.Extractor | None
     """(source, content, chunk_id, total_chunks): sentence chunks of the text and paged files in a folder.
 
     Unreadable files stay as a placeholder text, blank ones are skipped. The text is taken as it is,
-    without normalisation.
+    without normalisation. The chunks are stored, so that each file is opened and parsed once.
     """
     parsed = parse.parse_text(files.scan_flat(spark, path, ["txt"])).unionByName(
         parse.parse_paged(files.scan_flat(spark, path, files.PAGED_TYPES), extractor)
     )
     named = parse.with_placeholder(parsed).select(F.regexp_extract("source_path", "([^/]*)$", 1).alias("source"), "text")
-    return chunk.sentence_windows(named, carry=["source"]).select(
+    chunks = chunk.sentence_windows(named, carry=["source"]).select(
         "source",
         F.col("chunk_text").alias("content"),
         F.col("chunk_index").alias("chunk_id"),
         "total_chunks",
     )
+    return stage(chunks, "text-units")
 
 
 def ask(units: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
