@@ -502,6 +502,18 @@ FROM embeddings""",
     "batch_retrieve": f"""
 WITH {RETRIEVED}
 SELECT query_id, rank, chunk_id, doc_id, source_path, chunk_text, similarity_score FROM retrieved""",
+    "retrieve_index": f"""
+WITH {RETRIEVED}
+SELECT query_id, rank, chunk_id, doc_id, source_path, chunk_text, similarity_score FROM retrieved""",
+    "respond_index": f"""
+SELECT query_id, num_chunks_retrieved, prompt, answer
+FROM (WITH {RETRIEVED} SELECT query_id, count(*) AS num_chunks_retrieved FROM retrieved GROUP BY query_id)
+JOIN ({_prompt_sql()}) USING (query_id)
+JOIN ({_answer_sql(prompt.ANSWER_HEADER, prompt.ANSWER_CHARS, "true")}) USING (query_id)""",
+    "ingest_files": f"""
+SELECT DISTINCT sha256(clean) AS hash, clean AS text, 'txt' AS file_type, 1::BIGINT AS page_count,
+  '1.0.0' AS parser_version
+FROM (SELECT {normalized("text")} AS clean FROM documents)""",
     "source_list": f"""
 WITH {RETRIEVED}
 SELECT query_id, string_agg(rank || '|' || chunk_id || '|' || doc_id || '|' || source_path || '|'

@@ -23,11 +23,12 @@ from lectern.operators import (
     search,
     tfidf,
 )
-from lectern.plans import stages
+from lectern.plans import indexing, retrieval, stages
 from lectern.plans.retrieval import outcome
 from lectern.plans.stages import documents_to_chunks as clean_chunks
 from lectern.session import shared_dir, stage
 from lectern.sinks import tables as sink
+from lectern.sources import tables
 from lectern.sources.tables import read_table
 
 # The elapsed seconds the metrics queries assume, since a result cannot depend on the clock.
@@ -550,7 +551,7 @@ def knn_ivf_trained(spark, sf_dir):
 @query
 def knn_lsh(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
-    shape = lsh.Shape(64, lsh.bucket_width(vectors))
+    shape = lsh.Shape(64, lsh.bucket_width(vectors), projections=lsh.projections_for(vectors.count()))
     placed = lsh.with_lists(vectors, "embedding", shape)
     return _rounded(lsh.search(placed, _vector_queries(spark, sf_dir), 10, shape))
 
@@ -612,6 +613,47 @@ def batch_retrieve(spark, sf_dir):
     return plain(found.select("query_id", "rank", "chunk_id", "doc_id", "source_path", "chunk_text", "similarity_score"))
 
 
+def _index(spark, sf_dir, index_type: str):
+    """A stored index over the fixed chunks of the documents, built and loaded as a user does."""
+    root = f"{shared_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    corpus = stages.Corpus(f"{root}/corpus")
+    docs = _as_documents(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    sink.write_documents(docs.withColumn("source_path", F.element_at(F.split("source_path", "/"), 1)), corpus.documents)
+    stages.chunk_corpus(spark, corpus, "fixed")
+    stages.embed_corpus(spark, corpus)
+    indexing.build_index(spark, corpus, f"{root}/index", index_type)
+    return indexing.load_index(spark, f"{root}/index")
+
+
+@query
+def retrieve_index(spark, sf_dir):
+    """As batch_retrieve, from a stored index."""
+    found = retrieval.retrieve(_index(spark, sf_dir, indexing.FLAT), _questions(spark, sf_dir))
+    found = found.withColumn("doc_id", F.col("doc_id").cast("long"))
+    return plain(found.select("query_id", "rank", "chunk_id", "doc_id", "source_path", "chunk_text", "similarity_score"))
+
+
+@query
+def respond_index(spark, sf_dir):
+    """Prompt and answer of every question, from a stored index."""
+    questions = _questions(spark, sf_dir)
+    found = stage(retrieval.retrieve(_index(spark, sf_dir, indexing.FLAT), questions), "results")
+    answers = retrieval.respond(found, questions)
+    return plain(answers.select("query_id", "num_chunks_retrieved", "prompt", "answer"))
+
+
+@query
+def ingest_files(spark, sf_dir):
+    """The texts as files of a folder tree, scanned, decoded, normalised and stored without copies."""
+    root = f"{shared_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    docs.write.partitionBy("source", "doc_id").text(f"{root}/raw")
+    corpus = stages.Corpus(f"{root}/corpus")
+    stages.ingest(spark, f"{root}/raw", corpus)
+    stored = tables.load_documents(spark, corpus.documents)
+    return plain(stored.select("hash", "text", "file_type", "page_count", "parser_version"))
+
+
 @query
 def source_list(spark, sf_dir):
     """The list of a query's sources, written as one text per query."""

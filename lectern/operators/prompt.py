@@ -60,8 +60,7 @@ def sources(results: DataFrame) -> DataFrame:
 
 def source_list(results: DataFrame) -> DataFrame:
     """(query_id, sources, num_chunks_retrieved): the sources of a query as an array in rank order."""
-    fields = ["chunk_id", "chunk_text", "doc_id", "source_path", "similarity_score"]
-    listed = _per_query(sources(results), *[F.col(field) for field in fields])
+    listed = _per_query(sources(results), *[F.col(field) for field in SOURCE_FIELDS])
     return listed.select(
         "query_id", F.col("items").alias("sources"), F.size("items").alias("num_chunks_retrieved")
     )
@@ -71,22 +70,44 @@ def _text() -> Column:
     return F.coalesce(F.col("chunk_text"), F.lit("")).alias("text")
 
 
-def format_prompt(results: DataFrame, queries: DataFrame) -> DataFrame:
-    """(query_id, prompt): the numbered documents and the question in the prompt's template."""
-    source = F.coalesce(F.col("source_path"), F.lit(UNKNOWN_SOURCE)).alias("source")
+def _named_source() -> Column:
+    return F.coalesce(F.col("source_path"), F.lit(UNKNOWN_SOURCE)).alias("source")
+
+
+def _filled_prompt() -> Column:
+    """The prompt from ``items`` (with source and text) and ``query_text``."""
     blocks = F.transform(
         "items",
         lambda item: F.format_string(
             "[Document %d] (Source: %s)\n%s", item["rank"], item["source"], item["text"]
         ),
     )
-    contexts = _per_query(results, source, _text()).select(
-        "query_id", F.array_join(blocks, BETWEEN).alias("_context")
-    )
     before, rest = PROMPT.split("{context}")
     between, after = rest.split("{query}")
-    prompt = F.concat(F.lit(before), "_context", F.lit(between), "query_text", F.lit(after))
-    return contexts.join(queries, "query_id").select("query_id", prompt.alias("prompt"))
+    return F.concat(F.lit(before), F.array_join(blocks, BETWEEN), F.lit(between), "query_text", F.lit(after))
+
+
+def format_prompt(results: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, prompt): the numbered documents and the question in the prompt's template."""
+    listed = _per_query(results, _named_source(), _text())
+    return listed.join(queries, "query_id").select("query_id", _filled_prompt().alias("prompt"))
+
+
+SOURCE_FIELDS = ["chunk_id", "chunk_text", "doc_id", "source_path", "similarity_score"]
+
+
+def responses(results: DataFrame, queries: DataFrame) -> DataFrame:
+    """(query_id, sources, num_chunks_retrieved, prompt, answer) from a single grouping of the results."""
+    fields = [F.col(field) for field in SOURCE_FIELDS]
+    listed = _per_query(sources(results), *fields, _named_source(), _text())
+    kept = F.transform("items", lambda item: F.struct(*[item[f].alias(f) for f in ["rank", *SOURCE_FIELDS]]))
+    return listed.join(queries, "query_id").select(
+        "query_id",
+        kept.alias("sources"),
+        F.size("items").alias("num_chunks_retrieved"),
+        _filled_prompt().alias("prompt"),
+        F.concat(F.lit(ANSWER_HEADER), _excerpts(F.col("items"), ANSWER_CHARS)).alias("answer"),
+    )
 
 
 def _excerpts(items: Column, length: int) -> Column:

@@ -56,8 +56,4 @@ def outcome(
 
 def respond(results: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, sources, num_chunks_retrieved, prompt, answer) of every query with results."""
-    return (
-        prompt.source_list(results)
-        .join(prompt.format_prompt(results, queries), "query_id")
-        .join(prompt.extractive_answer(results), "query_id")
-    )
+    return prompt.responses(results, queries)
