@@ -108,17 +108,17 @@ def test_paged_files_without_extractor_are_failures(spark, folder):
 
 
 def test_ingest_corrupted_file(spark, folder):
-    raw = write(f"{folder}/raw", {"valid.txt": "Valid document content", "corrupted.pdf": b"Not a valid PDF", "blank.pdf": b"%PDF\f"})
+    raw = write(f"{folder}/raw", {"good.txt": "Herons wade at dawn", "bad.pdf": b"plain bytes", "blank.pdf": b"%PDF\f"})
     corpus = stages.Corpus(f"{folder}/out")
     row = stages.ingest(spark, raw, corpus, extractor)
     assert metric(row, *COUNTS) == (2, 1, 0)
     failed = spark.read.json(corpus.quarantine).collect()
-    assert [os.path.basename(r["source_path"]) for r in failed] == ["corrupted.pdf"]
+    assert [os.path.basename(r["source_path"]) for r in failed] == ["bad.pdf"]
     assert failed[0]["error"] and failed[0]["timestamp"]
 
 
 def test_ingest_documents_table(spark, folder):
-    raw = write(f"{folder}/raw", {"test1.txt": "First  document", "test2.txt": "Second document"})
+    raw = write(f"{folder}/raw", {"a.txt": "Herons  wade", "b.txt": "Otters swim"})
     corpus = stages.Corpus(f"{folder}/out")
     stages.ingest(spark, raw, corpus)
     docs = tables.load_documents(spark, corpus.documents)
@@ -128,7 +128,7 @@ def test_ingest_documents_table(spark, folder):
         ("ingestion_timestamp", "timestamp"), ("parser_version", "string"),
     ]
     rows = docs.orderBy("source_path").collect()
-    assert [r["text"] for r in rows] == ["First document", "Second document"]
+    assert [r["text"] for r in rows] == ["Herons wade", "Otters swim"]
     for r in rows:
         assert len(r["doc_id"]) == 36 and r["doc_id"].count("-") == 4 and len(r["hash"]) == 64
         assert (r["file_type"], r["page_count"], r["parser_version"]) == ("txt", 1, "1.0.0")
@@ -214,6 +214,52 @@ def test_embedding_again_adds_nothing(spark, built):
     assert spark.read.parquet(corpus.embeddings).count() == before
 
 
+def _same_vectors(spark, corpus):
+    """Every stored chunk has the vector of its own text, and there are no others."""
+    chunks = spark.read.parquet(corpus.chunks).select("chunk_id", "chunk_text")
+    own = {r["chunk_id"]: r["embedding"] for r in embed.embed_hashed(chunks).collect()}
+    stored = {r["chunk_id"]: r["embedding"] for r in spark.read.parquet(corpus.embeddings).collect()}
+    assert stored == own
+    return len(own)
+
+
+@pytest.mark.parametrize("second", [(100, 10), (300, 30), (200, 20)])
+def test_cutting_anew_leaves_no_vector_of_another_text(spark, folder, second):
+    raw = write(f"{folder}/raw", {f"{n}.txt": f"Otters swim past mill number {n}. " * (n + 3) for n in range(12)})
+    corpus = stages.Corpus(f"{folder}/out")
+    stages.ingest(spark, raw, corpus)
+    counts = []
+    for size, overlap in ((200, 20), second, (200, 20)):
+        stages.chunk_corpus(spark, corpus, size=size, overlap=overlap)
+        stages.embed_corpus(spark, corpus)
+        counts.append(_same_vectors(spark, corpus))
+        indexing.build_index(spark, corpus, f"{folder}/index")
+        assert indexing.load_index(spark, f"{folder}/index").entries.count() == counts[-1]
+    assert counts[0] == counts[2]
+
+
+def test_changes_are_merged(spark, folder):
+    raw = write(f"{folder}/raw", {f"{n}.txt": f"Otters swim past mill number {n}. " * 30 for n in range(6)})
+    corpus = stages.Corpus(f"{folder}/out")
+    stages.ingest(spark, raw, corpus)
+    stages.chunk_corpus(spark, corpus)
+    stages.embed_corpus(spark, corpus)
+    second = write(f"{folder}/second", {f"{n}.txt": f"Otters swim past mill number {n}. " * 30 for n in range(1, 7)})
+    write(second, {"2.txt": "Herons wade instead. " * 40})
+    other = stages.Corpus(f"{folder}/other")
+    stages.ingest(spark, second, other)
+    moved = F.regexp_replace("source_path", "/second/", "/raw/")
+    incoming = tables.load_documents(spark, other.documents).withColumn("source_path", moved)
+    for _ in range(2):
+        stages.apply_changes(spark, corpus, incoming)
+        docs = tables.load_documents(spark, corpus.documents).collect()
+        assert {(r["source_path"], r["hash"]) for r in docs} == {(r["source_path"], r["hash"]) for r in incoming.collect()}
+        assert len(docs) == 6
+        chunked = spark.read.parquet(corpus.chunks)
+        assert {r["doc_id"] for r in chunked.collect()} == {r["doc_id"] for r in docs}
+        assert _same_vectors(spark, corpus) == chunked.count()
+
+
 def test_hashed_encoder_against_a_model(spark):
     import hashlib
     import re

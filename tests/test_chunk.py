@@ -7,12 +7,19 @@ from pyspark.sql import functions as F
 from lectern.operators import chunk
 from lectern.plans.stages import documents_to_chunks
 
+
+
+def sentence(length):
+    """A sentence of so many characters with the blank after it."""
+    return "Herons wade slowly through cold water below the old mill at dawn"[: length - 2].replace(" ", "-") + ". "
+
+
 DOCS = {
-    "doc1": "This is a short document. " * 10,
-    "doc2": "This is a longer document with more content. " * 20,
-    "doc3": "A" * 1000,
-    "doc4": "Short.",
-    "doc5": "This document has multiple sentences. Each sentence adds content. " * 15,
+    "doc1": sentence(26) * 10,
+    "doc2": sentence(45) * 20,
+    "doc3": "x" * 1000,
+    "doc4": "Brief.",
+    "doc5": (sentence(38) + sentence(28)) * 15,
 }
 
 
@@ -41,18 +48,18 @@ def test_counts(spark, size, overlap, total):
 
 
 def test_grid(spark):
-    text = frame(spark, {"d": "This is a test document. " * 50})
+    text = frame(spark, {"d": sentence(25) * 50})
     for (size, overlap), count in {(512, 50): 3, (256, 25): 6, (1024, 100): 2, (100, 10): 14}.items():
         found = windows(chunk.fixed_windows(text, size, overlap))["d"]
         assert len(found) == count and all(len(t) <= size for _, _, t in found)
 
 
 def test_borders(spark):
-    text = frame(spark, {"d": "A" * 100})
+    text = frame(spark, {"d": "x" * 100})
     assert spans(chunk.fixed_windows(text, 30, 5)) == [(0, 30), (25, 55), (50, 80), (75, 100)]
     assert spans(chunk.fixed_windows(text, 30, 40)) == [(0, 30), (30, 60), (60, 90), (90, 100)]
     assert chunk.fixed_windows(frame(spark, {"d": "", "e": "   \n\n\t  "})).count() == 0
-    assert windows(chunk.fixed_windows(frame(spark, {"d": "Short text"})))["d"] == [(0, 10, "Short text")]
+    assert windows(chunk.fixed_windows(frame(spark, {"d": "Tiny texts"})))["d"] == [(0, 10, "Tiny texts")]
     with pytest.raises(ValueError):
         chunk.fixed_windows(text, 0, 0)
 

@@ -143,6 +143,35 @@ def test_filters(spark):
     assert kept({"file_type": []}) == kept({"doc_type": "pdf"}) == []
     assert kept({"size": None}) == [1]
     assert kept({"file_type": ["pdf", None]}) == [1, 3]
+    assert kept({"size": "5"}) == kept({"size": ["x", 5.5]}) == kept({"file_type": 5}) == kept({"size": 1 << 70}) == []
+    assert kept({"size": 5.0}) == kept({"size": ["x", 5]}) == [2, 3]
+    assert kept({"size": float("nan")}) == kept({"vec_id": "1"}) == []
+    assert kept({"vec_id": True}) == [1]
+
+
+def test_a_task_sends_k_rows_per_query_whatever_its_batches(spark):
+    data, asked = clustered(2000), clustered(6, seed=3)
+    vectors, queries = tables(spark, data, asked)
+    small = nn._small_side(queries, "query_id", "query_vector", 1 << 20)
+    one_task = vectors.coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        found = nn._scan_vectors(one_task, small, 4, nn._types(vectors, queries))
+        assert found.count() == 6 * 4
+        assert ranked(nn.ranked(found, 4)) == brute(data, asked, 4)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_training_takes_every_vector(spark):
+    data = clustered(900)
+    vectors, _ = tables(spark, data, data[:1])
+    centroids = ivf.train_centroids(vectors, 3, rounds=6).orderBy("list_id").collect()
+    means = np.array([r["centroid"] for r in centroids])
+    nearest_list = ((data[:, None, :].astype(float) - means[None]) ** 2).sum(-1).argmin(1)
+    again = ivf.train_centroids(vectors.repartition(3), 3, rounds=7).orderBy("list_id").collect()
+    moved = np.array([data[nearest_list == n].astype(float).mean(0) if (nearest_list == n).any() else means[n] for n in range(3)])
+    assert np.allclose(moved, np.array([r["centroid"] for r in again]))
 
 
 def test_filtered_search(spark):
@@ -175,6 +204,8 @@ def test_validation(spark):
         (vectors, names.limit(9), 8),
         (vectors.limit(9), names, 8),
         (vectors.withColumn("embedding", F.transform("embedding", lambda x: x * float("nan"))), names, 8),
+        (vectors.withColumn("embedding", F.transform("embedding", lambda x: x + float("inf"))), names, 8),
+        (vectors.unionByName(vectors), names.unionByName(names), 8),
     ):
         with pytest.raises(ValueError):
             search.require_valid(broken, known, dim)
