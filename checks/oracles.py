@@ -502,6 +502,10 @@ FROM embeddings""",
     "batch_retrieve": f"""
 WITH {RETRIEVED}
 SELECT query_id, rank, chunk_id, doc_id, source_path, chunk_text, similarity_score FROM retrieved""",
+    "stored_positions": f"""
+WITH {FIXED_CHUNKS}
+SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS embedding_index, 'hashed-bag-of-words' AS model_name,
+       64::BIGINT AS embedding_dim FROM chunks""",
     "retrieve_index": f"""
 WITH {RETRIEVED}
 SELECT query_id, rank, chunk_id, doc_id, source_path, chunk_text, similarity_score FROM retrieved""",

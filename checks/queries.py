@@ -613,16 +613,28 @@ def batch_retrieve(spark, sf_dir):
     return plain(found.select("query_id", "rank", "chunk_id", "doc_id", "source_path", "chunk_text", "similarity_score"))
 
 
-def _index(spark, sf_dir, index_type: str):
-    """A stored index over the fixed chunks of the documents, built and loaded as a user does."""
-    root = f"{shared_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
-    corpus = stages.Corpus(f"{root}/corpus")
+def _embedded_corpus(spark, sf_dir, commits: int = 1) -> stages.Corpus:
+    """The documents as a stored corpus with fixed chunks and their vectors."""
+    corpus = stages.Corpus(f"{shared_dir(spark).rstrip('/')}/corpus-{uuid.uuid4().hex}")
     docs = _as_documents(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
     sink.write_documents(docs.withColumn("source_path", F.element_at(F.split("source_path", "/"), 1)), corpus.documents)
     stages.chunk_corpus(spark, corpus, "fixed")
-    stages.embed_corpus(spark, corpus)
-    indexing.build_index(spark, corpus, f"{root}/index", index_type)
-    return indexing.load_index(spark, f"{root}/index")
+    stages.embed_corpus(spark, corpus, commits=commits)
+    return corpus
+
+
+def _index(spark, sf_dir, index_type: str):
+    """A stored index over the fixed chunks of the documents, built and loaded as a user does."""
+    corpus = _embedded_corpus(spark, sf_dir)
+    indexing.build_index(spark, corpus, f"{corpus.root}/index", index_type)
+    return indexing.load_index(spark, f"{corpus.root}/index")
+
+
+@query
+def stored_positions(spark, sf_dir):
+    """The position table that embedding in three commits leaves behind."""
+    positions = spark.read.parquet(_embedded_corpus(spark, sf_dir, commits=3).positions)
+    return plain(positions.select("chunk_id", "embedding_index", "model_name", "embedding_dim"))
 
 
 @query

@@ -43,6 +43,10 @@ class Corpus:
     def embeddings(self) -> str:
         return self._at("embeddings")
 
+    @property
+    def positions(self) -> str:
+        return self._at("embedding_positions")
+
     @property
     def quarantine(self) -> str:
         return self._at("quarantine")
@@ -106,10 +110,15 @@ def embed_corpus(
     strategy: str | None = None,
     batch_size: int = embed.BATCH_SIZE,
     at: Column | None = None,
+    commits: int = 1,
 ) -> DataFrame:
     """Vectors of the chunks the model has not embedded yet; returns the metrics row.
 
-    Vectors of the model whose chunk is not stored any more, since documents were cut anew, go first.
+    Vectors of the model whose chunk is not stored any more, since documents were cut anew, are dropped.
+    The table of positions, in the order of the chunk ids, is written anew.
+    With ``commits``, the chunks are embedded in so many parts by a hash of their id, and each is stored
+    when it is done: a run that is broken off keeps the finished parts, and the next one embeds the
+    rest. Each part reads the chunk texts, so it is meant for encoders that cost far more than that.
     """
     started = time.time()
     encoders = encoders or Encoders()
@@ -120,22 +129,31 @@ def embed_corpus(
     chunks = chunks.select("chunk_id", "chunk_text")
     stored = tables.if_stored(lambda: spark.read.parquet(corpus.embeddings))
     if stored is not None:
-        stored = stored.where(F.col("model_name") == model_name)
         chunks = embed.not_yet_embedded(chunks, stored, model_name)
-    embedded = encoders.embed(chunks, model_name, batch_size=batch_size).select(
-        "chunk_id", "embedding", "embedding_dim", at.alias("embedding_timestamp"), "model_name"
-    )
-    known = spark.read.parquet(corpus.chunks).select("chunk_id")
-    if stored is not None and embed.orphaned(stored, known).take(1):
-        kept = stored.join(known, "chunk_id", "left_semi").select(*embedded.columns)
-        sink.replace_embeddings(stage(kept.unionByName(embedded), "vectors"), corpus.embeddings)
-    else:
+    part = F.pmod(F.xxhash64("chunk_id"), F.lit(commits))
+    for number in range(commits):
+        mine = chunks.where(part == number) if commits > 1 else chunks
+        embedded = encoders.embed(mine, model_name, batch_size=batch_size).select(
+            "chunk_id", "embedding", "embedding_dim", at.alias("embedding_timestamp"), "model_name"
+        )
         sink.write_embeddings(embedded, corpus.embeddings)
+    _drop_orphans(spark, corpus, model_name)
     stored = spark.read.parquet(corpus.embeddings).where(F.col("model_name") == model_name)
+    sink.write_positions(embed.embedding_index(stored, at), corpus.positions)
     row = metrics.embed_metrics(stored.select("chunk_id"), model_name, "cpu", time.time() - started)
     return _finish(corpus, "embedding", row)
 
 
+def _drop_orphans(spark: SparkSession, corpus: Corpus, model_name: str) -> None:
+    """Rewrite a model's vectors without those whose chunk is gone, if there are any. Runs after the new
+    ones are stored, so that a run broken off before loses nothing."""
+    stored = spark.read.parquet(corpus.embeddings).where(F.col("model_name") == model_name)
+    known = spark.read.parquet(corpus.chunks).select("chunk_id")
+    if embed.orphaned(stored, known).take(1):
+        kept = stored.join(known, "chunk_id", "left_semi").select(*stored.columns)
+        sink.replace_embeddings(stage(kept, "vectors"), corpus.embeddings)
+
+
 def apply_changes(
     spark: SparkSession, corpus: Corpus, incoming: DataFrame, strategy: str = "fixed", **options: int
 ) -> None:

@@ -49,6 +49,11 @@ def replace_embeddings(embedded: DataFrame, path: str) -> None:
     embedded.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("model_name").parquet(path)
 
 
+def write_positions(positions: DataFrame, path: str) -> None:
+    """Replace the table of embedding positions of the models at hand."""
+    positions.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("model_name").parquet(path)
+
+
 def write_json(rows: DataFrame, path: str) -> None:
     """Side output: metrics or quarantine rows."""
     rows.write.mode("overwrite").json(path)

@@ -238,6 +238,43 @@ def test_cutting_anew_leaves_no_vector_of_another_text(spark, folder, second):
     assert counts[0] == counts[2]
 
 
+def test_a_broken_run_keeps_its_finished_parts(spark, folder):
+    raw = write(f"{folder}/raw", {f"{n}.txt": f"Otters swim past mill number {n}. " * 20 for n in range(12)})
+    corpus = stages.Corpus(f"{folder}/out")
+    stages.ingest(spark, raw, corpus)
+    stages.chunk_corpus(spark, corpus, size=100, overlap=10)
+    last = F.pmod(F.xxhash64("chunk_id"), F.lit(4)) == 3
+    bad = spark.read.parquet(corpus.chunks).where(last).first()["chunk_text"]
+    encoders = embed.Encoders()
+
+    def encoder(fails):
+        def make():
+            def encode(texts):
+                if fails and bad in texts:
+                    raise ValueError("broken off")
+                return [[float(len(t)), 1.0] for t in texts]
+
+            return encode
+
+        return make
+
+    encoders.add("slow", encoder(True), 2)
+    with pytest.raises(Exception, match="broken off"):
+        stages.embed_corpus(spark, corpus, "slow", encoders, commits=4)
+    chunks = spark.read.parquet(corpus.chunks).count()
+    finished = {r["chunk_id"] for r in spark.read.parquet(corpus.embeddings).collect()}
+    assert finished == {r["chunk_id"] for r in spark.read.parquet(corpus.chunks).where(~last).collect()}
+    encoders.add("slow", encoder(False), 2)
+    later = F.lit("2030-01-01").cast("timestamp")
+    stages.embed_corpus(spark, corpus, "slow", encoders, commits=4, at=later)
+    rows = spark.read.parquet(corpus.embeddings).collect()
+    assert len(rows) == len({r["chunk_id"] for r in rows}) == chunks
+    assert {r["chunk_id"] for r in rows if r["embedding_timestamp"].year < 2030} == finished
+    positions = spark.read.parquet(corpus.positions).orderBy("embedding_index").collect()
+    assert [r["embedding_index"] for r in positions] == list(range(chunks))
+    assert [r["chunk_id"] for r in positions] == sorted(r["chunk_id"] for r in rows)
+
+
 def test_changes_are_merged(spark, folder):
     raw = write(f"{folder}/raw", {f"{n}.txt": f"Otters swim past mill number {n}. " * 30 for n in range(6)})
     corpus = stages.Corpus(f"{folder}/out")
