@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.operators.rows import sized
@@ -70,6 +71,23 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+_KEPT: dict = {}
+
+
+def kept_in_worker(key: tuple, make: Callable[[], object]):
+    """An object that a Python worker keeps from task to task: a table read from a file, a bounded cache."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def text_slices(column: pa.Array, limit: int) -> Iterator[list[str]]:
+    """The texts of a batch in runs of about ``limit`` bytes; null as empty."""
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for a, b in slices_by_bytes(lengths, limit):
+        yield [t or "" for t in column.slice(a, b - a).to_pylist()]
+
+
 def slices_by_bytes(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
     """Cut consecutive rows into runs of about ``limit`` bytes; a larger row is a run of its own."""
     start = total = 0

@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from lectern.llm.common import slices_by_bytes
+from lectern.llm.common import kept_in_worker, text_slices
 from lectern.llm.pieces import spelled, split_text
 
 # Tokens above which a document does not fit one context.
@@ -186,21 +187,19 @@ def token_counts(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = None
-        known: dict[str, int] = {}
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = table or BytePairs(path)
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            sizes = [len(t.encode("utf-8")) for t in texts]
+            table = kept_in_worker(("pairs", path), lambda: BytePairs(path))
+            known = kept_in_worker(("counts", path), dict)
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0)
             counts: list[int] = []
-            for a, b in slices_by_bytes(sizes, _SLICE_BYTES):
-                counts += batch_counts(table, known, texts[a:b])
+            for texts in text_slices(batch.column(1), _SLICE_BYTES):
+                counts += batch_counts(table, known, texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(sizes, pa.int64()),
+                    sizes.cast(pa.int64()),
                     pa.array(counts, pa.int64()),
                     pa.array([c > limit for c in counts], pa.bool_()),
                 ],

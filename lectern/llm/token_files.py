@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.llm.common import slices_by_bytes
+from lectern.llm.common import kept_in_worker, text_slices
 from lectern.llm.pieces import spelled, split_text
 from lectern.session import shared_dir, stage
 
@@ -28,7 +28,7 @@ END_ID = 0
 # Pieces whose ids a task remembers before it forgets them all, and bytes of text in work at a time.
 CACHE_PIECES = 500_000
 _SLICE_BYTES = 4 << 20
-_JOINED_PIECES = 256
+_JOINED_PIECES, _JOINED_TEXTS = 256, 64
 
 _MANIFEST = (
     "part int, tokens_file string, offsets_file string, ids_file string, width int, documents long, tokens long"
@@ -43,10 +43,16 @@ def id_width(path: str) -> int:
     return 2 if largest < 1 << 16 else 4
 
 
+# Marks that end many words. After a Latin letter, one of them at the end of a piece is a token of its own.
+_MARKS = frozenset(".,;:!?")
+_LAST_LATIN = "\u024f"
+
+
 class _Encoder:
     """Ids of whole texts as bytes, from the library's ids of their pieces."""
 
     def __init__(self, path: str, width: int):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -59,13 +65,23 @@ class _Encoder:
     def _each(self, texts: list[str]) -> list[bytes]:
         return [self._bytes(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, parts: list[str]) -> None:
+    def _learn(self, parts: set[str]) -> None:
+        """A word with a mark at its end has the ids of the word and of the mark; see ``_MARKS``."""
+        marked = [p for p in parts if p[-1:] in _MARKS and p[-2:-1].isalpha() and p[-2] <= _LAST_LATIN]
+        words = parts.difference(marked).union(p[:-1] for p in marked).difference(self.known)
+        alone = [p for p in words if not p or p == "\n"]
+        self.known.update(zip(alone, self._each([spelled(p) for p in alone]), strict=True))
+        rest = [p for p in words if p and p != "\n"]
+        step = _JOINED_PIECES * _JOINED_TEXTS
+        for i in range(0, len(rest), step):
+            self._learn_joined(rest[i : i + step])
+        ends = dict(zip(sorted(_MARKS), self._each(sorted(_MARKS)), strict=True))
+        self.known.update((p, self.known[p[:-1]] + ends[p[-1]]) for p in marked)
+
+    def _learn_joined(self, parts: list[str]) -> None:
         """Pieces that begin with white space and do not end with it keep their ids side by side, so
         many are encoded in one text and told apart by their places in it."""
-        alone = [p for p in parts if not p or p == "\n"]
-        self.known.update(zip(alone, self._each([spelled(p) for p in alone]), strict=True))
-        rest = [p for p in parts if p and p != "\n"]
-        runs = [rest[i : i + _JOINED_PIECES] for i in range(0, len(rest), _JOINED_PIECES)]
+        runs = [parts[i : i + _JOINED_PIECES] for i in range(0, len(parts), _JOINED_PIECES)]
         full = [[spelled(p) for p in run] for run in runs]
         encoded = self.library.encode_batch(["".join(x) for x in full], add_special_tokens=False)
         width = self.kind.itemsize
@@ -82,7 +98,7 @@ class _Encoder:
         if len(self.known) + len(new) > CACHE_PIECES:
             self.known.clear()
             new = set().union(*(after for _, after in split))
-        self._learn(list(new))
+        self._learn(new)
         first = list({p for begin, _ in split for p in begin})
         starts = dict(zip(first, self._each(first), strict=True))
         return [
@@ -132,11 +148,11 @@ def write_token_files(
             if out is None:
                 store, base = _open(folder)
                 store.create_dir(base, recursive=True)
-                encoder, out = _Encoder(path, width), store.open_output_stream(f"{base}/{files[0]}")
-            texts = batch.column(1).to_pylist()
+                encoder = kept_in_worker(("encoder", path, width), lambda: _Encoder(path, width))
+                out = store.open_output_stream(f"{base}/{files[0]}")
             ids.append(batch.column(0))
-            for a, b in slices_by_bytes([len(t) for t in texts], _SLICE_BYTES):
-                for one in encoder.encode(texts[a:b]):
+            for texts in text_slices(batch.column(1), _SLICE_BYTES):
+                for one in encoder.encode(texts):
                     out.write(one + end)
                     offsets.append(offsets[-1] + len(one) // width + 1)
         if out is None:
