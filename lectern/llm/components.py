@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lectern.operators.rows import sized
 from lectern.session import stage
 
 
@@ -14,8 +15,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     one (large star), then its smaller neighbours likewise (small star). Both keep the components; the
     links end as stars around the smallest nodes, after a number of rounds that grows with the
     logarithm of the longest path. A round is two aggregations with partial minima and joins back to
-    the links, so a node with very many neighbours is never gathered. Each round is written to the
-    shared folder.
+    the links. The minima are stored first, so that a join meets plain tables and adaptive execution can
+    split the links of a node with very many neighbours. Each round is written to the shared folder.
     """
     edges = stage(
         links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "links"
@@ -23,11 +24,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     rounds = 0
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"links-least-{rounds}")
+        large = both.where("v > u").join(sized(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large.where("u <> v"), f"links-large-{rounds}")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(least, "u")
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), f"links-least-{rounds}")
+        pairs = large.join(sized(least), "u")
         small = (
             pairs.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(pairs.select("u", F.col("m").alias("v")))

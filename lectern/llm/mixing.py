@@ -17,7 +17,6 @@ import heapq
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.common import ranked
-from lectern.operators.rows import sized
 from lectern.session import stage
 
 PERIOD = 10_000
@@ -140,5 +139,5 @@ def in_mix_order(docs: DataFrame, id_col: str = "doc_id", source: str = "source"
         F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.struct("slot", "place").alias("__at")
     )
     same: Column = docs[id_col].eqNullSafe(F.col("__id")) & docs[source].eqNullSafe(F.col("__source"))
-    placed = docs.join(sized(order, 0), same).select(*docs.columns, "__at")
+    placed = docs.join(order.hint("merge"), same).select(*docs.columns, "__at")
     return placed.repartitionByRange("__at").sortWithinPartitions("__at").select(*docs.columns)

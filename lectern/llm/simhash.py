@@ -28,7 +28,7 @@ SEED = 42
 BITS = 64
 
 # Entries of a table value from which its members are linked through shared neighbours, not pair by pair.
-CROWDED = 512
+CROWDED = 2048
 
 _SLICE_BYTES = 4 << 20
 _MEETING_COST = 0.05  # of comparing two fingerprints, against sending a look-up
@@ -163,12 +163,22 @@ def links(
     left, right = probes.withColumnRenamed("fingerprint", "a"), table.withColumnRenamed("fingerprint", "b")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= link_bits
     same = (left.segment == right.segment) & (left.value == right.value)
-    found = left.join(right, same & near & (F.col("a") != F.col("b"))).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    )
+    once = (F.col("a") < F.col("b")) & _first_meeting(left.segment, parts)
+    found = left.join(right, same & near & once).select("a", "b")
     if has_hot:
         found = found.unionByName(_through_points(members.select("fingerprint").distinct(), link_bits))
-    return found.distinct()
+    return found
+
+
+def _first_meeting(segment: Column, parts: list[tuple[int, int, int]]) -> Column:
+    """True in the first segment in which a and b are within the radius: a pair that meets in several
+    tables is one link."""
+    differing = F.col("a").bitwiseXOR(F.col("b"))
+    beyond = [F.bit_count(_value(differing, offset, width)) > radius for offset, width, radius in parts]
+    first = F.lit(True)
+    for i in range(1, len(parts)):
+        first = first & ((segment < i) | beyond[i - 1])
+    return first
 
 
 def _points(members: DataFrame, radius: int) -> DataFrame:

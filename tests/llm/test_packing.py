@@ -62,7 +62,7 @@ def test_pack_a_table(spark):
 
 def test_batches_follow_a_given_order(spark):
     docs = samples.simple(spark, [(i, "a b c") for i in range(50)])
-    rows = op.pack(docs, order=[F.desc("doc_id").expr if False else -F.col("doc_id")], batch_tokens=16).collect()
+    rows = op.pack(docs, order=[-F.col("doc_id")], batch_tokens=16).collect()
     assert [r.doc_id for r in sorted(rows, key=lambda r: (r.batch, r.place))] == list(range(49, -1, -1))
 
 
