@@ -235,8 +235,10 @@ def near_duplicates(
     labelled = distinct.join(nodes, F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component")
     )
-    smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_print = stage(labelled.join(smallest, "component").select("fingerprint", "component_id"), "simhash-groups")
+    labelled = stage(labelled, "simhash-labels")  # stored tables, so that the join can split a large component
+    smallest = stage(labelled.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-smallest")
+    by_print = labelled.join(sized(smallest), "component").select("fingerprint", "component_id")
+    by_print = stage(by_print, "simhash-groups")
     return prints.join(sized(by_print), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
