@@ -64,6 +64,16 @@ def _bounds(distinct: np.ndarray, parts: int) -> np.ndarray:
     return np.r_[0, np.searchsorted(distinct, edges), len(distinct)]
 
 
+def _by_bytes(values: np.ndarray) -> bytes:
+    """Numbers with all their first bytes first, then all second ones: the high bytes of sorted keys and of
+    small counts hardly change, so that the shuffle's compression makes little of them."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _from_bytes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
+
+
 def _texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     return column.cast(pa.binary()).fill_null(b"").to_pylist()
 
@@ -128,8 +138,8 @@ def backoff_scores(
                 "chunk": pa.array([key] * parts, pa.int64()),
                 "part": pa.array(range(parts), pa.int32()),
                 "words": pa.array([int(grams.lengths.sum())] * parts, pa.int64()),
-                "keys": pa.array([grams.distinct[a:b].tobytes() for a, b in spans], pa.binary()),
-                "counts": pa.array([grams.counts[a:b].astype("<u4").tobytes() for a, b in spans], pa.binary()),
+                "keys": pa.array([_by_bytes(grams.distinct[a:b]) for a, b in spans], pa.binary()),
+                "counts": pa.array([_by_bytes(grams.counts[a:b]) for a, b in spans], pa.binary()),
             }
         )
 
@@ -150,8 +160,8 @@ def backoff_scores(
             yield from count(key, pa.Table.from_batches(held)).to_batches()
 
     def total(rows: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k, "<u8") for k in rows.column("keys").to_pylist()]
-        counts = [np.frombuffer(c, "<u4") for c in rows.column("counts").to_pylist()]
+        keys = [_from_bytes(k) for k in rows.column("keys").to_pylist()]
+        counts = [_from_bytes(c) for c in rows.column("counts").to_pylist()]
         _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(inverse, weights=np.concatenate(counts)).astype("<i8")
         back = sums[inverse]
@@ -162,14 +172,14 @@ def backoff_scores(
                 "chunk": rows.column("chunk"),
                 "part": rows.column("part"),
                 "words": pa.array([words] * rows.num_rows, pa.int64()),
-                "totals": pa.array([back[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
+                "totals": pa.array([_by_bytes(back[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary()),
             }
         )
 
     def score(documents: pa.Table, totals: pa.Table) -> pa.Table:
         grams = Grams(_texts(documents.column("text")), order)
         rows = totals.sort_by("part")
-        joined = np.concatenate([np.frombuffer(t, "<i8") for t in rows.column("totals").to_pylist()])
+        joined = np.concatenate([_from_bytes(t) for t in rows.column("totals").to_pylist()]).astype(np.int64)
         if len(joined) != len(grams.distinct):
             raise ValueError("the rows of a chunk changed between two scans: store the table first")
         sums = _scores(grams, joined, rows.column("words")[0].as_py(), order, alpha)
