@@ -6,17 +6,22 @@ ceil((j + 1) / w). The earliest deadline among released blocks goes first; as th
 every block meets its window, so after t slots a source has had more than t * w - 1 and fewer than
 t * w + 1 blocks.
 
-Weights are whole parts of a period, at whose end all windows start anew. So the schedule of one
-period, a table of fixed size, is the schedule of all blocks there will ever be.
+Weights are kept exactly, as whole numbers over their sum, so windows never drift from the targets. One
+pass over the blocks that the sources really have gives their slots: a row per block of 64 documents, made
+from a row per source.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.llm.common import ranked
+from lectern.operators.rows import sized
 from lectern.session import stage
 
 PERIOD = 10_000
@@ -27,6 +32,9 @@ OWN_WEIGHTS = 1_000
 # Weights go with the documents of a source to this power: 1 keeps their shares, 0 makes them equal.
 EXPONENT = 0.5
 
+_PLAN = "_stream string, _block long, release long, deadline long, slot long"
+_PLAN_ROWS = 10_000
+
 
 def whole_parts(weights: list[float], period: int = PERIOD) -> list[int]:
     """Whole numbers in proportion to the weights, at least one each, whose sum is the period."""
@@ -59,6 +67,39 @@ def windows(parts: list[int]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
+def exact_parts(weights: list[float]) -> list[int]:
+    """Whole numbers in exactly the proportion of the weights."""
+    if not weights or min(weights) <= 0:
+        raise ValueError("positive weights are needed")
+    exact = [Fraction(w) for w in weights]
+    common = max(f.denominator for f in exact)  # powers of two
+    return [f.numerator * (common // f.denominator) for f in exact]
+
+
+def schedule(parts: list[int], blocks: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """(stream, block, release, deadline, slot) of the first so many blocks of every stream, in slot order.
+
+    Behind its last block a stream leaves one more slot empty; from then on its share is nobody's, and
+    a slot is empty if no block is released.
+    """
+    period = sum(parts)
+    waiting = [(0, s, 0) for s in range(len(parts))]  # release, stream, block
+    ready: list[tuple[int, int, int, int]] = []  # deadline, stream, block, release
+    heapq.heapify(waiting)
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, s, block = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(block + 1) * period // parts[s]), s, block, release))
+        deadline, s, block, release = heapq.heappop(ready)
+        if block < blocks[s]:
+            yield s, block, release, deadline, slot
+            heapq.heappush(waiting, ((block + 1) * period // parts[s], s, block + 1))
+        slot += 1
+
+
 def size_weights(
     docs: DataFrame, source: str = "source", exponent: float = EXPONENT, at_most: int = OWN_WEIGHTS
 ) -> tuple[dict[str, float], float | None]:
@@ -78,7 +119,7 @@ def mix(
     id_col: str = "doc_id",
     source: str = "source",
     block_documents: int = BLOCK_DOCUMENTS,
-    period: int = PERIOD,
+    period: int | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, source, block, release, deadline, slot, place; the mix is their
     order by slot and place.
@@ -86,50 +127,67 @@ def mix(
     The documents of a source are cut into blocks in the order of a hash of their ids. Without weights,
     ``size_weights`` sets them. Sources without a weight of their own, and null, form one stream with
     ``rest_weight`` (by default that of the smallest source given). No document is dropped or repeated:
-    when a source has no blocks left its slots stay empty, and the others keep their proportions.
+    the others keep their windows when a source has no blocks left, and slots without a block stay empty.
+
+    Weights hold exactly. With ``period`` they are rounded to whole parts of it first (``whole_parts``).
 
     Rows that repeat id and source are one document. Null ids are one document per source. An empty
     table gives no rows. Further columns are ignored.
     """
     spark = docs.sparkSession
+    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source")).distinct()
     if weights is None:
         weights, rest_weight = size_weights(docs, source)
-    names = sorted(weights)
-    streams = [weights[n] for n in names]
     if rest_weight is None:
-        rest_weight = min(streams, default=1.0)
-    parts = whole_parts([*streams, rest_weight], period)
-    known = spark.createDataFrame([(i, n) for i, n in enumerate(names)], "stream int, _name string")
-    plan = spark.createDataFrame(
-        [(s, parts[s], *rest) for s, *rest in windows(parts)],
-        "stream int, parts int, _block int, _release int, _deadline int, _slot_in_period int",
-    )
-    chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source")).distinct()
-    streamed = (
-        chosen.join(F.broadcast(known), F.col("source") == F.col("_name"), "left")  # one row per weight given
-        .withColumn("stream", F.coalesce("stream", F.lit(len(names))))
-        .withColumn("_order", F.xxhash64("doc_id", "source"))
-        .select("stream", "_order", "doc_id", "source")
-    )
+        rest_weight = min(weights.values(), default=1.0)
+    known = spark.createDataFrame([(n, float(w)) for n, w in weights.items()], "_name string, _weight double")
+    known = F.broadcast(known)  # one row per weight given
+    chosen = chosen.join(known, F.col("source") == F.col("_name"), "left")
+    chosen = chosen.select("doc_id", "source", F.col("_name").alias("stream"))
+    streamed = chosen.withColumn("_order", F.xxhash64("doc_id", "source"))
     numbered = ranked(streamed, ["stream"], ["_order", "doc_id", "source"], "_rank", "mix-ranks")
-    block = F.floor(F.col("_rank") / block_documents)
-    placed = numbered.withColumn("block", block).withColumn("place", F.col("_rank") % block_documents)
-    width = F.lit(sum(parts))
-    size = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("stream") + 1)
-    begin = F.floor(F.col("block") / F.col("parts")) * width
-    return (
-        placed.withColumn("_block", (F.col("block") % size).cast("int"))
-        .join(F.broadcast(plan), ["stream", "_block"])  # one row per slot of the period
-        .select(
-            "doc_id",
-            "source",
-            "block",
-            (begin + F.col("_release")).alias("release"),
-            (begin + F.col("_deadline")).alias("deadline"),
-            (begin + F.col("_slot_in_period")).alias("slot"),
-            "place",
-        )
-    )
+    counts = numbered.groupBy("stream").agg(F.count("*").alias("n"))
+    given = known.select(F.col("_name").alias("stream"), F.col("_weight").alias("weight"))
+    rest = spark.createDataFrame([(None, float(rest_weight))], given.schema)
+    same = F.col("stream").eqNullSafe(F.col("_stream"))
+    streams = given.unionByName(rest).join(counts.withColumnRenamed("stream", "_stream"), same, "left")
+    streams = streams.where("stream IS NOT NULL OR n > 0")  # without documents the rest takes no share
+    streams = streams.select("stream", "weight", F.coalesce("n", F.lit(0)).alias("n"))
+    plan = _plan(stage(streams, "mix-streams"), block_documents, period)
+    placed = numbered.withColumn("block", F.floor(F.col("_rank") / block_documents))
+    placed = placed.withColumn("place", F.col("_rank") % block_documents)
+    same = placed.stream.eqNullSafe(plan._stream) & (placed.block == plan._block)
+    return placed.join(sized(plan), same).select("doc_id", "source", "block", "release", "deadline", "slot", "place")
+
+
+def _plan(streams: DataFrame, block_documents: int, period: int | None) -> DataFrame:
+    """_stream, _block, release, deadline, slot: one row per block, made by one task from one row per
+    stream (stream, weight, n documents)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows.sort(key=lambda r: (r[0] is None, r[0] or ""))
+        if not rows:
+            return
+        weights = [w for _, w, _ in rows]
+        parts = exact_parts(weights) if period is None else whole_parts(weights, period)
+        held: list[tuple] = []
+        for s, *rest in schedule(parts, [-(-n // block_documents) for *_, n in rows]):
+            held.append((rows[s][0], *rest))
+            if len(held) == _PLAN_ROWS:
+                yield _plan_batch(held)
+                held = []
+        if held:
+            yield _plan_batch(held)
+
+    made = streams.coalesce(1).mapInArrow(run, _PLAN)
+    return stage(made, "mix-plan")
+
+
+def _plan_batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), *[pa.int64()] * 4]
+    columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(columns, names=["_stream", "_block", "release", "deadline", "slot"])
 
 
 def in_mix_order(docs: DataFrame, id_col: str = "doc_id", source: str = "source", **options) -> DataFrame:

@@ -92,3 +92,29 @@ def test_odd_rows_and_written_order(spark, folder):
     assert len(written) == len(samples.rows()) and written == sorted(written)
     assert op.mix(samples.empty(spark)).count() == 0
     assert op.in_mix_order(samples.empty(spark)).count() == 0
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.floats(1e-3, 1e3), st.integers(0, 30)), min_size=1, max_size=12))
+def test_windows_hold_for_exact_weights(streams):
+    weights, blocks = [w for w, _ in streams], [n for _, n in streams]
+    total = sum(map(Fraction, weights))
+    exact = [Fraction(w) / total for w in weights]
+    rows = list(op.schedule(op.exact_parts(weights), blocks))
+    assert Counter(r[0] for r in rows) == {s: n for s, n in enumerate(blocks) if n}
+    assert len({r[4] for r in rows}) == len(rows)
+    for s, block, release, deadline, slot in rows:
+        assert release == block // exact[s] and deadline == -(-(block + 1) // exact[s])
+        assert release <= slot < deadline
+
+
+def test_no_source_drifts_from_its_unrounded_weight(spark):
+    docs = spark.createDataFrame([(i, f"s{i % 40 if i % 3 else 0}") for i in range(30_000)], "doc_id long, source string")
+    rows = op.mix(docs, block_documents=1).select("source", "slot", "block", "release", "deadline").collect()
+    n = Counter(r.source for r in rows)
+    total = sum(Fraction(x**0.5) for x in n.values())
+    assert len({r.slot for r in rows}) == len(rows) == 30_000
+    for r in rows:
+        weight = Fraction(n[r.source] ** 0.5) / total
+        assert r.release == r.block // weight and r.deadline == -(-(r.block + 1) // weight)
+        assert r.release <= r.slot < r.deadline
