@@ -27,7 +27,7 @@ from lectern.session import stage
 PERIOD = 10_000
 BLOCK_DOCUMENTS = 64
 
-# Sources with a weight of their own, unless weights are given; all others share one.
+# Sources for which ``size_weights`` gives a weight.
 OWN_WEIGHTS = 1_000
 # Weights go with the documents of a source to this power: 1 keeps their shares, 0 makes them equal.
 EXPONENT = 0.5
@@ -125,8 +125,9 @@ def mix(
     order by slot and place.
 
     The documents of a source are cut into blocks in the order of a hash of their ids. Without weights,
-    ``size_weights`` sets them. Sources without a weight of their own, and null, form one stream with
-    ``rest_weight`` (by default that of the smallest source given). No document is dropped or repeated:
+    every source, null included, has one of its own, its documents to the power of ``EXPONENT``. With
+    weights, sources without one, and null, form one stream with ``rest_weight`` (by default the
+    smallest weight given). No document is dropped or repeated:
     the others keep their windows when a source has no blocks left, and slots without a block stay empty.
 
     Weights hold exactly. With ``period`` they are rounded to whole parts of it first (``whole_parts``).
@@ -134,25 +135,26 @@ def mix(
     Rows that repeat id and source are one document. Null ids are one document per source. An empty
     table gives no rows. Further columns are ignored.
     """
-    spark = docs.sparkSession
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(source).alias("source")).distinct()
     if weights is None:
-        weights, rest_weight = size_weights(docs, source)
-    if rest_weight is None:
-        rest_weight = min(weights.values(), default=1.0)
-    known = spark.createDataFrame([(n, float(w)) for n, w in weights.items()], "_name string, _weight double")
-    known = F.broadcast(known)  # one row per weight given
-    chosen = chosen.join(known, F.col("source") == F.col("_name"), "left")
-    chosen = chosen.select("doc_id", "source", F.col("_name").alias("stream"))
+        chosen = chosen.withColumn("stream", F.col("source"))
+    else:
+        known = _weights(docs, weights)
+        chosen = chosen.join(known, F.col("source") == F.col("_name"), "left").select("doc_id", "source", F.col("_name").alias("stream"))
     streamed = chosen.withColumn("_order", F.xxhash64("doc_id", "source"))
     numbered = ranked(streamed, ["stream"], ["_order", "doc_id", "source"], "_rank", "mix-ranks")
     counts = numbered.groupBy("stream").agg(F.count("*").alias("n"))
-    given = known.select(F.col("_name").alias("stream"), F.col("_weight").alias("weight"))
-    rest = spark.createDataFrame([(None, float(rest_weight))], given.schema)
-    same = F.col("stream").eqNullSafe(F.col("_stream"))
-    streams = given.unionByName(rest).join(counts.withColumnRenamed("stream", "_stream"), same, "left")
-    streams = streams.where("stream IS NOT NULL OR n > 0")  # without documents the rest takes no share
-    streams = streams.select("stream", "weight", F.coalesce("n", F.lit(0)).alias("n"))
+    if weights is None:
+        streams = counts.select("stream", F.pow("n", F.lit(EXPONENT)).alias("weight"), "n")
+    else:
+        given = known.select(F.col("_name").alias("stream"), F.col("_weight").alias("weight"))
+        if rest_weight is None:
+            rest_weight = min(weights.values(), default=1.0)
+        rest = docs.sparkSession.createDataFrame([(None, float(rest_weight))], given.schema)
+        same = F.col("stream").eqNullSafe(F.col("_stream"))
+        streams = given.unionByName(rest).join(counts.withColumnRenamed("stream", "_stream"), same, "left")
+        streams = streams.where("stream IS NOT NULL OR n > 0")  # without documents the rest takes no share
+        streams = streams.select("stream", "weight", F.coalesce("n", F.lit(0)).alias("n"))
     plan = _plan(stage(streams, "mix-streams"), block_documents, period)
     placed = numbered.withColumn("block", F.floor(F.col("_rank") / block_documents))
     placed = placed.withColumn("place", F.col("_rank") % block_documents)
@@ -160,6 +162,11 @@ def mix(
     return placed.join(sized(plan), same).select("doc_id", "source", "block", "release", "deadline", "slot", "place")
 
 
+def _weights(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
+    pairs = [(n, float(w)) for n, w in weights.items()]
+    return F.broadcast(docs.sparkSession.createDataFrame(pairs, "_name string, _weight double"))  # one row per weight given
+
+
 def _plan(streams: DataFrame, block_documents: int, period: int | None) -> DataFrame:
     """_stream, _block, release, deadline, slot: one row per block, made by one task from one row per
     stream (stream, weight, n documents)."""

@@ -118,3 +118,15 @@ def test_no_source_drifts_from_its_unrounded_weight(spark):
         weight = Fraction(n[r.source] ** 0.5) / total
         assert r.release == r.block // weight and r.deadline == -(-(r.block + 1) // weight)
         assert r.release <= r.slot < r.deadline
+
+
+def test_every_source_has_its_own_weight_however_many_there_are(spark):
+    docs = spark.createDataFrame([(i, f"s{i % 12_000}" if i < 26_000 else None) for i in range(26_050)], "doc_id long, source string")
+    rows = op.mix(docs, block_documents=1).select("source", "slot", "block", "release", "deadline").collect()
+    n = Counter(r.source for r in rows)
+    total = sum(Fraction(x**0.5) for x in n.values())
+    assert len(n) == 12_001 and len({r.slot for r in rows}) == len(rows) == 26_050
+    weights = {s: Fraction(x**0.5) / total for s, x in n.items()}
+    for r in rows:
+        assert r.block < n[r.source] and r.release == r.block // weights[r.source]
+        assert r.release <= r.slot < r.deadline == -(-(r.block + 1) // weights[r.source])
