@@ -7,22 +7,64 @@ sequences as a token budget allows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.llm.common import ranked
+from lectern.llm.common import kept_in_worker, ranked, text_slices
+from lectern.llm.token_counts import BytePairs, batch_counts
 from lectern.session import stage
 
 MAX_TOKENS = 2048
 BUCKETS = 8
 BATCH_TOKENS = 65_536
 
+_SLICE_BYTES = 4 << 20
+
 
 def word_tokens(text: Column) -> Column:
     """Words between white space, and one token for the end of the document."""
     return F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")) + 1
 
 
+def counted(
+    docs: DataFrame, path: str, order: list[Column] | None = None, id_col: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, list[Column]]:
+    """A stored table of id and ``n_tokens``, the tokens of the vocabulary file at ``path`` and one for the
+    end of the document, with the columns of the order; and that order. For ``pack`` with
+    ``tokens=F.col("n_tokens")``. Null counts as empty."""
+    if order is None:
+        order = [F.xxhash64(id_col), F.col(id_col)]
+    names = [f"__order{i}" for i in range(len(order))]
+    rows = docs.select(F.col(text).alias("__text"), F.col(id_col), *[o.alias(n) for o, n in zip(order, names, strict=True)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = kept_in_worker(("pairs", path), lambda: BytePairs(path))
+            known = kept_in_worker(("counts", path), dict)
+            counts: list[int] = []
+            for texts in text_slices(batch.column(0), _SLICE_BYTES):
+                counts += batch_counts(table, known, texts)
+            lengths = pa.array([c + 1 for c in counts], pa.int64())
+            yield pa.RecordBatch.from_arrays([lengths, *batch.columns[1:]], names=["n_tokens", *batch.schema.names[1:]])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    out = stage(rows.mapInArrow(run, f"n_tokens long, {kinds}"), "pack-tokens")
+    return out, [F.col(n) for n in names]
+
+
+def pack_tokens(
+    docs: DataFrame, path: str, order: list[Column] | None = None, id_col: str = "doc_id", text: str = "text", **options
+) -> DataFrame:
+    """``pack`` by the tokens of the vocabulary file at ``path``, a file on every executor."""
+    rows, order = counted(docs, path, order, id_col, text)
+    return pack(rows, id_col, tokens=F.col("n_tokens"), order=order, **options)
+
+
 def best_boundaries(lengths: list[int], counts: list[int], buckets: int = BUCKETS) -> tuple[list[int], int]:
     """Boundaries, the largest length last, and the padding they leave; ``lengths`` ascending.
 

@@ -53,7 +53,7 @@ def op3_simhash_groups(spark, sf_dir):
 
 @query
 def op4_length_buckets(spark, sf_dir):
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
 @query

@@ -2,9 +2,13 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 from hypothesis import given, settings, strategies as st
+import public_tokenizers
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+import corpus_pipeline
 from lectern.llm import packing as op
+from lectern.llm.queries import QUERIES, VOCABULARY
 from tests.llm import samples
 
 
@@ -76,3 +80,15 @@ def test_odd_rows(spark):
         want[r[0]] += len((r[1] or "").split()) + 1
     assert tokens == want
     assert op.pack(samples.empty(spark)).count() == 0
+
+
+def test_the_query_and_the_stage_cut_and_budget_by_tokens(spark, folder):
+    pairs = [(i, samples.words(i, 1 + i % 50)) for i in range(40)] + [(50, "漢字かな" * 3000), (51, "aGVsbG8" * 2000), (52, None), (53, "")]
+    samples.simple(spark, pairs).write.parquet(f"{folder}/documents.parquet")
+    tokenizer = Tokenizer.from_file(str(public_tokenizers.path(VOCABULARY)))
+    lengths = {i: len(tokenizer.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in pairs}
+    assert lengths[50] > op.MAX_TOKENS and lengths[51] > op.MAX_TOKENS
+    check(QUERIES["op4_length_buckets"](spark, folder).collect(), lengths, op.MAX_TOKENS, op.BUCKETS, op.BATCH_TOKENS)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = corpus_pipeline.pack_batches(spark, docs, folder).collect()
+    check(rows, lengths, op.MAX_TOKENS, op.BUCKETS, op.BATCH_TOKENS)
