@@ -371,7 +371,7 @@ WITH RECURSIVE {sentence()}
 SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, doc_id, 'fixed' AS chunking_strategy,
        chunk_index, chunk_text FROM ({fixed(512, 50)})
 UNION ALL
-SELECT {stable_id("doc_id", "'semantic'", "chunk_index")}, doc_id, 'semantic', chunk_index, chunk_text
+SELECT {stable_id("doc_id", "'semantic'", "chunk_index", "sha256(chunk_text)")}, doc_id, 'semantic', chunk_index, chunk_text
 FROM sentence_chunks""",
     "chunk_enrich": f"""
 SELECT c.doc_id, chunk_index, token_count, lang, source, quality::BIGINT AS quality, toxic::BIGINT AS toxic

@@ -8,12 +8,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g", warehouse: str | None = None
+) -> SparkSession:
     """A session on this machine, for tests and measurements."""
+    builder = SparkSession.builder if warehouse is None else SparkSession.builder.config(WAREHOUSE_DIR, warehouse)
     return (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName("lectern")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
@@ -27,12 +31,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor reaches: the one that ``spark.checkpoint.dir`` names, else one
-    below the warehouse, which all of them share too."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lectern-stage"
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    below the warehouse, which all of them share too. No setting is changed: core ones cannot be."""
+    return spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR).rstrip('/')}/lectern-stage"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -6,15 +6,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from lectern.session import CHECKPOINT_DIR, local_session  # noqa: E402
+from lectern.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("4", shuffle_partitions=4, memory="4g")
+    warehouse = tempfile.mkdtemp(prefix="lectern-test-")
+    session = local_session("4", shuffle_partitions=4, memory="4g", warehouse=warehouse)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get(CHECKPOINT_DIR, None):
-        session.conf.set(CHECKPOINT_DIR, tempfile.mkdtemp(prefix="lectern-test-"))
     return session
 
 
