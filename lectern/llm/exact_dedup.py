@@ -36,7 +36,7 @@ def _keyed(docs: DataFrame, text: str, prefix_chars: int) -> DataFrame:
 def _shared_keys(docs: DataFrame, id_col: str, text: str, prefix_chars: int) -> tuple[DataFrame, DataFrame]:
     """Per (length, prefix hash): how many rows, and the largest id. All of them, and those met again."""
     level = stage(
-        _keyed(docs, text, prefix_chars).groupBy(*KEYS).agg(F.count("*").alias("_rows"), F.max(id_col).alias("_id")),
+        _keyed(docs.select(id_col, text), text, prefix_chars).groupBy(*KEYS).agg(F.count("*").alias("_rows"), F.max(id_col).alias("_id")),
         "dedup-keys",
     )
     return level, level.where("_rows > 1").select(*KEYS)
@@ -55,7 +55,7 @@ def _members(docs: DataFrame, shared: DataFrame, id_col: str, text: str, prefix_
 
 def _decided(members: DataFrame) -> DataFrame:
     groups = stage(  # a stored table, so that the join can split the rows of a large group
-        members.groupBy("content_hash").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")),
+        members.groupBy("content_hash").agg(F.max("doc_id").alias("keep_id"), F.sum("n_rows").alias("group_size")),
         "dedup-groups",
     )
     return members.join(groups, "content_hash").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
@@ -74,9 +74,10 @@ def exact_duplicates(
     group stays. ``content_hash`` is null where length and prefix hash alone prove a text to be unique;
     its text is read in full by no step. The two keys (``__length``, ``__prefix``) come with each row.
 
-    A document is an id with a text: rows that repeat both are one document, given once; one id with
-    two texts is two documents. A null id is a document too; it stays only in a group without ids. An
-    empty table gives no rows. Further columns are ignored.
+    A document is an id with a text: rows that repeat both are one document, given once here (and once per
+    row by ``text_digests``); ``group_size`` counts rows. One id with two texts is two documents. A null
+    id is a document too; it stays only in a group without ids. An empty table gives no rows. Further
+    columns are ignored.
 
     Groups are only ever aggregated, never gathered: a task sends one row per key, however many copies
     it holds, and rows that join their group's result can be split by adaptive execution.
@@ -96,11 +97,11 @@ def exact_duplicates(
 
 
 def text_digests(docs: DataFrame, result: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The result with the SHA-256 of every document's normalised text, unique ones included."""
+    """The result for every row of the table, those that repeat id and text included, with the SHA-256 of
+    the normalised text."""
     digests = (
         _keyed(docs.select(id_col, text), text, PREFIX_CHARS)
         .select(F.col(id_col).alias("_doc"), *[F.col(c).alias(f"{c}_d") for c in KEYS], content_hash(F.col("__text")).alias("text_sha256"))
-        .distinct()
     )
     same = F.col("doc_id").eqNullSafe(F.col("_doc"))
     for key in KEYS:
@@ -125,14 +126,16 @@ def drop_copies(
     keep = _decided(_members(docs, shared, id_col, text, prefix_chars, broadcast_rows)).where("kept")
     keep = stage(keep.select(F.col("doc_id").alias("__keep"), F.col("content_hash").alias("__hash")), "dedup-kept")
     shared = sized(shared, broadcast_rows)
-    keyed = _keyed(docs, text, prefix_chars)
-    unique = keyed.join(shared, KEYS, "left_anti").select(*docs.columns)
-    same = F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__digest") == F.col("__hash"))
+    # the row as one column, so that no column of its own meets those made here
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), F.col(id_col).alias("__id"), F.col(text).alias("__own"))
+    keyed = _keyed(whole, "__own", prefix_chars)
+    unique = keyed.join(shared, KEYS, "left_anti").select("__row.*")
+    same = F.col("__id").eqNullSafe(F.col("__keep")) & (F.col("__digest") == F.col("__hash"))
     first = (
         keyed.join(shared, KEYS, "left_semi")
         .withColumn("__digest", content_hash(F.col("__text")))
         .join(sized(keep, broadcast_rows), same, "left_semi")
-        .dropDuplicates([id_col, "__digest"])
-        .select(*docs.columns)
+        .dropDuplicates(["__id", "__digest"])
+        .select("__row.*")
     )
     return unique.unionByName(first)
