@@ -7,11 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.llm import (
     backoff,
+    bond,
+    bpe_codec,
     exact_dedup,
     licenses,
     mixing,
     packing,
     simhash,
+    spelling,
     token_counts,
     token_files,
     topk,
@@ -21,6 +24,7 @@ from lectern.llm.common import LOWER, UPPER
 
 
 VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict = {}
 
@@ -96,6 +100,26 @@ def op10_license_scan(spark, sf_dir):
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Rows with a number divisible by 7 have the next label, and those divisible by 50 are the anchors."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return bond.hard_negatives(vectors, F.col("vec_id") % 50 == 0, label=moved)
+
+
+@query
+def op12_bpe_round_trip(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return bpe_codec.round_trip_digests(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    words = spelling.count_words(spelling.slipped_words(table(spark, sf_dir, "documents")))
+    return spelling.group_variants(words)
+
+
 # ---- SQL -----------------------------------------------------------------------------------------
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -155,6 +179,59 @@ scores AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, {0xEDB88320}) ELSE c >> 1 END, i) AS c
+    FROM range(256) r(i))),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWERED}, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+    flatten(list_transform(string_split(doc_id || ':' || run, ''),
+      lambda s: CASE WHEN unicode(s) < 128 THEN [unicode(s)::BIGINT] ELSE [195::BIGINT, unicode(s)::BIGINT - 64] END)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), {0xFFFFFFFF}::BIGINT), {0xFFFFFFFF}::BIGINT) AS h FROM runs, crc),
+slipped AS (
+  SELECT n, CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word
+  FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, left(word, i - 1) || substring(word, i + 1) AS shorter, left(word, i - 1) || '*' || substring(word, i + 1) AS mask
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.mask = b.mask AND a.word <> b.word
+  UNION SELECT a.word, w.word, w.n FROM cut a JOIN words w ON a.shorter = w.word
+  UNION SELECT w.word, a.word, a.n FROM cut a JOIN words w ON a.shorter = w.word),
+best AS (
+  SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY n DESC, near) = 1),
+formed AS (
+  SELECT w.word, CASE WHEN b.n >= 2 * w.n THEN near END AS form, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN b.n >= 2 * w.n THEN b.n END AS form_n FROM words w LEFT JOIN best b USING (word)),
+walk AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT w.word, f.form FROM walk w JOIN formed f ON w.at = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.at AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN walk w USING (word) JOIN formed g ON g.word = w.at AND g.form IS NULL""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+    list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+  (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id))::INTEGER AS rank
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+QUALIFY rank <= 3""",
     "op8_backoff_scores": f"""
 WITH words AS (
   SELECT doc_id, unnest(list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'), lambda w: w <> ''))
