@@ -207,10 +207,13 @@ reached AS (
   FROM probed p JOIN assigned a USING (list_id) JOIN pairs ON pairs.query_id = p.query_id AND pairs.vec_id = a.vec_id
 )"""
 
-RETRIEVED = f"""
+def distances(documents: str) -> str:
+    """CTE bodies: the fixed chunks of a table, and their distance to every question in the hashed embedding."""
+    return f"""
 questions AS (SELECT item_id AS query_id, text AS query_text FROM benchmark),
 chunks AS (
-  SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, * FROM ({fixed(512, 50, carry=", source")})
+  SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, *
+  FROM ({fixed(512, 50, documents, ", source")})
 ),{hashed_vectors("chunks", "chunk_id", "chunk_text", "c")},{hashed_vectors("questions", "query_id", "query_text", "q")},
 products AS (
   SELECT query_id, chunk_id, sum(q.v * c.v) AS dot FROM q_buckets q JOIN c_buckets c USING (bucket)
@@ -219,7 +222,10 @@ products AS (
 distances AS (
   SELECT q.query_id, c.chunk_id, q.len2 + c.len2 - 2 * coalesce(dot, 0) AS d
   FROM q_lengths q CROSS JOIN c_lengths c LEFT JOIN products p ON p.query_id = q.query_id AND p.chunk_id = c.chunk_id
-),
+)"""
+
+
+RETRIEVED = f"""{distances("documents")},
 nearest AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d, chunk_id) AS rank
   FROM distances QUALIFY rank <= 5
@@ -229,6 +235,23 @@ retrieved AS (
   FROM nearest JOIN chunks USING (chunk_id)
 )"""
 
+DELIVERED = """delivered AS (
+  SELECT doc_id, source, CASE WHEN quality IS NULL THEN text || ' edited' ELSE text END AS text
+  FROM documents LEFT JOIN labels USING (doc_id) WHERE toxic IS DISTINCT FROM 1)"""
+
+# Requests by the number of the question: how many results, and which chunks match.
+TOP_K = "CASE WHEN query_id % 22 = 5 THEN 5 ELSE query_id % 22 END"
+REQUESTED = f"""
+WITH {distances("documents")},
+matching AS (
+  SELECT d.*, source, chunk_index FROM distances d JOIN chunks USING (chunk_id)
+  WHERE {TOP_K} BETWEEN 1 AND 20 AND CASE query_id % 6
+    WHEN 0 THEN true WHEN 1 THEN source IN ('src3', 'src8') WHEN 2 THEN chunk_index IN (0, 2)
+    WHEN 3 THEN source = 'src5' AND chunk_index = 0 ELSE false END)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY d, chunk_id) AS rank, chunk_id, source AS source_path,
+  chunk_index::BIGINT AS chunk_index, CAST(d AS DOUBLE) AS similarity_score
+FROM matching QUALIFY rank <= {TOP_K}"""
+
 INGESTED = f"""{FILES},
 ingested AS (SELECT file_type <> 'csv' AS ok, CASE WHEN file_type <> 'csv' THEN sha256(text) END AS hash FROM files),
 ingestion AS (
@@ -425,9 +448,7 @@ slots AS (SELECT chunk_id, unnest(range(64)) AS bucket FROM chunks)
 SELECT chunk_id, string_agg(CAST(coalesce(v, 0) AS VARCHAR), ',' ORDER BY bucket) AS embedding
 FROM slots LEFT JOIN c_buckets USING (chunk_id, bucket) GROUP BY chunk_id""",
     "apply_changes": f"""
-WITH delivered AS (
-  SELECT doc_id, source, CASE WHEN quality IS NULL THEN text || ' edited' ELSE text END AS text
-  FROM documents LEFT JOIN labels USING (doc_id) WHERE toxic IS DISTINCT FROM 1),
+WITH {DELIVERED},
 chunks AS (
   SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, *
   FROM ({fixed(512, 50, "delivered", ", source")})
@@ -443,6 +464,40 @@ WITH {FIXED_CHUNKS}
 SELECT chunk_id, row_number() OVER (ORDER BY chunk_id) - 1 AS embedding_index, 'hashed-bag-of-words' AS model_name,
        64::BIGINT AS embedding_dim, 'run-1' AS run FROM chunks""",
     "knn_flat": f"WITH {PAIRS} SELECT query_id, vec_id, round(d * d, 6) AS distance, rank FROM ({ranked('pairs', 10)})",
+    "knn_ivf_exact": f"WITH {PAIRS} SELECT query_id, vec_id, round(d * d, 6) AS distance, rank FROM ({ranked('pairs', 10)})",
+    "knn_ivf_filtered": f"""
+WITH {PAIRS}, wanted AS (SELECT * FROM pairs WHERE label IN (2, 5))
+SELECT query_id, vec_id, round(d * d, 6) AS distance, rank, label::BIGINT AS label
+FROM ({ranked("wanted", 5)})""",
+    "ivf_extents": f"""
+WITH {PAIRS},{IVF}
+SELECT list_id, count(*) AS size, round(min(array_distance(embedding::DOUBLE[64], centroid::DOUBLE[64])), 6) AS near,
+  round(max(array_distance(embedding::DOUBLE[64], centroid::DOUBLE[64])), 6) AS far
+FROM assigned JOIN embeddings USING (vec_id) JOIN centroids USING (list_id) GROUP BY list_id""",
+    "retrieve_requests": REQUESTED,
+    "retrieve_requests_lists": REQUESTED,
+    "requests_rejected": f"""
+SELECT query_id, CASE WHEN {TOP_K} NOT BETWEEN 1 AND 20 THEN 'top_k must be between 1 and 20'
+  ELSE 'filters must be a JSON object' END AS error
+FROM (SELECT item_id AS query_id FROM benchmark) WHERE {TOP_K} NOT BETWEEN 1 AND 20 OR query_id % 6 = 5""",
+    "merge_index": f"""
+WITH {DELIVERED},{distances("delivered")}
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY d, chunk_id) AS rank, chunk_id,
+  source || '/' || doc_id AS source_path, chunk_text, CAST(d AS DOUBLE) AS similarity_score
+FROM distances JOIN chunks USING (chunk_id) QUALIFY rank <= 5""",
+    "merged_entries": f"""
+WITH {DELIVERED},
+chunks AS (
+  SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS chunk_id, *
+  FROM ({fixed(512, 50, "delivered", ", source")})
+),{hashed_vectors("chunks", "chunk_id", "chunk_text", "c")},
+slots AS (SELECT chunk_id, unnest(range(64)) AS bucket FROM chunks),
+vectors AS (
+  SELECT chunk_id, string_agg(CAST(coalesce(v, 0) AS VARCHAR), ',' ORDER BY bucket) AS embedding
+  FROM slots LEFT JOIN c_buckets USING (chunk_id, bucket) GROUP BY chunk_id)
+SELECT chunk_id, CAST(doc_id AS VARCHAR) AS doc_id, source || '/' || doc_id AS source_path,
+  chunk_index::BIGINT AS chunk_index, token_count::BIGINT AS token_count, embedding
+FROM chunks JOIN vectors USING (chunk_id)""",
     "vector_metadata": f"""
 WITH {PAIRS}
 SELECT query_id, rank, vec_id, quality::BIGINT AS quality, toxic::BIGINT AS toxic

@@ -20,6 +20,7 @@ from lectern.operators import (
     ordering,
     parse,
     prompt,
+    requests as asking,
     search,
     tfidf,
 )
@@ -400,10 +401,8 @@ def _as_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-@query
-def apply_changes(spark, sf_dir):
-    """Chunks with vectors after a second delivery: good documents are new in it, toxic ones are gone, and
-    those without a label have changed."""
+def _first_delivery(spark, sf_dir) -> tuple[stages.Corpus, DataFrame]:
+    """A stored corpus with chunks and vectors, and the documents of the delivery that follows."""
     corpus = stages.Corpus(f"{shared_dir(spark).rstrip('/')}/changes-{uuid.uuid4().hex}")
     labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source").join(labels, "doc_id", "left")
@@ -413,8 +412,16 @@ def apply_changes(spark, sf_dir):
     sink.write_documents(_as_documents(first), corpus.documents)
     stages.chunk_corpus(spark, corpus, "fixed")
     stages.embed_corpus(spark, corpus)
+    return corpus, _as_documents(second)
+
+
+@query
+def apply_changes(spark, sf_dir):
+    """Chunks with vectors after a second delivery: good documents are new in it, toxic ones are gone, and
+    those without a label have changed."""
+    corpus, second = _first_delivery(spark, sf_dir)
     for _ in range(2):  # the second time changes nothing
-        stages.apply_changes(spark, corpus, _as_documents(second))
+        stages.apply_changes(spark, corpus, second)
     chunks = spark.read.parquet(corpus.chunks)
     vectors = spark.read.parquet(corpus.embeddings).select("chunk_id", _as_text("embedding").alias("embedding"))
     names = spark.read.parquet(corpus.documents).select("doc_id", "source_path")
@@ -548,6 +555,41 @@ def knn_ivf_trained(spark, sf_dir):
     return _rounded(ivf.search(lists, centroids, _vector_queries(spark, sf_dir), 10))
 
 
+def _trained_lists(spark, sf_dir, *columns: str) -> tuple[DataFrame, DataFrame]:
+    """All vectors in the lists of trained centroids, and the lists with their extents."""
+    vectors = _vectors(spark, sf_dir)
+    if columns:
+        vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding", *columns)
+    centroids = stage(ivf.train_centroids(vectors, ivf.list_count(vectors.count())), "centroids")
+    placed = stage(ivf.with_list(vectors, centroids), "lists")
+    return placed, stage(centroids.join(ivf.list_extents(placed), "list_id"), "extents")
+
+
+@query
+def knn_ivf_exact(spark, sf_dir):
+    """The nearest vectors from inverted lists, read in the order of their bounds until no list can hold more."""
+    lists, extents = _trained_lists(spark, sf_dir)
+    found = ivf.search_exact(lists, extents, _vector_queries(spark, sf_dir), 10)
+    return _rounded(found.drop("lists_read"))
+
+
+@query
+def knn_ivf_filtered(spark, sf_dir):
+    """As knn_prefilter, inside the lists: further ones are read until five matching vectors are certain."""
+    lists, extents = _trained_lists(spark, sf_dir, "label")
+    matching = lists.where(filters.matches(lists, {"label": [2, 5]}))
+    found = ivf.search_exact(matching, extents, _vector_queries(spark, sf_dir), 5, first_probes=1)
+    return _rounded(found.drop("lists_read").join(lists.select("vec_id", "label"), "vec_id"))
+
+
+@query
+def ivf_extents(spark, sf_dir):
+    """How many vectors each list holds, and how near and far they lie to its centroid."""
+    vectors, centroids, _ = _seeded(spark, sf_dir)
+    extents = ivf.list_extents(ivf.with_list(vectors, centroids))
+    return plain(extents.select("list_id", "size", F.round("near", 6).alias("near"), F.round("far", 6).alias("far")))
+
+
 @query
 def knn_lsh(spark, sf_dir):
     vectors = _vectors(spark, sf_dir)
@@ -645,6 +687,68 @@ def retrieve_index(spark, sf_dir):
     return plain(found.select("query_id", "rank", "chunk_id", "doc_id", "source_path", "chunk_text", "similarity_score"))
 
 
+def _requests(spark, sf_dir) -> DataFrame:
+    """The questions as requests: each with its own number of results, some out of range, and its own filters."""
+    wanted = [
+        None,
+        '{"source_path": ["src3", "src8"]}',
+        '{"chunk_index": [0, 2], "file_type": "txt"}',
+        '{"source_path": "src5", "chunk_index": 0}',
+        '{"doc_type": "x"}',
+        '["not an object"]',
+    ]
+    kinds = F.element_at(F.array(*[F.lit(w) for w in wanted]), (F.col("query_id") % len(wanted) + 1).cast("int"))
+    top_k = F.when(F.col("query_id") % 22 != 5, F.col("query_id") % 22)
+    return _questions(spark, sf_dir).withColumns({"top_k": top_k, "filters": kinds})
+
+
+def _answered(spark, sf_dir, index_type: str) -> DataFrame:
+    found, _ = retrieval.retrieve_requests(_index(spark, sf_dir, index_type), _requests(spark, sf_dir))
+    return plain(found.select("query_id", "rank", "chunk_id", "source_path", "chunk_index", "similarity_score"))
+
+
+@query
+def retrieve_requests(spark, sf_dir):
+    """Requests with their own top k and filters against a stored flat index."""
+    return _answered(spark, sf_dir, indexing.FLAT)
+
+
+@query
+def retrieve_requests_lists(spark, sf_dir):
+    """The same, from inverted lists: further lists are read until each request's k matches are certain."""
+    return _answered(spark, sf_dir, indexing.INVERTED)
+
+
+@query
+def requests_rejected(spark, sf_dir):
+    """Requests whose top k is out of range or whose filters are no object, with the reason."""
+    return asking.rejected(_requests(spark, sf_dir))
+
+
+def _merged_index(spark, sf_dir, index_type: str) -> indexing.Index:
+    """An index of the first delivery that was brought in line with a second one (as in apply_changes)."""
+    corpus, second = _first_delivery(spark, sf_dir)
+    indexing.build_index(spark, corpus, f"{corpus.root}/index", index_type)
+    stages.apply_changes(spark, corpus, second)
+    return indexing.merge_index(spark, corpus, f"{corpus.root}/index")
+
+
+@query
+def merge_index(spark, sf_dir):
+    """The five chunks nearest to every question in inverted lists after a merged delivery."""
+    index = _merged_index(spark, sf_dir, indexing.INVERTED)
+    asked = retrieval.embed_queries(_questions(spark, sf_dir), index.model_name)
+    found = index.search(asked, 5, exact=True)
+    return plain(found.select("query_id", "rank", F.col("vec_id").alias("chunk_id"), "source_path", "chunk_text", "similarity_score"))
+
+
+@query
+def merged_entries(spark, sf_dir):
+    """Every live entry of a flat index after the merge, with its metadata."""
+    index = _merged_index(spark, sf_dir, indexing.FLAT)
+    return plain(index.entries.select(F.col("vec_id").alias("chunk_id"), "doc_id", "source_path", "chunk_index", "token_count", _as_text("embedding").alias("embedding")))
+
+
 @query
 def respond_index(spark, sf_dir):
     """Prompt and answer of every question, from a stored index."""

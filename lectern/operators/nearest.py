@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.operators.rows import top_k
+from lectern.operators.rows import BROADCAST_ROWS, top_k
 
 # Largest side that is sent to every task, in bytes of its double-precision vectors.
 BROADCAST_BYTES = 64 << 20
@@ -291,7 +291,7 @@ def nearest_in_lists(
         F.ceil(F.col("_vectors") / cell_vectors).alias("_vector_salts"),
         F.ceil(F.col("_queries") / cell_queries).alias("_query_salts"),
     )
-    if list_bound <= 1_000_000:
+    if list_bound <= BROADCAST_ROWS:
         salts = F.broadcast(salts)  # one row per list
     left = vectors.join(salts, "list_id").select(
         "list_id",

@@ -27,7 +27,8 @@ def with_metadata(found: DataFrame, metadata: DataFrame) -> DataFrame:
     return found.join(needed, "vec_id", "left")
 
 
-def _metadata(entries: DataFrame) -> DataFrame:
+def metadata_of(entries: DataFrame) -> DataFrame:
+    """The entries without what only a search needs."""
     return entries.drop("embedding", "list_id", "list_ids")
 
 
@@ -39,7 +40,7 @@ def search_prefiltered(
     ``entries`` holds vec_id, embedding and the metadata columns, so the filter is a scan predicate.
     """
     kept = entries.where(matches(entries, filters)).select("vec_id", "embedding")
-    return with_metadata(nearest(kept, queries, k), _metadata(entries))
+    return with_metadata(nearest(kept, queries, k), metadata_of(entries))
 
 
 def search_postfiltered(
@@ -56,8 +57,8 @@ def search_postfiltered(
     """
     find = candidates or (lambda asked, n: nearest(entries.select("vec_id", "embedding"), asked, n))
     if not filters:
-        return with_metadata(find(queries, k), _metadata(entries))
-    fetched = with_metadata(find(queries, k * OVERFETCH).drop("rank"), _metadata(entries))
+        return with_metadata(find(queries, k), metadata_of(entries))
+    fetched = with_metadata(find(queries, k * OVERFETCH).drop("rank"), metadata_of(entries))
     matching = fetched.where(matches(fetched, filters))
     return top_k(matching, "query_id", [F.col("distance"), F.col("vec_id")], k)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lectern.operators import prompt
 from lectern.operators.embed import Encoders
+from lectern.operators.requests import checked, rejected
 from lectern.plans.indexing import Index
 from lectern.session import stage
 
@@ -32,6 +33,21 @@ def retrieve(
     return found.withColumnRenamed("vec_id", "chunk_id")
 
 
+def retrieve_requests(
+    index: Index, requests: DataFrame, encoders: Encoders | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(results, rejected) of (query_id, query_text, top_k, filters) rows.
+
+    Every request has its own number of results, 1 to 20 and by default 5, and its own filters, a JSON object
+    or null. Requests out of range are rejected with a reason; the others are answered by one search.
+    """
+    given = requests.select(*[c for c in requests.columns if c in ("query_id", "query_text", "top_k", "filters")])
+    good = checked(given).where("error IS NULL").select("query_id", "query_text")
+    asked = embed_queries(good, index.model_name, encoders)
+    found = index.answer(asked.join(given.drop("query_text"), "query_id"))
+    return found.withColumnRenamed("vec_id", "chunk_id"), rejected(given)
+
+
 def outcome(
     results: DataFrame, queries: DataFrame, retrieval_seconds: float = 0.0, generation_seconds: float = 0.0
 ) -> DataFrame:
