@@ -14,15 +14,20 @@ from a row per source.
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections.abc import Iterator
 from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.dataset as ds
+from pyarrow import fs
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lectern.llm.common import ranked
 from lectern.operators.rows import sized
-from lectern.session import stage
+from lectern.session import shared_dir, stage
 
 PERIOD = 10_000
 BLOCK_DOCUMENTS = 64
@@ -197,12 +202,92 @@ def _plan_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["_stream", "_block", "release", "deadline", "slot"])
 
 
+# Places that a task holds at a time of the file it reads.
+_PLACES = 1 << 18
+
+
+def _own_name(name: str, taken: list[str]) -> str:
+    """A column name that the table does not have."""
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def _located(docs: DataFrame, file: str, row: str) -> DataFrame:
+    """The rows with the file they are read from, by a hash of its name, and their number in it. A table that
+    is no plain scan of files is stored first."""
+    place = [F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)]
+    try:
+        return docs.select("*", *place)
+    except AnalysisException:
+        return stage(docs, "mix-rows").select("*", *place)
+
+
+def _with_places(located: DataFrame, folder: str, file: str, row: str) -> tuple[DataFrame, list[str]]:
+    """The rows with part, slot and place, and the names of these columns, as stored for them below ``folder``, a folder per file
+    sorted by row. A task reads the places of its own rows only, as it comes to them."""
+    columns = [c for c in located.columns if c not in (file, row)]
+    kept = [located.columns.index(c) for c in columns]
+    at_file, at_row = located.columns.index(file), located.columns.index(row)
+    names = [_own_name(c, columns) for c in ("part", "slot", "place")]
+    fields = [located.schema[c] for c in columns] + [T.StructField(n, T.LongType()) for n in names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        key, first, held = None, 0, None
+
+        def places(name: int, a: int, b: int) -> pa.Table:
+            """The stored places of rows a to b - 1 of a file."""
+            nonlocal key, first, held
+            if key != name or a < first or b > first + _PLACES:
+                wanted = (ds.field("row") >= a) & (ds.field("row") < a + _PLACES)
+                table = ds.dataset(f"{base}/file={name}", filesystem=store, format="parquet").to_table(filter=wanted)
+                key, first, held = name, a, table.sort_by("row")
+            rows = held.column("row").to_numpy()
+            return held.slice(int(np.searchsorted(rows, a)), int(np.searchsorted(rows, b) - np.searchsorted(rows, a)))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            files, rows = batch.column(at_file).to_numpy(), batch.column(at_row).to_numpy()
+            cuts = np.r_[0, np.flatnonzero((np.diff(files) != 0) | (np.diff(rows) <= 0)) + 1, len(files)]
+            for x, y in zip(cuts, cuts[1:], strict=False):
+                for u in range(x, y, _PLACES // 4):
+                    v = min(u + _PLACES // 4, y)
+                    while rows[v - 1] - rows[u] >= _PLACES:  # rows left out in between
+                        v = u + (v - u) // 2
+                    found = places(int(files[u]), int(rows[u]), int(rows[v - 1]) + 1)
+                    at = np.searchsorted(found.column("row").to_numpy(), rows[u:v])
+                    more = [pa.array(found.column(c).to_numpy()[at]) for c in ("part", "slot", "place")]
+                    yield pa.RecordBatch.from_arrays(
+                        [*[batch.column(i).slice(u, v - u) for i in kept], *more], names=[*columns, *names]
+                    )
+
+    return located.mapInArrow(run, T.StructType(fields)), names
+
+
 def in_mix_order(docs: DataFrame, id_col: str = "doc_id", source: str = "source", **options) -> DataFrame:
-    """All rows with their columns, range-partitioned and sorted so that files written from them follow
-    the mix. Rows of one document stay together."""
-    order = stage(mix(docs, id_col=id_col, source=source, **options), "mix-order").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.struct("slot", "place").alias("__at")
-    )
-    same: Column = docs[id_col].eqNullSafe(F.col("__id")) & docs[source].eqNullSafe(F.col("__source"))
-    placed = docs.join(order.hint("merge"), same).select(*docs.columns, "__at")
-    return placed.repartitionByRange("__at").sortWithinPartitions("__at").select(*docs.columns)
+    """All rows with their columns, partitioned by slot and sorted so that files written from them follow
+    the mix. Rows of one document stay together.
+
+    Texts are shuffled once. The mix is made of narrow rows, which are stored by the file and row that
+    each document is read from; the scan of the documents then picks up their places file by file.
+    Slots are dealt evenly to the partitions, so none holds more than its share of the blocks.
+    """
+    spark = docs.sparkSession
+    file, row = _own_name("file", docs.columns), _own_name("row", docs.columns)
+    located = _located(docs, file, row)
+    order = stage(mix(docs, id_col=id_col, source=source, **options), "mix-order")
+    last = order.agg(F.max("slot")).first()[0]
+    if last is None:
+        return docs
+    partitions = max(1, located.rdd.getNumPartitions())
+    narrow = located.select(F.col(id_col).alias("_id"), F.col(source).alias("_source"), F.col(file).alias("file"), F.col(row).alias("row"))
+    same = narrow["_id"].eqNullSafe(order["doc_id"]) & narrow["_source"].eqNullSafe(order["source"])
+    part = F.floor(F.col("slot") * partitions / (last + 1)).cast("long")
+    placed = narrow.join(order, same).select("file", "row", part.alias("part"), "slot", "place")
+    folder = f"{shared_dir(spark).rstrip('/')}/mix-places-{uuid.uuid4().hex}"
+    placed.repartitionByRange("file", "row").sortWithinPartitions("file", "row").write.partitionBy("file").parquet(folder)
+    whole, (part, slot, place) = _with_places(located, folder, file, row)
+    moved = whole.repartitionById(partitions, F.col(part).cast("int")).sortWithinPartitions(slot, place)
+    return moved.select(*docs.columns)
