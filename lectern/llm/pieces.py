@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # White space other than space and line feed, and characters some tools take for it.
 _OTHER_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0 ᠎​    　﻿" + "".join(
     map(chr, range(0x2000, 0x200B))
@@ -19,18 +22,34 @@ _ODD = re.compile(f"[{_OTHER_SPACES}]")
 _PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 
 
-def split_text(text: str) -> tuple[list[str], list[str]]:
-    """Pieces as they stand, then pieces without the one space before them (see ``spelled``).
+def _is_odd(text: str) -> bool:
+    """Whether a text holds other white space than single spaces and line feeds."""
+    return any(run in text for run in _RUNS) or bool((not text.isascii() or not text.isprintable()) and _ODD.search(text))
+
+
+def split_odd(text: str) -> list[str]:
+    """A text with other white space stays whole; one with longer runs of spaces or line feeds is cut where a
+    run begins."""
+    return [text] if _ODD.search(text) else _PIECES.findall(text)
+
+
+class Pieces:
+    """The pieces of many texts: of the odd ones as lists, and of all others in one run, each as a number
+    of a table of distinct pieces without the one space before them (see ``spelled``)."""
 
-    A text with other white space stays whole; one with longer runs of spaces or line feeds is cut
-    where a run begins.
-    """
-    if any(run in text for run in _RUNS) or (not text.isascii() or not text.isprintable()) and _ODD.search(text):
-        return ([text] if _ODD.search(text) else _PIECES.findall(text)), []
-    parts = text.replace("\n", " \n").split(" ")
-    return parts[:1], parts[1:]
+    def __init__(self, texts: list[str]):
+        self.odd = {i: split_odd(t) for i, t in enumerate(texts) if _is_odd(t)}
+        self.plain = [i for i in range(len(texts)) if i not in self.odd]
+        column = pa.array([texts[i] for i in self.plain], pa.large_string())
+        split = pc.split_pattern(pc.replace_substring(column, "\n", " \n"), " ")
+        self.offsets = split.offsets.to_numpy()  # of each plain text, where its pieces begin
+        values = split.flatten()
+        coded = values.dictionary_encode()
+        self.numbers, self.names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        # the pieces with which the texts begin stand without a space before them
+        self.first = values.take(pa.array(self.offsets[:-1])).to_pylist()
 
 
 def spelled(part: str) -> str:
-    """A piece of the second list as it stands in the text."""
+    """A piece that follows another as it stands in the text."""
     return part if part[:1] == "\n" else " " + part

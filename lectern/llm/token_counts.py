@@ -18,12 +18,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from lectern.llm.common import kept_in_worker, text_slices
-from lectern.llm.pieces import spelled, split_text
+from lectern.llm.pieces import Pieces, spelled
 
 # Tokens above which a document does not fit one context.
 LIMIT = 1024
 
-# Pieces whose counts a task remembers before it forgets them all, and bytes of text in work at a time.
+# Pieces whose counts a task remembers before it forgets those not in use, and bytes of text in work at a time.
 CACHE_PIECES = 600_000
 _SLICE_BYTES = 4 << 20
 
@@ -160,19 +160,51 @@ def count_pieces(table: BytePairs, texts: list[str]) -> list[int]:
     return [special + sum(map(known.__getitem__, found)) for found, special in split]
 
 
+def count_following(table: BytePairs, parts: list[str]) -> list[int]:
+    """Tokens of each piece that follows another (see ``spelled``).
+
+    Such pieces begin with white space and hold no other, so their pre-tokens are found in one joined text,
+    and a new piece begins wherever a pre-token begins with white space. Pieces of white space only, and those
+    with a special string, are counted one by one.
+    """
+    alone = [i for i, p in enumerate(parts) if not p or p == "\n"]
+    if any(s in "\x00".join(parts) for s in table.special):
+        alone += [i for i, p in enumerate(parts) if any(s in p for s in table.special)]
+    apart = set(alone)
+    rest = [i for i in range(len(parts)) if i not in apart]
+    out = np.zeros(len(parts), np.int64)
+    if rest:
+        found = pa.array(table.pattern.findall("".join([spelled(parts[i]) for i in rest])), pa.large_string())
+        coded = found.dictionary_encode()
+        counts = table.count(coded.dictionary.cast(pa.large_binary()).to_pylist())[coded.indices.to_numpy()]
+        heads = pc.utf8_slice_codeunits(found, 0, 1)
+        begins = np.flatnonzero(pc.is_in(heads, pa.array([" ", "\n"], pa.large_string())).to_numpy(zero_copy_only=False))
+        out[rest] = np.add.reduceat(counts, begins)
+    if alone:
+        out[alone] = count_pieces(table, [spelled(parts[i]) for i in alone])
+    return out.tolist()
+
+
 def batch_counts(table: BytePairs, known: dict[str, int], texts: list[str]) -> list[int]:
-    """Tokens of each text; ``known`` remembers the pieces that follow a space."""
-    split = [split_text(t) for t in texts]
-    new = set().union(*(after for _, after in split)).difference(known)
-    if len(known) + len(new) > CACHE_PIECES:
+    """Tokens of each text; ``known`` remembers the pieces that follow a space. A piece is looked up once per
+    batch, however often it stands there."""
+    pieces = Pieces(texts)
+    new = [p for p in pieces.names if p not in known]
+    if len(known) + len(new) > CACHE_PIECES:  # what this batch holds is remembered
+        used = {p: known[p] for p in pieces.names if p in known}
         known.clear()
-        new = set().union(*(after for _, after in split))
-    first = list({p for begin, _ in split for p in begin})
-    after = list(new)
-    counts = count_pieces(table, first + [spelled(p) for p in after])
-    starts = dict(zip(first, counts, strict=False))
-    known.update(zip(after, counts[len(first) :], strict=True))
-    return [sum(map(starts.__getitem__, a)) + sum(map(known.__getitem__, b)) for a, b in split]
+        known.update(used)
+    first = list(set(pieces.first).union(*pieces.odd.values()))
+    starts = dict(zip(first, count_pieces(table, first), strict=True))
+    known.update(zip(new, count_following(table, new), strict=True))
+    out = np.zeros(len(texts), np.int64)
+    if pieces.plain:
+        each = np.fromiter(map(known.__getitem__, pieces.names), np.int64, len(pieces.names))[pieces.numbers]
+        each[pieces.offsets[:-1]] = list(map(starts.__getitem__, pieces.first))
+        out[pieces.plain] = np.add.reduceat(each, pieces.offsets[:-1])
+    for i, parts in pieces.odd.items():
+        out[i] = sum(map(starts.__getitem__, parts))
+    return out.tolist()
 
 
 def token_counts(

@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from lectern.llm import token_counts, token_files
-from lectern.llm.pieces import spelled, split_text
+from lectern.llm.pieces import Pieces, spelled
 from tests.llm import samples
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,8 +36,8 @@ def test_counts_equal_the_library():
 @settings(max_examples=300, deadline=None)
 @given(st.text())
 def test_pieces_are_the_text_and_keep_the_tokens(text):
-    first, after = split_text(text)
-    parts = first + [spelled(p) for p in after]
+    pieces = Pieces([text])
+    parts = pieces.odd.get(0, pieces.first) + [spelled(pieces.names[n]) for n in pieces.numbers[1:]]
     assert "".join(parts) == text
     assert [i for p in parts for i in ids(p)] == ids(text)
     assert token_counts.batch_counts(TABLE, {}, [text]) == [len(ids(text))]
