@@ -20,12 +20,12 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lectern.llm.common import kept_in_worker, text_slices
-from lectern.llm.pieces import spelled, split_text
+from lectern.llm.pieces import Pieces, spelled
 from lectern.session import shared_dir, stage
 
 END_ID = 0
 
-# Pieces whose ids a task remembers before it forgets them all, and bytes of text in work at a time.
+# Pieces whose ids a task remembers before it forgets those not in use, and bytes of text in work at a time.
 CACHE_PIECES = 500_000
 _SLICE_BYTES = 4 << 20
 _JOINED_PIECES, _JOINED_TEXTS = 256, 64
@@ -46,6 +46,8 @@ def id_width(path: str) -> int:
 # Marks that end many words. After a Latin letter, one of them at the end of a piece is a token of its own.
 _MARKS = frozenset(".,;:!?")
 _LAST_LATIN = "\u024f"
+# The vocabulary's letters for a space and a line feed.
+_BLANK_LETTERS = "\u0120\u010a"
 
 
 class _Encoder:
@@ -58,6 +60,9 @@ class _Encoder:
         self.library = Tokenizer.from_file(path)
         self.kind = np.dtype(f"<u{width}")
         self.known: dict[str, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.begins_blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins_blank[[i for token, i in vocabulary.items() if token[0] in _BLANK_LETTERS]] = True
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
@@ -79,31 +84,45 @@ class _Encoder:
         self.known.update((p, self.known[p[:-1]] + ends[p[-1]]) for p in marked)
 
     def _learn_joined(self, parts: list[str]) -> None:
-        """Pieces that begin with white space and do not end with it keep their ids side by side, so
-        many are encoded in one text and told apart by their places in it."""
+        """Pieces that begin with white space and hold no other keep their ids side by side, so many are
+        encoded in one text. A piece begins at each id whose token begins with white space."""
         runs = [parts[i : i + _JOINED_PIECES] for i in range(0, len(parts), _JOINED_PIECES)]
-        full = [[spelled(p) for p in run] for run in runs]
-        encoded = self.library.encode_batch(["".join(x) for x in full], add_special_tokens=False)
-        width = self.kind.itemsize
-        for run, texts, one in zip(runs, full, encoded, strict=True):
-            begins = np.cumsum([0, *map(len, texts)])
-            places = np.array([start for start, _ in one.offsets])
-            cuts = (np.searchsorted(places, begins) * width).tolist()
-            ids = self._bytes(one.ids)
-            self.known.update(zip(run, (ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [split_text(t) for t in texts]
-        new = set().union(*(after for _, after in split)).difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:
-            self.known.clear()
-            new = set().union(*(after for _, after in split))
+        joined = ["".join([spelled(p) for p in run]) for run in runs]
+        ids = np.concatenate([np.array(e.ids) for e in self.library.encode_batch_fast(joined, add_special_tokens=False)])
+        cuts = (np.r_[np.flatnonzero(self.begins_blank[ids]), len(ids)] * self.kind.itemsize).tolist()
+        data = ids.astype(self.kind).tobytes()
+        self.known.update(zip(parts, [data[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], strict=True))
+
+    def encode(self, texts: list[str]) -> list[bytes | memoryview]:
+        """The ids of each text. A piece is looked up once per batch, and the ids of all texts are then
+        gathered at once."""
+        pieces = Pieces(texts)
+        new = set(pieces.names).difference(self.known)
+        if len(self.known) + len(new) > CACHE_PIECES:  # what this batch holds is remembered
+            self.known = {p: self.known[p] for p in pieces.names if p in self.known}
         self._learn(new)
-        first = list({p for begin, _ in split for p in begin})
+        first = list(set(pieces.first).union(*pieces.odd.values()))
         starts = dict(zip(first, self._each(first), strict=True))
-        return [
-            b"".join([*map(starts.__getitem__, a), *map(self.known.__getitem__, b)]) for a, b in split
-        ]
+        out: list[bytes | memoryview] = [b""] * len(texts)
+        if pieces.plain:
+            begun = list(dict.fromkeys(pieces.first))
+            table = [*map(self.known.__getitem__, pieces.names), *map(starts.__getitem__, begun)]
+            at = {p: len(pieces.names) + i for i, p in enumerate(begun)}
+            numbers = pieces.numbers.astype(np.int64)
+            numbers[pieces.offsets[:-1]] = [at[p] for p in pieces.first]
+            sizes = np.fromiter(map(len, table), np.int64, len(table)) // self.kind.itemsize
+            begins = np.cumsum(sizes) - sizes
+            ids = np.frombuffer(b"".join(table), self.kind)
+            counts = sizes[numbers]
+            ends = np.cumsum(counts)
+            gathered = ids[np.repeat(begins[numbers] - (ends - counts), counts) + np.arange(counts.sum())]
+            data = memoryview(gathered.tobytes())
+            cuts = np.r_[0, ends][pieces.offsets] * self.kind.itemsize
+            for i, a, b in zip(pieces.plain, cuts.tolist(), cuts[1:].tolist(), strict=False):
+                out[i] = data[a:b]
+        for i, parts in pieces.odd.items():
+            out[i] = b"".join(map(starts.__getitem__, parts))
+        return out
 
 
 def _open(uri: str) -> tuple[fs.FileSystem, str]:
@@ -152,9 +171,9 @@ def write_token_files(
                 out = store.open_output_stream(f"{base}/{files[0]}")
             ids.append(batch.column(0))
             for texts in text_slices(batch.column(1), _SLICE_BYTES):
-                for one in encoder.encode(texts):
-                    out.write(one + end)
-                    offsets.append(offsets[-1] + len(one) // width + 1)
+                ids_of = encoder.encode(texts)
+                out.write(b"".join(x for one in ids_of for x in (one, end)))
+                offsets += (offsets[-1] + np.cumsum([len(one) // width + 1 for one in ids_of])).tolist()
         if out is None:
             return
         out.close()
