@@ -2,8 +2,8 @@
 
 The n-grams of all documents are counted in tables partitioned by a hash of the n-gram, and the
 n-grams of the documents are joined to them. The rows that travel are not single n-grams: a chunk of
-neighbouring documents counts its own n-grams first and sends each partition one row with its distinct
-ones, so that a word found in every document is one entry per chunk. The partition sums them, and sends
+neighbouring documents counts its own n-grams first and sends a partition one row with the distinct
+ones it has for it, if any, so that a word found in every document is one entry per chunk. The partition sums them, and sends
 the totals back to the chunk, where they are looked up for each document and summed.
 """
 
@@ -14,11 +14,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-ORDER = 2
+ORDER = 3
 ALPHA = 0.4
 
-# Documents of a chunk, as a power of two, and bytes of text per partition of the count tables.
+# Documents of a chunk, as a power of two; bytes of a text that is a chunk of its own; bytes of text per
+# partition of the count tables.
 CHUNK_BITS = 11
+LONG_BYTES = 1 << 16
 PARTITION_BYTES = 16 << 20
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
@@ -123,39 +125,47 @@ def backoff_scores(
     Documents keep their chunk by their place in the scan, so ``docs`` should be a stored table or one
     whose rows come in the same order twice; a chunk whose n-grams do not fit its totals is an error.
     """
-    chunk = F.shiftright(F.monotonically_increasing_id(), chunk_bits)
+    place = F.monotonically_increasing_id()
+    long = F.coalesce(F.octet_length(F.col(text)), F.lit(0)) > LONG_BYTES
+    chunk = F.when(long, -1 - place).otherwise(F.shiftright(place, chunk_bits))
     base = docs.select(chunk.alias("chunk"), F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
     if parts is None:
         size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
         parts = max(1, -(-size // PARTITION_BYTES))
 
     def count(key, rows: pa.Table) -> pa.Table:
+        """A row per partition that the chunk has n-grams for, and one, numbered behind them, with its words."""
         grams = Grams(_texts(rows.column("text")), order)
         cuts = _bounds(grams.distinct, parts)
-        spans = list(zip(cuts, cuts[1:], strict=False))
+        spans = [(i, a, b) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
         return pa.table(
             {
-                "chunk": pa.array([key] * parts, pa.int64()),
-                "part": pa.array(range(parts), pa.int32()),
-                "words": pa.array([int(grams.lengths.sum())] * parts, pa.int64()),
-                "keys": pa.array([_by_bytes(grams.distinct[a:b]) for a, b in spans], pa.binary()),
-                "counts": pa.array([_by_bytes(grams.counts[a:b]) for a, b in spans], pa.binary()),
+                "chunk": pa.array([key] * (len(spans) + 1), pa.int64()),
+                "part": pa.array([*(i for i, _, _ in spans), parts], pa.int32()),
+                "words": pa.array([0] * len(spans) + [int(grams.lengths.sum())], pa.int64()),
+                "keys": pa.array([*(_by_bytes(grams.distinct[a:b]) for _, a, b in spans), b""], pa.binary()),
+                "counts": pa.array([*(_by_bytes(grams.counts[a:b]) for _, a, b in spans), b""], pa.binary()),
             }
         )
 
     def counted(batches):
-        """Chunks of a scan's task come one after the other."""
+        """Chunks of a scan's task come one after the other, but for long texts among them."""
         held, key = [], None
         for batch in batches:
             column = batch.column(0).to_numpy()
             cuts = np.r_[0, np.flatnonzero(np.diff(column)) + 1, len(column)]
             for a, b in zip(cuts, cuts[1:], strict=False):
-                if b > a:
-                    if held and column[a] != key:
-                        yield from count(key, pa.Table.from_batches(held)).to_batches()
-                        held = []
-                    key = int(column[a])
-                    held.append(batch.slice(a, b - a))
+                if b <= a:
+                    continue
+                part = batch.slice(a, b - a)
+                if column[a] < 0:
+                    yield from count(int(column[a]), pa.Table.from_batches([part])).to_batches()
+                    continue
+                if held and column[a] != key:
+                    yield from count(key, pa.Table.from_batches(held)).to_batches()
+                    held = []
+                key = int(column[a])
+                held.append(part)
         if held:
             yield from count(key, pa.Table.from_batches(held)).to_batches()
 
@@ -182,7 +192,7 @@ def backoff_scores(
         joined = np.concatenate([_from_bytes(t) for t in rows.column("totals").to_pylist()]).astype(np.int64)
         if len(joined) != len(grams.distinct):
             raise ValueError("the rows of a chunk changed between two scans: store the table first")
-        sums = _scores(grams, joined, rows.column("words")[0].as_py(), order, alpha)
+        sums = _scores(grams, joined, rows.column("words")[-1].as_py(), order, alpha)
         mean = pa.array(sums / np.maximum(grams.lengths, 1), mask=grams.lengths == 0)
         return pa.table(
             {"doc_id": documents.column("doc_id"), "n_words": grams.lengths, "log_score": sums, "mean_log_score": mean}

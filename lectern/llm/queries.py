@@ -238,19 +238,24 @@ WITH words AS (
     AS word, generate_subscripts(list_filter(string_split_regex({_LOWERED}, '[\\x20\\x09-\\x0D]+'),
     lambda w: w <> ''), 1) AS place FROM documents),
 grams AS (
-  SELECT w.doc_id, w.place, w.word, b.word AS before
-  FROM words w LEFT JOIN words b ON w.doc_id = b.doc_id AND w.place = b.place + 1),
+  SELECT doc_id, place, word, lag(word) OVER w AS before, lag(word, 2) OVER w AS first
+  FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
 counted AS (
   SELECT *, count(*) OVER () - count(*) OVER (PARTITION BY doc_id) AS others,
     count(*) OVER (PARTITION BY word) - count(*) OVER (PARTITION BY doc_id, word) AS n1,
     CASE WHEN before IS NOT NULL THEN count(*) OVER (PARTITION BY before, word)
-      - count(*) OVER (PARTITION BY doc_id, before, word) END AS n2 FROM grams),
+      - count(*) OVER (PARTITION BY doc_id, before, word) END AS n2,
+    CASE WHEN first IS NOT NULL THEN count(*) OVER (PARTITION BY first, before, word)
+      - count(*) OVER (PARTITION BY doc_id, first, before, word) END AS n3 FROM grams),
 contexts AS (
-  SELECT c.*, lag(n1) OVER (PARTITION BY doc_id ORDER BY place) AS context FROM counted c),
+  SELECT c.*, lag(n1) OVER w AS context, lag(n2) OVER w AS longer FROM counted c
+  WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
 scored AS (
-  SELECT doc_id, CASE WHEN n2 > 0 THEN log10(n2) - log10(context)
+  SELECT doc_id, CASE WHEN n3 > 0 THEN log10(n3) - log10(longer)
+    WHEN n2 > 0 THEN log10(n2) - log10(context) + CASE WHEN first IS NOT NULL THEN log10({backoff.ALPHA}) ELSE 0 END
     ELSE log10(CASE WHEN n1 > 0 THEN n1 ELSE 0.5 END) - log10(greatest(others, 1))
-      + CASE WHEN before IS NOT NULL THEN log10({backoff.ALPHA}) ELSE 0 END END AS score FROM contexts)
+      + CASE WHEN first IS NOT NULL THEN 2 * log10({backoff.ALPHA})
+             WHEN before IS NOT NULL THEN log10({backoff.ALPHA}) ELSE 0 END END AS score FROM contexts)
 SELECT d.doc_id, count(score) AS n_words, round(coalesce(sum(score), 0.0), 5) AS log_score,
   round(avg(score), 7) AS mean_log_score
 FROM documents d LEFT JOIN scored USING (doc_id) GROUP BY d.doc_id""",
