@@ -425,6 +425,8 @@ FROM (SELECT doc_id, unnest({terms("text")}) AS token FROM documents) GROUP BY t
 SELECT token, row_number() OVER (ORDER BY token) - 1 AS token_index
 FROM (SELECT DISTINCT unnest({terms("text")}) AS token FROM documents)""",
     "idf": f"WITH {tfidf('documents', 'doc_id', 'text')} SELECT token, df, round(idf, 9) AS idf FROM idf",
+    "idf_merged": f"""
+WITH {DELIVERED},{tfidf("delivered", "doc_id", "text")} SELECT token, df, round(idf, 9) AS idf FROM idf""",
     "tfidf_vectors": f"""
 WITH {tfidf("documents", "doc_id", "text")} SELECT doc_id, token, round(w, 9) AS weight FROM weights""",
     "tfidf_topk": f"""

@@ -320,6 +320,21 @@ def idf(spark, sf_dir):
     return scores.select("token", "df", F.round("idf", 9).alias("idf"))
 
 
+@query
+def idf_merged(spark, sf_dir):
+    """Weights kept up to date: fitted without the documents of good quality, which then arrive, while toxic ones
+    leave and those without a label change."""
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    docs = _documents(spark, sf_dir).join(labels, "doc_id", "left")
+    good, toxic, changed = F.col("quality").eqNullSafe(1), F.col("toxic").eqNullSafe(1), F.col("quality").isNull()
+    counts = stage(tfidf.token_counts(docs.where(~good)), "df")
+    edited = F.when(changed, F.concat("text", F.lit(" edited"))).otherwise(F.col("text"))
+    arriving = docs.where(~toxic & (good | changed)).withColumn("text", edited)
+    leaving = docs.where(~good & (toxic | changed))
+    merged = stage(tfidf.merged_counts(counts, arriving, leaving), "df")
+    return tfidf.fitted(merged).select("token", "df", F.round("idf", 9).alias("idf"))
+
+
 @query
 def tfidf_vectors(spark, sf_dir):
     docs = _documents(spark, sf_dir)

@@ -5,16 +5,22 @@ A *unit* is whatever the caller ranks: a document or a chunk, identified by one
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.arrays import run_lengths, run_starts
 from lectern.functions.text import tokens
 from lectern.operators.ordering import dense_index
-from lectern.operators.rows import BROADCAST_ROWS, explode_structs, sized, top_k
+from lectern.operators.rows import BROADCAST_ROWS, explode_structs, fits, sized, top_k
 from lectern.session import stage
 
+# Longest token that is broadcast, in bytes: text without breaks may be one token of any length.
+TOKEN_BYTES = 64
+
 # Similarities that agree to this many digits are ties: their last digits depend on the order in
 # which the parts are added.
 TIE_DIGITS = 9
@@ -63,6 +69,30 @@ def inverse_document_frequency(units: DataFrame, text: str = "text") -> DataFram
     return _idf(stage(_counts(units, text), "df"))
 
 
+def token_counts(units: DataFrame, text: str = "text") -> DataFrame:
+    """(token, df) of a fit as a table to be stored and kept up to date; the null token's df is the number of
+    units. ``fitted`` makes weights of it, ``merged_counts`` adds a delivery."""
+    return _counts(units, text)
+
+
+def merged_counts(counts: DataFrame, arriving: DataFrame, leaving: DataFrame, text: str = "text") -> DataFrame:
+    """The counts after a delivery: those of ``arriving`` units are added, those of ``leaving`` ones taken away, and
+    tokens that no unit holds any more are dropped. Changed units leave with their old text and arrive
+    with the new one. Only the delivery is read, and the result is that of a new fit.
+    """
+    less = _counts(leaving, text).withColumn("df", -F.col("df"))
+    signed = counts.select("token", "df").unionByName(_counts(arriving, text)).unionByName(less)
+    summed = signed.groupBy("token").agg(F.sum("df").alias("df"))
+    if summed.where("df < 0").take(1):
+        raise ValueError("units leave that the counts do not hold")
+    return summed.where("df > 0")
+
+
+def fitted(counts: DataFrame) -> DataFrame:
+    """(token, df, idf) from stored counts; no rows of counts give none."""
+    return _idf(counts)
+
+
 def _unit_counts(counted: DataFrame) -> DataFrame:
     """As ``_counts``, from counted terms."""
     listed = F.array_append(F.col("terms.token"), F.lit(None))
@@ -81,24 +111,27 @@ def vocabulary(units: DataFrame, text: str = "text") -> DataFrame:
 
 
 def split_vocabulary(idf: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """(frequent, rare): the most frequent tokens, at most ``rows`` of them, and the others if any.
+    """(frequent, rare): the most frequent tokens, at most ``rows`` of them and none of more than ``TOKEN_BYTES``
+    bytes, and the others if any. So what is broadcast is bounded in bytes as well.
 
     The border is a power of two, found in a histogram of at most 64 rows.
     Most rows of a corpus belong to frequent tokens; broadcasting those keeps the rows in place, and
     what remains to be shuffled is few rows, none of whose tokens holds more than ``2 / rows`` of all
     rows, so that no token can crowd a task.
     """
+    short = F.octet_length("token") <= TOKEN_BYTES
     bits = F.length(F.bin("df")).alias("bits")
-    histogram = idf.groupBy(bits).agg(F.count("*").alias("tokens")).collect()
+    histogram = idf.groupBy(bits).agg(F.count_if(short).alias("tokens"), F.count_if(~short).alias("long")).collect()
     counted, border = 0, None
-    for bits, tokens_ in sorted(histogram, reverse=True):
+    for bits, tokens_, _ in sorted(histogram, reverse=True):
         counted += tokens_
         if counted > rows:
             border = 1 << bits
             break
-    if border is None:
+    if border is None and not sum(row["long"] for row in histogram):
         return F.broadcast(idf), None
-    return F.broadcast(idf.where(F.col("df") >= border)), idf.where(F.col("df") < border)
+    frequent = short & (F.col("df") >= (border or 0))
+    return F.broadcast(idf.where(frequent)), idf.where(~frequent)
 
 
 def _weight() -> Column:
@@ -136,6 +169,13 @@ def vectors(
     text: str = "text",
     *,
     broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """As ``counted_vectors``, from texts."""
+    return counted_vectors(counted_terms(units, keys, text), idf, keys, broadcast_rows=broadcast_rows)
+
+
+def counted_vectors(
+    counted: DataFrame, idf: DataFrame, keys: list[str], *, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """(keys, terms, norm): one sparse vector per unit with its Euclidean norm.
 
@@ -154,7 +194,7 @@ def vectors(
         )
 
     frequent, rare = split_vocabulary(idf, broadcast_rows)
-    terms = term_frequency(units, keys, text)
+    terms = _terms(counted, keys)
     known = terms.join(frequent, "token", "inner" if rare is None else "left")
     known = known.withColumn("weight", _weight())
     if rare is None:
@@ -180,18 +220,6 @@ def vectors(
     )
 
 
-def norms(counted: DataFrame, idf: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(keys, norm) of units with counted terms. Squares are summed within the task that holds the unit;
-    only rare tokens beyond the broadcast bound are looked up by a shuffle join."""
-    frequent, rare = split_vocabulary(idf, broadcast_rows)
-    square = (_weight() * _weight()).alias("_square")
-    squares = _terms(counted, keys).join(frequent, "token").select(*keys, square)
-    if rare is not None:
-        rest = _terms(counted, keys).join(F.broadcast(frequent.select("token")), "token", "left_anti")
-        squares = squares.unionByName(rest.join(rare, "token").select(*keys, square))
-    return squares.groupBy(*keys).agg(F.sqrt(F.sum("_square")).alias("norm"))
-
-
 def build_index(units: DataFrame, keys: list[str], text: str = "text") -> TfidfIndex:
     """Fit a corpus and store its vectors, so that later query batches only scan them."""
     idf = inverse_document_frequency(units, text)
@@ -222,27 +250,182 @@ def _rank(scored: DataFrame, keys: list[str], k: int) -> DataFrame:
 def search_index(index: TfidfIndex, queries: DataFrame, k: int = 5) -> DataFrame:
     """(query_id, keys, similarity, rank) against a stored index.
 
-    One scan: the hits of a unit are summed in the task that holds its row, and only k rows per
-    query and task are shuffled. The queries are broadcast if their counted terms are within the bound.
+    If the counted terms of the queries are within the bound, they go to every task, and the units are
+    scored where they lie: one scan, and only k rows per query and task are shuffled (see ``_best_in_place``).
+    Beyond it, terms meet query terms in a join, and the products of a unit and query are summed by a shuffle.
     """
     query_terms = _query_weights(queries, index.idf)
-    return _rank(_similarity(index.vectors, query_terms, index.keys), index.keys, k)
+    if fits(query_terms):
+        found = _best_in_place(index.vectors, query_terms, index.keys, k)
+    else:
+        found = _similarity(index.vectors, query_terms, index.keys)
+    return _rank(found, index.keys, k)
 
 
 def _similarity(vectors: DataFrame, query_terms: DataFrame, keys: list[str]) -> DataFrame:
     hits = explode_structs(vectors, [*keys, "norm"], F.col("terms"), ["token", "weight"])
-    matched = hits.join(sized(query_terms), "token")
+    matched = hits.join(query_terms, "token")
     dots = matched.groupBy(*keys, "query_id").agg(
         F.sum(F.col("weight") * F.col("query_weight")).alias("dot"),
         F.first("norm").alias("norm"),
         F.first("query_norm").alias("query_norm"),
     )
-    return dots.select(*keys, "query_id", _cosine().alias("similarity"))
-
-
-def _cosine() -> Column:
     cosine = F.try_divide(F.col("dot"), F.col("norm") * F.col("query_norm"))
-    return F.coalesce(cosine, F.lit(0.0))
+    return dots.select(*keys, "query_id", F.coalesce(cosine, F.lit(0.0)).alias("similarity"))
+
+
+# Units of the first block of a task and of the largest one, and pairs scored at a time.
+FIRST_BLOCK, LARGEST_BLOCK = 32, 4096
+_PAIRS = 1 << 18
+
+
+class QueryTerms:
+    """The terms of some queries by token, and each query's k best similarities of a task so far."""
+
+    def __init__(self, queries, tokens, shares, k: int):
+        """``shares``: the terms' weights over the norm of their query."""
+        import numpy as np
+
+        self.names, query = np.unique(queries, return_inverse=True)
+        self.tokens, token = np.unique(tokens, return_inverse=True)
+        order = np.lexsort((token, query))
+        self.query, self.token, self.share = query[order], token[order], np.asarray(shares, np.float64)[order]
+        self.starts = np.searchsorted(self.query, np.arange(len(self.names) + 1))
+        self.k = k
+        self.best = np.zeros((len(self.names), k))
+        self.pairs = 0  # how many (unit, query) pairs were scored
+
+    def essential(self, largest):
+        """Which terms can bring a unit of a block among its query's best, given the largest weight of each
+        token in the block: all but those whose largest products sum to less than the k-th similarity."""
+        import numpy as np
+
+        product = np.abs(self.share) * largest[self.token]  # both have the sign of the token's idf
+        order = np.lexsort((product, self.query))
+        total = np.cumsum(product[order])
+        before = np.r_[0.0, total][self.starts[:-1]]
+        upto = total - before[self.query[order]]
+        kth = self.best[:, 0][self.query[order]]
+        out = np.zeros(len(product), bool)
+        out[order] = upto >= kth * (1 - 1e-6) - 1e-12
+        return out & (product > 0)
+
+    def score(self, rows, tokens, weights):
+        """(unit's row, query, similarity) of the pairs of a block that may be among their query's best.
+        ``rows``, ``tokens`` and ``weights`` (over the unit's norm): the units' terms that some query holds."""
+        import numpy as np
+
+        by_token = np.argsort(tokens, kind="stable")
+        places = np.searchsorted(tokens[by_token], np.arange(len(self.tokens) + 1))
+        largest = np.zeros(len(self.tokens))
+        np.maximum.at(largest, tokens, np.abs(weights))
+        used = np.flatnonzero(self.essential(largest))
+        begins, counts = places[self.token[used]], np.diff(places)[self.token[used]]
+        within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        met = rows[by_token[np.repeat(begins, counts) + within]] * len(self.names) + np.repeat(self.query[used], counts)
+        pairs = np.unique(met)
+        key = rows * len(self.tokens) + tokens
+        order = np.argsort(key)
+        key, weights = key[order], weights[order]
+        found = []
+        step = max(1, _PAIRS // int(np.diff(self.starts).max(initial=1)))
+        for a in range(0, len(pairs), step):
+            row, query = np.divmod(pairs[a : a + step], len(self.names))
+            sizes = self.starts[query + 1] - self.starts[query]
+            pair = np.repeat(np.arange(len(row)), sizes)
+            term = np.repeat(self.starts[query], sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            wanted = row[pair] * len(self.tokens) + self.token[term]
+            at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+            product = np.where(key[at] == wanted, weights[at] * self.share[term], 0.0)
+            found.append((row, query, np.bincount(pair, product, len(row))))
+        self.pairs += len(pairs)
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        row, query, similarity = (np.concatenate(c) for c in zip(*found, strict=True))
+        rounded = np.floor(similarity * 10**TIE_DIGITS + 0.5) / 10**TIE_DIGITS
+        return self._keep(row, query, similarity, rounded)
+
+    def _keep(self, row, query, similarity, rounded):
+        """Pairs above zero that are not below their query's k-th similarity, ties included; that is moved up."""
+        import numpy as np
+
+        use = (similarity > 0) & (rounded >= self.best[query, 0] - 0.5 / 10**TIE_DIGITS)
+        row, query, similarity, rounded = row[use], query[use], similarity[use], rounded[use]
+        order = np.lexsort((-rounded, query))
+        first = np.searchsorted(query[order], np.arange(len(self.names)))
+        place = np.arange(len(order)) - first[query[order]]
+        top = order[place < self.k]
+        for q in np.unique(query[top]).tolist():
+            self.best[q] = np.sort(np.r_[self.best[q], rounded[top[query[top] == q]]])[-self.k :]
+        use = rounded >= self.best[query, 0] - 0.5 / 10**TIE_DIGITS
+        return row[use], query[use], similarity[use]
+
+
+def _best_in_place(vectors: DataFrame, query_terms: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """(keys, query_id, similarity) of every task's units that may be among a query's k best.
+
+    A task goes through its units in blocks, small ones first. Of a block it knows the largest weight of every
+    token, and so which terms of a query can lift a unit above the k-th similarity found so far; only
+    units that hold such a term are scored for the query. Common words are such terms hardly ever, so
+    that few of all pairs are looked at. The products of a unit are summed where it lies.
+    """
+    rows = query_terms.select("query_id", "token", F.try_divide("query_weight", "query_norm").alias("share"))
+    table = rows.where("share IS NOT NULL").toPandas()  # within the bound, as its caller has checked
+    sent = vectors.sparkSession.sparkContext.broadcast(table)
+    kinds = {f.name: f.dataType.simpleString() for f in [*vectors.schema, *query_terms.schema]}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*keys, "query_id"]) + ", similarity double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        asked = sent.value
+        if asked.empty:
+            return
+        names = asked["query_id"].drop_duplicates().sort_values().to_numpy()
+        number = np.searchsorted(names, asked["query_id"].to_numpy())
+        terms = QueryTerms(number, asked["token"].to_numpy(str), asked["share"].to_numpy(), k)
+        wanted = pa.array(terms.tokens.tolist(), pa.string())
+        held: list[pa.Table] = []
+
+        def best_so_far() -> list[pa.Table]:
+            """Of what is held, each query's k best, ties by the later unit."""
+            found = pa.concat_tables(held)
+            rounded = np.floor(found.column("similarity").to_numpy() * 10**TIE_DIGITS + 0.5)
+            order = found.select([*keys, "query_id"]).append_column("_by", pa.array(rounded))
+            sorting = [("query_id", "ascending"), ("_by", "descending"), *((c, "descending") for c in keys)]
+            place = pc.sort_indices(order, sort_keys=sorting)
+            found = found.take(place)
+            query = found.column("query_id").to_numpy()
+            return [found.filter(pa.array(np.arange(len(query)) - np.searchsorted(query, query) < k))]
+
+        size = FIRST_BLOCK
+        for batch in batches:
+            a = 0
+            while a < batch.num_rows:
+                block = batch.slice(a, size)
+                a, size = a + size, min(size * 2, LARGEST_BLOCK)
+                lists, norm = block.column(len(keys)), block.column(len(keys) + 1).to_numpy(zero_copy_only=False)
+                flat = lists.flatten()
+                row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+                token = pc.index_in(flat.field(0), wanted)
+                hit = np.flatnonzero(token.is_valid().to_numpy(zero_copy_only=False))
+                row, weight = row[hit], flat.field(1).to_numpy(zero_copy_only=False)[hit]
+                use = norm[row] > 0
+                if not use.any():
+                    continue
+                row, weight = row[use], weight[use] / norm[row[use]]
+                token = token.take(pa.array(hit[use])).to_numpy(zero_copy_only=False).astype(np.int64)
+                at, query, similarity = terms.score(row, token, weight)
+                if len(at):
+                    columns = [block.column(i).take(pa.array(at)) for i in range(len(keys))]
+                    columns += [pa.array(names[terms.names[query]]), pa.array(similarity)]
+                    held.append(pa.table(columns, names=[*keys, "query_id", "similarity"]))
+                    if sum(map(len, held)) > 4 * k * len(names) + LARGEST_BLOCK:
+                        held = best_so_far()
+        if held:
+            yield from best_so_far()[0].combine_chunks().to_batches()
+
+    return vectors.select(*keys, "terms", "norm").mapInArrow(run, schema)
 
 
 def search(
@@ -256,14 +439,9 @@ def search(
     """(query_id, keys, similarity, rank): the k units most similar to each query text.
 
     Fits the corpus first. Units are cut and tokenised once: one row per unit with its counted terms is
-    stored, and document frequencies, norms and products are taken from there.
+    stored, and document frequencies and the units' vectors are taken from there.
     """
     counted = stage(counted_terms(units, keys, text), "counted")
     idf = _idf(stage(_unit_counts(counted), "df"))
-    query_terms = _query_weights(queries, idf)
-    matched = _terms(counted, keys).join(sized(query_terms), "token")
-    dots = matched.groupBy(*keys, "query_id").agg(
-        F.sum(_weight() * F.col("query_weight")).alias("dot"), F.first("query_norm").alias("query_norm")
-    )
-    scored = dots.join(norms(counted, idf, keys, broadcast_rows), keys)
-    return _rank(scored.select(*keys, "query_id", _cosine().alias("similarity")), keys, k)
+    whole = stage(counted_vectors(counted, idf, keys, broadcast_rows=broadcast_rows), "tfidf")
+    return search_index(TfidfIndex(idf, whole, keys), queries, k)
