@@ -641,3 +641,6 @@ SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS
        char_end, token_count, 'fixed' AS chunking_strategy, hash, lang, source
 FROM ({fixed(512, 50, "kept", ", hash, lang, source")})""",
 }
+
+# What a delivery leaves does not depend on how it is stored.
+ORACLES["snapshot_delivery"] = ORACLES["apply_changes"]

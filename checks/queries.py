@@ -13,6 +13,7 @@ from lectern.operators import (
     dedup,
     embed,
     filters,
+    graph,
     ivf,
     lsh,
     metrics,
@@ -24,7 +25,7 @@ from lectern.operators import (
     search,
     tfidf,
 )
-from lectern.plans import indexing, retrieval, stages
+from lectern.plans import indexing, retrieval, snapshots, stages
 from lectern.plans.retrieval import outcome
 from lectern.plans.stages import documents_to_chunks as clean_chunks
 from lectern.session import shared_dir, stage
@@ -444,6 +445,20 @@ def apply_changes(spark, sf_dir):
     return joined.select("chunk_id", "doc_id", "source_path", "embedding")
 
 
+@query
+def snapshot_delivery(spark, sf_dir):
+    """As apply_changes, from the second version of a corpus kept in versions."""
+    corpus, second = _first_delivery(spark, sf_dir)
+    root = f"{corpus.root}/kept"
+    snapshots.deliver(spark, root, tables.load_documents(spark, corpus.documents))
+    snapshots.deliver(spark, root, second)
+    latest = snapshots.load_corpus(spark, root)
+    chunks = spark.read.parquet(latest.chunks).select("chunk_id", "doc_id")
+    vectors = snapshots.vectors(spark, latest).select("chunk_id", _as_text("embedding").alias("embedding"))
+    names = spark.read.parquet(latest.documents).select("doc_id", "source_path")
+    return chunks.join(names, "doc_id", "full").join(vectors, "chunk_id", "full").select("chunk_id", "doc_id", "source_path", "embedding")
+
+
 @query
 def embedding_index(spark, sf_dir):
     chunks = _chunks(spark, sf_dir).select(
@@ -613,6 +628,13 @@ def knn_lsh(spark, sf_dir):
     return _rounded(lsh.search(placed, _vector_queries(spark, sf_dir), 10, shape))
 
 
+@query
+def knn_graph(spark, sf_dir):
+    """From a neighbour graph over all vectors, searched in bounded steps."""
+    found = graph.search(graph.build_graph(_vectors(spark, sf_dir)), _vector_queries(spark, sf_dir), 10)
+    return _rounded(found.drop("looked_at"))
+
+
 @query
 def recall_at_k(spark, sf_dir):
     vectors, centroids, _ = _seeded(spark, sf_dir)

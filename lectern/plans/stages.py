@@ -22,22 +22,30 @@ def documents_to_chunks(documents: DataFrame, key: str = "doc_id", carry: list[s
     return chunk.chunk_documents(kept.withColumnRenamed(key, "doc_id"), carry=carry, **options)
 
 
-@dataclass
+@dataclass(frozen=True)
 class Corpus:
-    """Where a corpus lives: the tables, and the side outputs beside them."""
+    """Where a corpus lives: the tables, and the side outputs beside them.
+
+    Of a corpus kept in versions (see ``plans.snapshots``), documents, chunks and positions lie in the folder of
+    the version; vectors, whose ids are those of their text, are shared by all versions.
+    """
 
     root: str
+    version: int | None = None
 
     def _at(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def _of_version(self, name: str) -> str:
+        return self._at(name if self.version is None else f"versions/{self.version:08}/{name}")
+
     @property
     def documents(self) -> str:
-        return self._at("documents")
+        return self._of_version("documents")
 
     @property
     def chunks(self) -> str:
-        return self._at("chunks")
+        return self._of_version("chunks")
 
     @property
     def embeddings(self) -> str:
@@ -45,7 +53,7 @@ class Corpus:
 
     @property
     def positions(self) -> str:
-        return self._at("embedding_positions")
+        return self._of_version("embedding_positions")
 
     @property
     def quarantine(self) -> str:
@@ -111,10 +119,12 @@ def embed_corpus(
     batch_size: int = embed.BATCH_SIZE,
     at: Column | None = None,
     commits: int = 1,
+    keep_orphans: bool = False,
 ) -> DataFrame:
     """Vectors of the chunks the model has not embedded yet; returns the metrics row.
 
-    Vectors of the model whose chunk is not stored any more, since documents were cut anew, are dropped.
+    Vectors of the model whose chunk is not stored any more, since documents were cut anew, are dropped, or
+    stay, with ``keep_orphans``, for versions that still have their chunk.
     The table of positions, in the order of the chunk ids, is written anew.
     With ``commits``, the chunks are embedded in so many parts by a hash of their id, and each is stored
     when it is done: a run that is broken off keeps the finished parts, and the next one embeds the
@@ -137,8 +147,12 @@ def embed_corpus(
             "chunk_id", "embedding", "embedding_dim", at.alias("embedding_timestamp"), "model_name"
         )
         sink.write_embeddings(embedded, corpus.embeddings)
-    _drop_orphans(spark, corpus, model_name)
     stored = spark.read.parquet(corpus.embeddings).where(F.col("model_name") == model_name)
+    if keep_orphans:
+        stored = stored.join(spark.read.parquet(corpus.chunks).select("chunk_id"), "chunk_id", "left_semi").select(*stored.columns)
+    else:
+        _drop_orphans(spark, corpus, model_name)
+        stored = spark.read.parquet(corpus.embeddings).where(F.col("model_name") == model_name)
     sink.write_positions(embed.embedding_index(stored, at), corpus.positions)
     row = metrics.embed_metrics(stored.select("chunk_id"), model_name, "cpu", time.time() - started)
     return _finish(corpus, "embedding", row)
@@ -164,6 +178,18 @@ def apply_changes(
     native encoder (other models are brought up to date by ``embed_corpus``). Documents that stay are
     neither cut nor embedded again. Doing it a second time changes nothing.
     """
+    documents, cut = changed_tables(spark, corpus, incoming, strategy, **options)
+    sink.write_documents(documents, corpus.documents, resume=False)
+    sink.replace_chunks(cut, corpus.chunks)
+    if tables.if_stored(lambda: spark.read.parquet(corpus.embeddings)) is not None:
+        embed_corpus(spark, corpus)
+
+
+def changed_tables(
+    spark: SparkSession, corpus: Corpus, incoming: DataFrame, strategy: str = "fixed", **options: int
+) -> tuple[DataFrame, DataFrame]:
+    """Documents and chunks of a corpus as they are after a delivery; both are read from staged tables, so that
+    they can be written where they came from."""
     stored = tables.load_documents(spark, corpus.documents)
     status = stage(dedup.changes(stored, incoming).select("source_path", "status"), "changes")
     stays = status.where(F.col("status") == "same").select("source_path")
@@ -175,11 +201,7 @@ def apply_changes(
     cut = chunk.chunk_documents(fresh, strategy, carry=["source_path", "file_type", "ingestion_timestamp"], **options)
     if chunks is not None:
         cut = chunks.join(kept.select("doc_id"), "doc_id", "left_semi").select(*cut.columns).unionByName(cut)
-    cut = stage(cut, "chunks")
-    sink.write_documents(kept.unionByName(fresh), corpus.documents, resume=False)
-    sink.replace_chunks(cut, corpus.chunks)
-    if tables.if_stored(lambda: spark.read.parquet(corpus.embeddings)) is not None:
-        embed_corpus(spark, corpus)
+    return kept.unionByName(fresh), stage(cut, "chunks")
 
 
 def detect_changes(spark: SparkSession, corpus: Corpus, incoming: DataFrame) -> DataFrame:

@@ -274,7 +274,7 @@ def test_what_goes_and_comes_back_is_live_again(spark, folder):
     assert live(indexing.load_index(spark, path)) == first
 
 
-@pytest.mark.parametrize("broken", ["_write_entries", "_write_lists", "_commit"])
+@pytest.mark.parametrize("broken", ["_write_entries", "_commit"])
 def test_a_run_broken_off_leaves_the_version_before_it(spark, folder, monkeypatch, broken):
     corpus, path = corpus_of(spark, folder, FIRST[:80]), f"{folder}/index"
     indexing.build_index(spark, corpus, path, indexing.INVERTED)
