@@ -19,7 +19,7 @@ ALPHA = 0.4
 
 # Documents of a chunk, as a power of two; bytes of a text that is a chunk of its own; bytes of text per
 # partition of the count tables.
-CHUNK_BITS = 11
+CHUNK_BITS = 10
 LONG_BYTES = 1 << 16
 PARTITION_BYTES = 16 << 20
 
