@@ -21,7 +21,7 @@ ALPHA = 0.4
 # partition of the count tables.
 CHUNK_BITS = 10
 LONG_BYTES = 1 << 16
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES = 6 << 20
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))
 _COUNTS = "chunk long, part int, words long, keys binary, counts binary"
