@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lectern.functions.arrays import run_lengths, run_starts
 from lectern.functions.text import tokens
 from lectern.operators.ordering import dense_index
-from lectern.operators.rows import BROADCAST_ROWS, explode_structs, fits, sized, top_k
+from lectern.operators.rows import BROADCAST_BYTES, BROADCAST_ROWS, explode_structs, fits, sized, top_k
 from lectern.session import stage
 
 # Longest token that is broadcast, in bytes: text without breaks may be one token of any length.
@@ -110,27 +110,31 @@ def vocabulary(units: DataFrame, text: str = "text") -> DataFrame:
     return dense_index(document_frequency(units, text).select("token"), "token", "token_index", "vocabulary")
 
 
-def split_vocabulary(idf: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame | None]:
-    """(frequent, rare): the most frequent tokens, at most ``rows`` of them and none of more than ``TOKEN_BYTES``
-    bytes, and the others if any. So what is broadcast is bounded in bytes as well.
+def split_vocabulary(
+    idf: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES
+) -> tuple[DataFrame, DataFrame | None]:
+    """(frequent, rare): all tokens, if they are within ``rows`` and ``size`` bytes; else the most frequent ones, at
+    most ``rows`` of them and none of more than ``TOKEN_BYTES`` bytes, and the others. So what is broadcast
+    is bounded in bytes as well.
 
     The border is a power of two, found in a histogram of at most 64 rows.
     Most rows of a corpus belong to frequent tokens; broadcasting those keeps the rows in place, and
     what remains to be shuffled is few rows, none of whose tokens holds more than ``2 / rows`` of all
     rows, so that no token can crowd a task.
     """
-    short = F.octet_length("token") <= TOKEN_BYTES
+    length = F.octet_length("token")
+    short = length <= TOKEN_BYTES
     bits = F.length(F.bin("df")).alias("bits")
-    histogram = idf.groupBy(bits).agg(F.count_if(short).alias("tokens"), F.count_if(~short).alias("long")).collect()
-    counted, border = 0, None
-    for bits, tokens_, _ in sorted(histogram, reverse=True):
-        counted += tokens_
+    histogram = idf.groupBy(bits).agg(F.count("*").alias("all"), F.count_if(short).alias("short"), F.sum(length + 16).alias("bytes")).collect()
+    if sum(r["all"] for r in histogram) <= rows and sum(r["bytes"] for r in histogram) <= size:
+        return F.broadcast(idf), None
+    counted, border = 0, 0
+    for row in sorted(histogram, key=lambda r: -r["bits"]):
+        counted += row["short"]
         if counted > rows:
-            border = 1 << bits
+            border = 1 << row["bits"]
             break
-    if border is None and not sum(row["long"] for row in histogram):
-        return F.broadcast(idf), None
-    frequent = short & (F.col("df") >= (border or 0))
+    frequent = short & (F.col("df") >= border)
     return F.broadcast(idf.where(frequent)), idf.where(~frequent)
 
 
@@ -220,6 +224,18 @@ def counted_vectors(
     )
 
 
+def norms(counted: DataFrame, idf: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """(keys, norm) of units with counted terms. Squares are summed within the task that holds the unit;
+    only rare tokens beyond the broadcast bound are looked up by a shuffle join."""
+    frequent, rare = split_vocabulary(idf, broadcast_rows)
+    square = (_weight() * _weight()).alias("_square")
+    squares = _terms(counted, keys).join(frequent, "token").select(*keys, square)
+    if rare is not None:
+        rest = _terms(counted, keys).join(F.broadcast(frequent.select("token")), "token", "left_anti")
+        squares = squares.unionByName(rest.join(rare, "token").select(*keys, square))
+    return squares.groupBy(*keys).agg(F.sqrt(F.sum("_square")).alias("norm"))
+
+
 def build_index(units: DataFrame, keys: list[str], text: str = "text") -> TfidfIndex:
     """Fit a corpus and store its vectors, so that later query batches only scan them."""
     idf = inverse_document_frequency(units, text)
@@ -270,8 +286,12 @@ def _similarity(vectors: DataFrame, query_terms: DataFrame, keys: list[str]) ->
         F.first("norm").alias("norm"),
         F.first("query_norm").alias("query_norm"),
     )
+    return dots.select(*keys, "query_id", _cosine().alias("similarity"))
+
+
+def _cosine() -> Column:
     cosine = F.try_divide(F.col("dot"), F.col("norm") * F.col("query_norm"))
-    return dots.select(*keys, "query_id", F.coalesce(cosine, F.lit(0.0)).alias("similarity"))
+    return F.coalesce(cosine, F.lit(0.0))
 
 
 # Units of the first block of a task and of the largest one, and pairs scored at a time.
@@ -439,9 +459,15 @@ def search(
     """(query_id, keys, similarity, rank): the k units most similar to each query text.
 
     Fits the corpus first. Units are cut and tokenised once: one row per unit with its counted terms is
-    stored, and document frequencies and the units' vectors are taken from there.
+    stored, and document frequencies, norms and products are taken from there. The vectors themselves are
+    not made, as they serve one batch of queries only; ``build_index`` stores them for many.
     """
     counted = stage(counted_terms(units, keys, text), "counted")
     idf = _idf(stage(_unit_counts(counted), "df"))
-    whole = stage(counted_vectors(counted, idf, keys, broadcast_rows=broadcast_rows), "tfidf")
-    return search_index(TfidfIndex(idf, whole, keys), queries, k)
+    query_terms = _query_weights(queries, idf)
+    matched = _terms(counted, keys).join(sized(query_terms), "token")
+    dots = matched.groupBy(*keys, "query_id").agg(
+        F.sum(_weight() * F.col("query_weight")).alias("dot"), F.first("query_norm").alias("query_norm")
+    )
+    scored = dots.join(norms(counted, idf, keys, broadcast_rows), keys)
+    return _rank(scored.select(*keys, "query_id", _cosine().alias("similarity")), keys, k)

@@ -177,11 +177,14 @@ def test_blocks_score_few_of_all_pairs():
     assert terms.pairs < 0.4 * (whole > 0).sum()
 
 
-def test_long_tokens_are_not_broadcast(spark):
+def test_long_tokens_are_not_broadcast(spark, monkeypatch):
     idf = spark.createDataFrame([("a", 5, 0.1), ("b" * 1000, 9, 0.2), ("c", 2, 0.3)], "token string, df long, idf double")
-    frequent, rare = tfidf.split_vocabulary(idf)
+    assert tfidf.split_vocabulary(idf)[1] is None  # few bytes in all
+    frequent, rare = tfidf.split_vocabulary(idf, size=500)
     assert sorted(r["token"] for r in frequent.collect()) == ["a", "c"]
     assert [r["df"] for r in rare.collect()] == [9]
+    split = tfidf.split_vocabulary
+    monkeypatch.setattr(tfidf, "split_vocabulary", lambda idf, rows=10: split(idf, rows, size=100))
     units = spark.createDataFrame([(1, "a a " + "x" * 300), (2, "x" * 300 + " c"), (3, "a q")], "unit long, text string")
     queries = spark.createDataFrame([(1, "x" * 300)], "query_id long, query_text string")
     assert [r["unit"] for r in tfidf.search(units, queries, ["unit"], 5).orderBy("rank").collect()] == []  # in all but one
