@@ -642,5 +642,33 @@ SELECT {stable_id("doc_id", "'fixed'", "chunk_index", "sha256(chunk_text)")} AS
 FROM ({fixed(512, 50, "kept", ", hash, lang, source")})""",
 }
 
+ORACLES["scan_flat"] = """
+SELECT 'txt' AS file_type, line, count(*) AS copies
+FROM (SELECT unnest(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10))) AS line
+      FROM documents WHERE lang = 'en')
+WHERE line <> '' GROUP BY line"""
+
+ORACLES["embed_named"] = f"""
+WITH {FIXED_CHUNKS}
+SELECT chunk_id, length(chunk_text) || ',' || length(regexp_replace(chunk_text, '[^ ]', '', 'g')) || ','
+    || length(regexp_replace(chunk_text, '[^e]', '', 'g')) AS embedding, 'letters' AS model_name, 3::BIGINT AS embedding_dim
+FROM chunks"""
+
+ORACLES["stage_metrics"] = f"""
+WITH clean AS (SELECT doc_id, {normalized("text")} AS text FROM documents),
+kept AS (SELECT min(doc_id) AS doc_id, text FROM clean GROUP BY text),
+cut AS ({fixed(512, 50, "kept")})
+SELECT 'ingestion' AS stage, (SELECT count(*) FROM kept) AS documents_processed, 0::BIGINT AS parse_failures,
+  (SELECT count(*) FROM clean) - (SELECT count(*) FROM kept) AS duplicates_removed, NULL::BIGINT AS total_chunks,
+  NULL::BIGINT AS total_documents, NULL::DOUBLE AS average_chunk_size, NULL::BIGINT AS total_embeddings,
+  NULL::VARCHAR AS model_name, NULL::VARCHAR AS device
+UNION ALL SELECT 'chunking', NULL, NULL, NULL, count(*), (SELECT count(*) FROM kept), round(avg(token_count), 2),
+  NULL, NULL, NULL FROM cut
+UNION ALL SELECT 'embedding', NULL, NULL, NULL, NULL, NULL, NULL, count(*), 'hashed-bag-of-words', 'cpu' FROM cut"""
+
+# Stored side outputs hold what was written.
+ORACLES["quarantine_stored"] = ORACLES["quarantine"]
+ORACLES["metrics_exported"] = ORACLES["metrics_row"]
+
 # What a delivery leaves does not depend on how it is stored.
 ORACLES["snapshot_delivery"] = ORACLES["apply_changes"]

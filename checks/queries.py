@@ -30,7 +30,7 @@ from lectern.plans.retrieval import outcome
 from lectern.plans.stages import documents_to_chunks as clean_chunks
 from lectern.session import shared_dir, stage
 from lectern.sinks import tables as sink
-from lectern.sources import tables
+from lectern.sources import files, tables
 from lectern.sources.tables import read_table
 
 # The elapsed seconds the metrics queries assume, since a result cannot depend on the clock.
@@ -159,6 +159,27 @@ def quarantine(spark, sf_dir):
     return failed.select("source_path", "file_type", "error", F.col("timestamp").alias("run"))
 
 
+@query
+def quarantine_stored(spark, sf_dir):
+    """As quarantine, from the JSON side output."""
+    path = f"{shared_dir(spark).rstrip('/')}/quarantine-{uuid.uuid4().hex}"
+    failed = parse.failures(parse.parse_files(_files(spark, sf_dir)), F.lit("run-1"))
+    sink.write_json(failed, path)
+    stored = spark.read.schema(failed.schema).json(path)
+    return stored.select("source_path", "file_type", "error", F.col("timestamp").alias("run"))
+
+
+@query
+def scan_flat(spark, sf_dir):
+    """Lines of the English texts, stored as files of a folder that has the other ones below it."""
+    root = f"{shared_dir(spark).rstrip('/')}/flat-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents", "lang", "text")
+    docs.where("lang = 'en'").select("text").write.option("maxRecordsPerFile", 1000).text(root)
+    docs.where("lang <> 'en'").write.partitionBy("lang").text(f"{root}/others")
+    lines = files.scan_flat(spark, root).select("file_type", F.explode(F.split(parse.decode_text("content"), "\n")).alias("line"))
+    return lines.where("line <> ''").groupBy("file_type", "line").agg(F.count("*").alias("copies"))
+
+
 @query
 def parse_placeholder(spark, sf_dir):
     kept = parse.with_placeholder(parse.parse_files(_files(spark, sf_dir)))
@@ -379,6 +400,26 @@ def embed_hashed(spark, sf_dir):
     return vectors.select("chunk_id", _as_text("embedding").alias("embedding"))
 
 
+def _letters():
+    """An encoder of three counts that has memory for no more than 16 texts at a time."""
+
+    def encode(texts: list) -> list:
+        if len(texts) > 16:
+            raise MemoryError
+        return [[len(t), t.count(" "), t.count("e")] for t in texts]
+
+    return encode
+
+
+@query
+def embed_named(spark, sf_dir):
+    """Vectors of an encoder added by name, whose batches are halved until they fit its memory."""
+    encoders = embed.Encoders()
+    encoders.add("letters", _letters, 3)
+    embedded = encoders.embed(_chunks(spark, sf_dir).select("chunk_id", "chunk_text"), "letters")
+    return plain(embedded.select("chunk_id", _as_text("embedding").alias("embedding"), "model_name", "embedding_dim"))
+
+
 @query
 def embed_resume(spark, sf_dir):
     """Chunks still to be embedded when the labelled documents' are stored, the rest by another model."""
@@ -896,6 +937,29 @@ def metrics_row(spark, sf_dir):
     return plain(metrics.metrics_row(_stages(spark, sf_dir)))
 
 
+@query
+def metrics_exported(spark, sf_dir):
+    """As metrics_row, from the exported CSV with its header."""
+    path = f"{shared_dir(spark).rstrip('/')}/export-{uuid.uuid4().hex}"
+    row = metrics_row(spark, sf_dir)
+    sink.write_csv(row, path)
+    return spark.read.option("header", "true").schema(row.schema).csv(path)
+
+
+@query
+def stage_metrics(spark, sf_dir):
+    """What the stages from files to vectors counted while they wrote, read from beside their tables."""
+    root = f"{shared_dir(spark).rstrip('/')}/stages-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    docs.write.partitionBy("source", "doc_id").text(f"{root}/raw")
+    corpus = stages.Corpus(f"{root}/corpus")
+    stages.ingest(spark, f"{root}/raw", corpus)
+    stages.chunk_corpus(spark, corpus, "fixed")
+    stages.embed_corpus(spark, corpus)
+    timed = [c for c in metrics.METRICS_SCHEMA.replace(",", "").split()[::2] if "second" in c or "minute" in c]
+    return plain(tables.load_metrics(spark, corpus.all_metrics).drop(*timed, "total_vectors", "index_type"))
+
+
 @query
 def target_assessment(spark, sf_dir):
     return metrics.target_assessment(_stages(spark, sf_dir))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from lectern.operators.rows import BROADCAST_ROWS, fits
 from lectern.session import stage
@@ -18,15 +18,22 @@ def survivors(df: DataFrame, key: str, text_hash: str = "hash") -> DataFrame:
 
 
 def drop_duplicates(
-    df: DataFrame, key: str, text_hash: str = "hash", broadcast_rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    key: str,
+    text_hash: str = "hash",
+    broadcast_rows: int = BROADCAST_ROWS,
+    removed: Observation | None = None,
 ) -> DataFrame:
     """Keep the row with the smallest key of every hash. ``key`` is unique per row, no hash is null.
 
     Where few texts have copies, those are broadcast and the other columns are not shuffled at all.
     Otherwise the rows join the survivors on their unique key. Either way the copies of a text are
-    never gathered in one task.
+    never gathered in one task. ``removed`` takes up the number of rows that go, as ``duplicates_removed``.
     """
-    copied = stage(survivors(df, key, text_hash).where("copies > 1"), "copied")
+    several = survivors(df, key, text_hash).where("copies > 1")
+    if removed is not None:
+        several = several.observe(removed, F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_removed"))
+    copied = stage(several, "copied")
     if fits(copied, broadcast_rows):
         first = F.broadcast(copied.select(text_hash, F.col(key).alias("_first")))
         marked = df.join(first, text_hash, "left")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Targets with their units, thresholds in percent, scales of the projection, and the
 # columns of the exported row with the stage and metric they come from and their defaults.
@@ -53,6 +53,11 @@ def ingest_metrics(parsed: DataFrame, seconds: float) -> DataFrame:
         F.coalesce(F.sum(F.when(~ok, F.col("_copies"))), F.lit(0)).alias("parse_failures"),
         F.coalesce(F.sum(F.when(ok, F.col("_copies") - 1)), F.lit(0)).alias("duplicates_removed"),
     )
+    return ingest_row(counts, seconds)
+
+
+def ingest_row(counts: DataFrame, seconds: float) -> DataFrame:
+    """The metrics row from the counts of kept documents, failures and duplicates."""
     elapsed = F.lit(float(seconds))
     return counts.select(
         "*",
@@ -63,14 +68,22 @@ def ingest_metrics(parsed: DataFrame, seconds: float) -> DataFrame:
 
 def chunk_metrics(chunks: DataFrame, documents: DataFrame, seconds: float) -> DataFrame:
     """One row: chunks, documents, average token count, chunks per second."""
+    counts = chunks.agg(*chunk_counts())
+    return chunk_row(counts.withColumn("total_documents", documents.agg(F.count("*")).scalar()), seconds)
+
+
+def chunk_counts() -> list[Column]:
+    """Aggregates over chunk rows: how many, and their average token count."""
+    average = F.coalesce(F.round(F.avg("token_count"), 2), F.lit(0.0))
+    return [F.count(F.lit(1)).alias("total_chunks"), average.alias("average_chunk_size")]
+
+
+def chunk_row(counts: DataFrame, seconds: float) -> DataFrame:
+    """The metrics row from the counts of chunks and documents and the average token count."""
     elapsed = F.lit(float(seconds))
-    total_documents = documents.agg(F.count("*")).scalar()
-    return chunks.agg(
-        F.count("*").alias("total_chunks"),
-        F.coalesce(F.round(F.avg("token_count"), 2), F.lit(0.0)).alias("average_chunk_size"),
-    ).select(
+    return counts.select(
         "total_chunks",
-        total_documents.alias("total_documents"),
+        "total_documents",
         "average_chunk_size",
         F.round(elapsed, 2).alias("processing_time_seconds"),
         rate(F.col("total_chunks"), elapsed).alias("chunks_per_second"),
@@ -79,8 +92,13 @@ def chunk_metrics(chunks: DataFrame, documents: DataFrame, seconds: float) -> Da
 
 def embed_metrics(embedded: DataFrame, model_name: str, device: str, seconds: float) -> DataFrame:
     """One row: vectors, model, chunks per second."""
+    return embed_row(embedded.agg(F.count("*").alias("total_embeddings")), model_name, device, seconds)
+
+
+def embed_row(counts: DataFrame, model_name: str, device: str, seconds: float) -> DataFrame:
+    """The metrics row from the count of vectors."""
     elapsed = F.lit(float(seconds))
-    return embedded.agg(F.count("*").alias("total_embeddings")).select(
+    return counts.select(
         "total_embeddings",
         F.lit(model_name).alias("model_name"),
         F.lit(device).alias("device"),
@@ -98,6 +116,12 @@ def index_metrics(vectors: DataFrame, index_type: str, seconds: float) -> DataFr
     )
 
 
+def observed(spark: SparkSession, **values: int | float) -> DataFrame:
+    """One row of values that a write job has counted on its way."""
+    kinds = ", ".join(f"{name} {'double' if isinstance(value, float) else 'long'}" for name, value in values.items())
+    return spark.createDataFrame([tuple(values.values())], kinds)
+
+
 def stage_row(stage: str, metrics: DataFrame) -> DataFrame:
     """A metrics row of one stage in the common schema."""
     wanted = [field.split() for field in METRICS_SCHEMA.split(", ")]

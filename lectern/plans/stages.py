@@ -1,11 +1,15 @@
-"""The stages of a batch build. Each reads the table before it and writes its own, with metrics."""
+"""The stages of a batch build. Each reads the table before it and writes its own, with metrics.
+
+The metrics are counted by the jobs that write the tables, in their last stage, so that each task counts
+once; nothing is read again for them.
+"""
 
 from __future__ import annotations
 
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from lectern.functions.text import content_hash, normalize_text
 from lectern.operators import chunk, dedup, embed, metrics, parse
@@ -92,22 +96,31 @@ def ingest(
     parsed = parse.parse_text(files.scan_corpus(spark, input_path, files.TEXT_TYPES)).unionByName(
         parse.parse_paged(files.scan_corpus(spark, input_path, files.PAGED_TYPES), extractor)
     )
-    ready = stage(parse.normalized(parsed), "parsed")
-    documents = parse.to_documents(ready, at)
-    sink.write_documents(dedup.drop_duplicates(documents, "source_path"), corpus.documents, resume)
+    seen, copies = Observation(), Observation()
+    ok = F.col("parse_success")
+    counted = parse.normalized(parsed).observe(seen, F.count_if(ok).alias("parsed"), F.count_if(~ok).alias("failed"))
+    ready = stage(counted, "parsed")
+    documents = dedup.drop_duplicates(parse.to_documents(ready, at), "source_path", removed=copies)
+    sink.write_documents(documents, corpus.documents, resume)
     sink.write_json(parse.failures(ready, at), corpus.quarantine)
-    row = metrics.ingest_metrics(ready.select("parse_success", "hash"), time.time() - started)
-    return _finish(corpus, "ingestion", row)
+    gone = copies.get["duplicates_removed"]
+    counts = metrics.observed(
+        spark, documents_processed=seen.get["parsed"] - gone, parse_failures=seen.get["failed"], duplicates_removed=gone
+    )
+    return _finish(corpus, "ingestion", metrics.ingest_row(counts, time.time() - started))
 
 
 def chunk_corpus(spark: SparkSession, corpus: Corpus, strategy: str = "fixed", **options: int) -> DataFrame:
     """The documents table to the chunk table; returns the metrics row."""
     started = time.time()
-    documents = tables.load_documents(spark, corpus.documents)
     carry = ["source_path", "file_type", "ingestion_timestamp"]
-    sink.write_chunks(chunk.chunk_documents(documents, strategy, carry=carry, **options), corpus.chunks)
-    stored = spark.read.parquet(corpus.chunks).where(F.col("chunking_strategy") == strategy)
-    return _finish(corpus, "chunking", metrics.chunk_metrics(stored, documents, time.time() - started))
+    read, made = Observation(), Observation()
+    documents = tables.load_documents(spark, corpus.documents).select("doc_id", "text", *carry)
+    documents = documents.observe(read, F.count(F.lit(1)).alias("total_documents"))
+    chunks = chunk.chunk_documents(documents, strategy, carry=carry, **options)
+    sink.write_chunks(chunks.observe(made, *metrics.chunk_counts()), corpus.chunks)
+    counts = metrics.observed(spark, **read.get, **made.get)
+    return _finish(corpus, "chunking", metrics.chunk_row(counts, time.time() - started))
 
 
 def embed_corpus(
@@ -153,9 +166,11 @@ def embed_corpus(
     else:
         _drop_orphans(spark, corpus, model_name)
         stored = spark.read.parquet(corpus.embeddings).where(F.col("model_name") == model_name)
-    sink.write_positions(embed.embedding_index(stored, at), corpus.positions)
-    row = metrics.embed_metrics(stored.select("chunk_id"), model_name, "cpu", time.time() - started)
-    return _finish(corpus, "embedding", row)
+    placed = Observation()
+    positions = embed.embedding_index(stored, at).observe(placed, F.count(F.lit(1)).alias("total_embeddings"))
+    sink.write_positions(positions, corpus.positions)
+    counts = metrics.observed(spark, **placed.get)
+    return _finish(corpus, "embedding", metrics.embed_row(counts, model_name, "cpu", time.time() - started))
 
 
 def _drop_orphans(spark: SparkSession, corpus: Corpus, model_name: str) -> None:

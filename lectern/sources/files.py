@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.functions.text import file_type
+from lectern.sources.tables import if_stored
 
 # The extensions that are accepted, by the way they are parsed.
 TEXT_TYPES = ("txt", "log", "md")
@@ -46,5 +47,8 @@ def scan_corpus(
 
 
 def scan_flat(spark: SparkSession, path: str, extensions: Iterable[str] = FLAT_TYPES) -> DataFrame:
-    """Text and paged files directly in ``path``, not in its sub-folders."""
-    return scan_corpus(spark, path, extensions, recursive=False)
+    """Text and paged files directly in ``path``, not in its sub-folders, whatever they are called: a scan of
+    the folder itself would take names such as ``lang=en`` for partitions and read them too."""
+    names = f"{path.rstrip('/')}/[^_.]{_glob(extensions)}"
+    found = if_stored(lambda: scan_corpus(spark, names, extensions, recursive=False))
+    return scan_corpus(spark, path, extensions).where(F.lit(False)) if found is None else found

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from lectern.operators import chunk, embed, metrics, parse, prompt
@@ -67,6 +68,15 @@ def test_scans(spark, folder):
     assert tuple(row) == ("txt", 1)
 
 
+def test_flat_scan_leaves_folders_named_like_partitions(spark, folder):
+    write(folder, {"lang=en/a.txt": "x", "lang=fr/b.txt": "y", "_c.txt": "z", "other/d.txt": "w"})
+    assert files.scan_flat(spark, folder).collect() == []
+    write(folder, {"e.txt": "v", ".f.txt": "u"})
+    assert [r["source_path"].rsplit("/", 1)[1] for r in files.scan_flat(spark, folder).collect()] == ["e.txt"]
+    with pytest.raises(AnalysisException):
+        files.scan_flat(spark, f"{folder}/nowhere")
+
+
 def test_decoding(spark):
     cases = [
         (b"caf\xe9", "café"),
@@ -444,6 +454,28 @@ def test_metrics_of_nothing(spark):
     assert metrics.run_summary(empty).first()["total_seconds"] == 0.0
 
 
+def test_metrics_are_counted_by_the_writing_jobs(spark, folder):
+    """The same rows as from the stored tables, with copies, failures and a second, resumed run."""
+    texts = {f"{i}.txt": f"text {i % 4}" for i in range(10)} | {"bad.pdf": "no reader"}
+    corpus = stages.Corpus(f"{folder}/out")
+    for _ in range(2):
+        row = stages.ingest(spark, write(f"{folder}/raw", texts), corpus)
+        assert metric(row, *COUNTS) == (4, 1, 6)
+    documents = tables.load_documents(spark, corpus.documents)
+    chunked = stages.chunk_corpus(spark, corpus, "fixed")
+    again = metrics.chunk_metrics(spark.read.parquet(corpus.chunks), documents, 1.0)
+    names = ("total_chunks", "total_documents", "average_chunk_size")
+    assert metric(chunked, *names) == metric(again, *names)
+    assert metric(stages.embed_corpus(spark, corpus), "total_embeddings") == (4,)
+
+
+def test_stages_of_nothing_count_nothing(spark, folder):
+    corpus = stages.Corpus(f"{folder}/out")
+    assert metric(stages.ingest(spark, write(f"{folder}/raw", {"a.pdf": "no reader"}), corpus), *COUNTS) == (0, 1, 0)
+    chunked = stages.chunk_corpus(spark, corpus, "fixed")
+    assert metric(chunked, "total_chunks", "total_documents", "average_chunk_size") == (0, 0, 0.0)
+
+
 def test_stored_metrics_and_export(spark, built, folder):
     corpus = built[0]
     stages_read = tables.load_metrics(spark, corpus.all_metrics)
