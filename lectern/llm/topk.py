@@ -1,7 +1,7 @@
 """Exact top-k by inner product with the threshold algorithm.
 
-The vectors lie in blocks. A block keeps, for each dimension, its vectors sorted by their component. A
-query walks down all its lists at once, from the end at which its own component makes the products
+The vectors lie in blocks, which are stored once, however many queries come. A block keeps, for each
+dimension, its vectors sorted by their component. A query walks down all its lists at once, from the end at which its own component makes the products
 largest, and scores every vector it meets in full. The products at the places it has reached bound
 the score of all vectors not met yet; once that bound is below the k-th best score, none can enter.
 """
@@ -21,26 +21,49 @@ from lectern.session import stage
 SCALE = 256
 K = 5
 
-# Vectors of a block, components of the queries handed to all tasks at a time, first steps down the lists.
+# Vectors of a block, and components at most; components of the queries handed to all tasks at a time; first
+# steps down the lists.
 BLOCK_ROWS = 8192
-QUERY_VALUES = 1 << 18
+BLOCK_VALUES = 1 << 20
+QUERY_VALUES = 1 << 20
 STEPS = 16
 
+_BLOCKS = "dim int, n int, ids binary, vectors binary, lists binary"
+
 _EXACT = 1 << 53  # whole numbers below are exact in double precision
 
 
 class Block:
     """Vectors of one dimension with a sorted list per component."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        by_id = np.argsort(ids, kind="stable")
-        self.ids, self.vectors = ids[by_id], vectors[by_id]
-        self.lists = np.argsort(self.vectors, axis=0, kind="stable")  # smallest first
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, lists: np.ndarray | None = None):
+        if lists is None:
+            by_id = np.argsort(ids, kind="stable")
+            ids, vectors = ids[by_id], vectors[by_id]
+            lists = np.argsort(vectors, axis=0, kind="stable")  # smallest first
+        self.ids, self.vectors, self.lists = ids, vectors, lists
         self.sorted = np.take_along_axis(self.vectors, self.lists, axis=0)
         most = float(np.abs(self.vectors).max(initial=0))
         self.largest = most
         self.reals = self.vectors.astype(np.float64)
 
+    def to_row(self) -> list[bytes | int]:
+        small = self.largest < 1 << 15
+        n, dim = self.vectors.shape
+        return [
+            dim,
+            n,
+            self.ids.astype("<i8").tobytes(),
+            self.vectors.astype("<i2" if small else "<i8").tobytes(),
+            self.lists.astype("<i4").tobytes(),
+        ]
+
+    @classmethod
+    def from_row(cls, dim: int, n: int, ids: bytes, vectors: bytes, lists: bytes) -> Block:
+        kind = "<i2" if len(vectors) == 2 * dim * n else "<i8"
+        whole = np.frombuffer(vectors, kind).reshape(n, dim).astype(np.int64)
+        return cls(np.frombuffer(ids, "<i8"), whole, np.frombuffer(lists, "<i4").reshape(n, dim))
+
     def _scores(self, rows: np.ndarray, query: np.ndarray) -> np.ndarray:
         if self.largest * float(np.abs(query).max(initial=0)) * len(query) < _EXACT:
             return (self.reals[rows] @ query.astype(np.float64)).astype(np.int64)
@@ -117,19 +140,44 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Blocks of ids and vectors of one dimension."""
+def _blocks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[Block]:
+    """Blocks of vectors of one dimension, as large as they may be but for the last of each."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    waiting: dict[int, int] = {}
+
+    def made(size: int) -> Block:
+        parts = held.pop(size)
+        del waiting[size]
+        return Block(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+
     for batch in batches:
         ids = batch.column(0).to_numpy()
         column = batch.column(1)
         sizes = np.diff(column.offsets.to_numpy())
         flat = _matrix(column)
         begins = np.r_[0, np.cumsum(sizes)]
-        for size in np.unique(sizes):
-            where = np.flatnonzero(sizes == size)
-            for a in range(0, len(where), rows):
-                part = where[a : a + rows]
-                yield ids[part], flat[begins[part][:, None] + np.arange(size)]
+        for size in np.unique(sizes).tolist():
+            where, room = np.flatnonzero(sizes == size), max(1, min(rows, BLOCK_VALUES // size))
+            while len(where):
+                part, where = np.split(where, [room - waiting.get(size, 0)])
+                held.setdefault(size, []).append((ids[part], flat[begins[part][:, None] + np.arange(size)]))
+                waiting[size] = waiting.get(size, 0) + len(part)
+                if waiting[size] == room:
+                    yield made(size)
+    for size in list(held):
+        yield made(size)
+
+
+def stored_blocks(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Written once: a row per block with its sorted lists, from vec_id and v."""
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 3]
+    names = [c.split()[0] for c in _BLOCKS.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches, block_rows):
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(block.to_row(), kinds, strict=True)], names=names)
+
+    return stage(rows.select("vec_id", "v").mapInArrow(run, _BLOCKS), "topk-blocks")
 
 
 def top_k_search(
@@ -150,10 +198,10 @@ def top_k_search(
     of another dimension are no candidates. Rows that repeat an id count once, with the best of their
     scores; a repeated query is answered once, with the best over its rows. Empty tables give no rows.
 
-    Queries go to the tasks in bounded sets, each a scan of all vectors; a task returns k rows per query.
+    Queries go to the tasks in bounded sets, each a scan of the stored blocks; a task returns k rows per query.
     """
     spark = vectors.sparkSession
-    table = stage(whole_components(vectors, id_col, vector, scale), "topk-vectors")
+    table = stored_blocks(whole_components(vectors, id_col, vector, scale), block_rows)
     asked = dense_index(whole_components(queries, id_col, vector, scale).distinct(), "vec_id", "_at", "topk-queries")
     many, longest = asked.agg(F.count("*"), F.max(F.size("v"))).first()
     per_set = max(1, query_values // (longest or 1))
@@ -167,11 +215,11 @@ def top_k_search(
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             ids, components = sent.value
             best = [Best(k) for _ in ids]
-            for block_ids, block in _blocks(batches, block_rows):
-                one = Block(block_ids, block)
+            for row in (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)):
+                block = Block.from_row(*row)
                 for query_id, query, kept in zip(ids, components, best, strict=True):
-                    if len(query) == block.shape[1]:
-                        one.search(int(query_id), query, kept)
+                    if len(query) == block.vectors.shape[1]:
+                        block.search(int(query_id), query, kept)
             counts = [len(b.ids) for b in best]
             if sum(counts):
                 yield pa.RecordBatch.from_arrays(

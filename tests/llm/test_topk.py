@@ -81,3 +81,27 @@ def test_blocks_against_sorting(dimension, rows, k, seed, size):
     ids = ids.permutation(rows)
     pairs = sorted((-int(s), int(i)) for s, i in zip(vectors @ query, ids, strict=True) if i != 0)[:k]
     assert list(zip((-best.scores).tolist(), best.ids.tolist(), strict=True)) == pairs
+
+
+@pytest.mark.parametrize("size", [100, 32_767, 32_768, 1 << 40])
+def test_stored_blocks_come_back(size):
+    rnd = np.random.default_rng(size)
+    block = op.Block(rnd.permutation(30), np.r_[rnd.integers(-size, size + 1, (29, 3)), [[size, -size, 0]]])
+    again = op.Block.from_row(*block.to_row())
+    for name in ("ids", "vectors", "lists", "sorted"):
+        assert np.array_equal(getattr(block, name), getattr(again, name))
+
+
+def test_blocks_hold_one_dimension_and_few_values(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(op, "BLOCK_VALUES", 12)
+    vectors = [[i] * (2 + i % 3) for i in range(40)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(range(a, a + 10), pa.int64()), pa.array(vectors[a : a + 10], pa.list_(pa.int64()))], names=["vec_id", "v"])
+        for a in range(0, 40, 10)
+    ]
+    blocks = list(op._blocks(iter(batches), 5))
+    assert sorted(i for b in blocks for i in b.ids.tolist()) == list(range(40))
+    assert all(len(b.ids) <= min(5, 12 // b.vectors.shape[1]) for b in blocks)
+    assert all((b.vectors == b.ids[:, None]).all() for b in blocks)
