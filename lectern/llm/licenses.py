@@ -23,8 +23,8 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-# Opening sentences of public licenses, and the usual one-line notices: label, text.
-TEMPLATES = [
+# Opening sentences of public licenses, and the usual one-line notices: label, text.
+NOTICES = [
     ("agpl", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("apache", "Licensed under the Apache License, Version 2.0."),
     ("apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
@@ -40,12 +40,68 @@ TEMPLATES = [
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+# The whole wording of short public licenses, label and text.
+WHOLE_TEXTS = [
+    ("mit", """
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy,
+modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software
+is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES
+OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR
+IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("bsd", """
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived
+from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT
+NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES
+(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE
+OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("isc", """
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided
+that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("zlib", """
+This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and
+redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use
+this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution."""),
+]
+
 THRESHOLD = 0.9
 
 # Words of a block; the next one starts half a block later, so any passage of up to 48 words lies whole in one.
 BLOCK_WORDS = 96
 
 
+def passages(texts: list[tuple[str, str]], words: int = BLOCK_WORDS // 2) -> list[tuple[str, str]]:
+    """Each text cut evenly into templates of at most so many words, so that none is a short rest that stands
+    everywhere, and each lies whole in some block."""
+    cut = []
+    for label, text in texts:
+        found = _plain_words(text)
+        parts = -(-len(found) // words)
+        edges = [i * len(found) // parts for i in range(parts + 1)] if parts else []
+        cut += [(label, " ".join(found[a:b])) for a, b in zip(edges, edges[1:], strict=False)]
+    return cut
+
+
 def words_of(text: Column) -> Column:
     """Words in order: runs of characters that are no separators, A-Z in lower case."""
     return F.filter(F.split(ascii_lower(text), SEPARATORS), lambda w: w != "")
@@ -56,6 +112,9 @@ def _plain_words(text: str) -> list[str]:
     return "".join(c if c.isalnum() or ord(c) > 127 else " " for c in lowered).split()
 
 
+TEMPLATES = NOTICES + passages(WHOLE_TEXTS)
+
+
 def _literal(words: list[str]) -> Column:
     return F.array(*[F.lit(w) for w in words])
 

@@ -56,6 +56,23 @@ def test_against_brute_force(spark):
     assert any("mit" in w[5] and "mit" not in w[4] for w in want.values())  # found by the join alone
 
 
+def test_whole_license_texts(spark):
+    """Each has its own label only, wherever it stands; so has any one of its passages."""
+    filler = samples.words(5, 101)
+    whole = [(label, f"{filler} {text} {filler}") for label, text in op.WHOLE_TEXTS]
+    parts = [(label, f"{filler} {t}") for label, t in op.passages(op.WHOLE_TEXTS)]
+    docs = samples.simple(spark, list(enumerate(t for _, t in whole + parts)))
+    got = {r.doc_id: columns(r) for r in op.scan_licenses(docs).collect()}
+    assert [got[i][5] for i in range(len(got))] == [label for label, _ in whole + parts]
+    assert all(got[i][:5] == brute(t)[:5] for i, (_, t) in enumerate(whole + parts))
+
+
+def test_passages_are_cut_evenly():
+    assert op.passages([("a", "w " * 97), ("b", " ., "), ("c", "one two")], 48) == [
+        ("a", " ".join(["w"] * 32)), ("a", " ".join(["w"] * 32)), ("a", " ".join(["w"] * 33)), ("c", "one two"),
+    ]
+
+
 def test_odd_rows(spark):
     got = sorted((r.doc_id or -1, r.n_words, r.labels) for r in op.scan_licenses(samples.documents(spark)).collect())
     assert got == sorted((r[0] or -1, brute(r[1])[0], "") for r in samples.rows())
