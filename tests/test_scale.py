@@ -1,0 +1,29 @@
+"""Work that must not grow faster than its input: raw files, encoding, searches."""
+
+import os
+
+from checks import queries
+from lectern.sources import files
+
+
+def _documents(spark, folder, rows):
+    spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").write.parquet(f"{folder}/documents.parquet")
+
+
+def test_raw_files_lie_in_a_folder_per_source(spark, tmp_path):
+    rows = [(i, "en", f"src{i % 2}", f"text {i % 30}") for i in range(40)]
+    _documents(spark, str(tmp_path), rows)
+    queries._write_raw(spark, str(tmp_path), str(tmp_path / "raw"))
+    found = [(folder, [n for n in names if n.endswith(".txt")]) for folder, _, names in os.walk(tmp_path / "raw")]
+    assert sum(len(names) for _, names in found) == 40
+    assert sum(bool(names) for _, names in found) == 2
+    texts = queries.ingest_files(spark, str(tmp_path)).select("text").collect()
+    assert sorted(r["text"] for r in texts) == sorted({t for *_, t in rows})
+
+
+def test_many_scan_partitions_are_packed(spark):
+    scan = spark.range(0, 100, 1, 50)
+    packed = files._packed(scan, tasks=5, packed=4)
+    assert packed.rdd.getNumPartitions() == 13
+    assert sorted(r["id"] for r in packed.collect()) == list(range(100))
+    assert files._packed(scan, tasks=50).rdd.getNumPartitions() == 50
