@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.functions.arrays import run_starts
-from lectern.functions.vectors import dense_counts, padded_buckets
+from lectern.functions.text import tokens
 from lectern.operators.dedup import not_yet_stored
 from lectern.operators.ordering import dense_index
 
@@ -21,11 +21,69 @@ HASHED = "hashed-bag-of-words"
 EncoderFactory = Callable[[], Callable[[list], object]]
 
 
+# Texts of these characters are cut into tokens by the worker: Python and Java agree on which of them are letters
+# and digits, and on their lower case (tested). Any other text is cut by the JVM.
+PLAIN_TEXT = r"\A[\x00-\u012f\u0131-\u024f]*\z"
+
+# Marks the joined tokens of such a text; no plain text has this character.
+CUT = "\uffff"
+
+# Tokens whose bucket a worker remembers, and the longest of them, in characters.
+KNOWN_TOKENS, KNOWN_LENGTH = 200_000, 64
+
+
+def _counter(dim: int):
+    """Arrow arrays of texts, or of marked lists of their tokens, to arrays of counts per bucket."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import hashlib
+        import re
+
+        import numpy as np
+
+        find, known = re.compile(r"\w+").findall, {}
+        ascii_table = {i: c.lower() if (c := chr(i)).isalnum() or c == "_" else " " for i in range(128)}
+
+        def words_of(text: str) -> list:
+            if text.isascii():
+                return text.translate(ascii_table).split()
+            return text[1:].split(" ") if text[0] == CUT and len(text) > 1 else find(text.lower())
+
+        def bucket(token: str) -> int:
+            number = int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % dim
+            if len(token) <= KNOWN_LENGTH:
+                if len(known) >= KNOWN_TOKENS:
+                    known.clear()
+                known[token] = number
+            return number
+
+        for texts in batches:
+            flat, sizes = [], []
+            for text in texts.to_pylist():
+                words = words_of(text)
+                sizes.append(len(words))
+                for word in words:
+                    number = known.get(word)
+                    flat.append(bucket(word) if number is None else number)
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            counts = np.bincount(row * dim + np.array(flat, np.int64), minlength=len(sizes) * dim)
+            starts = np.arange(0, len(counts) + 1, dim, dtype=np.int32)
+            yield pa.ListArray.from_arrays(pa.array(starts), pa.array(counts.astype(np.float32)))
+
+    return run
+
+
 def embed_hashed(df: DataFrame, text: str = "chunk_text", vector: str = "embedding", dim: int = HASHED_DIM) -> DataFrame:
-    """The native encoder: token counts hashed into ``dim`` buckets, without leaving the JVM."""
-    padded = df.select("*", padded_buckets(text, dim).alias("_padded"))
-    cut = padded.select("*", run_starts(F.col("_padded")).alias("_starts"))
-    return cut.select(*df.columns, dense_counts(F.col("_padded"), F.col("_starts")).alias(vector))
+    """The native encoder: token counts hashed into ``dim`` buckets (the first 32 bits of a token's MD5, modulo ``dim``).
+
+    A worker cuts the texts and remembers the buckets of the tokens it has met; texts with characters on which
+    the JVM and Python may differ are cut by the JVM. A null text has an empty vector.
+    """
+    count = F.arrow_udf(_counter(dim), "array<float>")
+    given = F.coalesce(text, F.lit(""))
+    sent = F.when(given.rlike(PLAIN_TEXT), given).otherwise(F.concat(F.lit(CUT), F.array_join(tokens(given), " ")))
+    none = F.array().cast("array<float>")
+    return df.select("*", F.when(F.col(text).isNotNull(), count(sent)).otherwise(none).alias(vector))
 
 
 def embed_with(

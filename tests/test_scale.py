@@ -1,8 +1,11 @@
 """Work that must not grow faster than its input: raw files, encoding, searches."""
 
+import hashlib
 import os
 
 from checks import queries
+from lectern.functions.text import tokens
+from lectern.operators import embed
 from lectern.sources import files
 
 
@@ -27,3 +30,29 @@ def test_many_scan_partitions_are_packed(spark):
     assert packed.rdd.getNumPartitions() == 13
     assert sorted(r["id"] for r in packed.collect()) == list(range(100))
     assert files._packed(scan, tasks=50).rdd.getNumPartitions() == 50
+
+
+def _plain_counts(tokens: list, dim: int) -> list:
+    counts = [0.0] * dim
+    for token in tokens:
+        counts[int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % dim] += 1.0
+    return counts
+
+
+def test_encoder_cuts_as_the_jvm_does(spark):
+    """Every character of the plain range, and texts beyond it, next to tokens cut by the JVM."""
+    texts = [f"a{chr(c)}B{chr(c)} {chr(c)}" for c in range(0x260)]
+    texts += ["", "\uffff", "\uffffx y", "Σίσυφος ΟΔΟΣ", "naïve Café 日本語 x²", "İstanbul \u0307a", "word " * 3000, "\u0903\u200d𝔘b", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, chunk_text string")
+    for dim in (64, 7):
+        rows = embed.embed_hashed(df.select("*", tokens("chunk_text").alias("cut")), dim=dim).collect()
+        assert len(rows) == len(texts)
+        for row in rows:
+            assert list(row["embedding"]) == ([] if row["cut"] is None else _plain_counts(row["cut"], dim)), repr(row["chunk_text"])
+
+
+def test_encoder_counts_in_workers_and_is_pruned(spark):
+    df = spark.createDataFrame([(1, "a b")], "id int, chunk_text string")
+    embedded = embed.embed_hashed(df)
+    assert "ArrowEvalPython" in embedded._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in embedded.select("id")._jdf.queryExecution().executedPlan().toString()
