@@ -185,45 +185,82 @@ def counted_vectors(
 
     A unit without any known token has no row; its similarity to everything is 0.
 
-    The terms of a unit stand in one task, so with a vocabulary within the bound a single row per
-    unit is shuffled. Beyond it, the unit's rare tokens travel in that row, are looked up by a
-    shuffle join on their own, and come back as one row per unit again.
+    The terms of a unit stand in one row, so with a vocabulary within the bound nothing but the keys is
+    shuffled. Beyond it, its rare tokens are looked up by a shuffle join on their own, and a row per unit of
+    them meets the vector of the others.
     """
 
-    def gathered(weighted: DataFrame, *more: Column) -> DataFrame:
-        return weighted.groupBy(*keys).agg(
-            F.sum(F.col("weight") * F.col("weight")).alias("_square"),
-            F.collect_list(F.when(F.col("weight").isNotNull(), F.struct("token", "weight"))).alias("terms"),
-            *more,
-        )
-
+    if fits(idf, broadcast_rows):
+        return _vectors_in_place(counted, idf, keys)
     frequent, rare = split_vocabulary(idf, broadcast_rows)
-    terms = _terms(counted, keys)
-    known = terms.join(frequent, "token", "inner" if rare is None else "left")
-    known = known.withColumn("weight", _weight())
+    whole = _vectors_in_place(counted, frequent, keys)
     if rare is None:
-        return gathered(known).select(*keys, "terms", F.sqrt("_square").alias("norm"))
-
-    unknown = F.when(F.col("idf").isNull(), F.struct("token", "count", "total_tokens"))
-    whole = stage(gathered(known, F.collect_list(unknown).alias("_rest")), "units")
-    rest = explode_structs(whole, keys, F.col("_rest"), ["token", "count", "total_tokens"])
-    found = gathered(rest.join(rare, "token").withColumn("weight", _weight()))
-    found = found.withColumnRenamed("_square", "_rest_square").withColumnRenamed("terms", "_rest_terms")
-    square = F.coalesce("_square", F.lit(0.0)) + F.coalesce("_rest_square", F.lit(0.0))
-    return (
-        whole.drop("_rest")
-        .join(found, keys, "left")
-        .where(F.col("_square").isNotNull() | F.col("_rest_square").isNotNull())
-        .select(
-            *keys,
-            F.when(F.col("_rest_terms").isNull(), F.col("terms"))
-            .otherwise(F.concat("terms", "_rest_terms"))
-            .alias("terms"),
-            F.sqrt(square).alias("norm"),
-        )
+        return whole
+    rest = _terms(counted, keys).join(F.broadcast(frequent.select("token")), "token", "left_anti").join(rare, "token")
+    rest = rest.dropna(subset=keys).withColumn("weight", _weight())
+    found = rest.groupBy(*keys).agg(
+        F.sum(F.col("weight") * F.col("weight")).alias("_square"),
+        F.collect_list(F.struct("token", "weight")).alias("_rest"),
+    )
+    none = F.array().cast(whole.schema["terms"].dataType)
+    square = F.coalesce(F.col("norm") * F.col("norm"), F.lit(0.0)) + F.coalesce("_square", F.lit(0.0))
+    return whole.join(found, keys, "full").select(
+        *keys,
+        F.concat(F.coalesce("terms", none), F.coalesce("_rest", none)).alias("terms"),
+        F.sqrt(square).alias("norm"),
     )
 
 
+def _vectors_in_place(counted: DataFrame, idf: DataFrame, keys: list[str], add: bool = False) -> DataFrame:
+    """As ``counted_vectors``, of the tokens of an idf table within the bound: it goes to every task, and a unit's row of terms
+    becomes its vector where it lies. Rows that share their keys are one unit, so theirs are put together; with
+    ``add``, for keys that are not null, a token that several of them hold has one weight, the sum."""
+    table = idf.select("token", "idf").toArrow()  # within the bound, as its caller has checked
+    sent = counted.sparkSession.sparkContext.broadcast(table)
+    kinds = {f.name: f.dataType.simpleString() for f in counted.schema}
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys) + ", terms array<struct<token:string,weight:double>>, norm double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+
+        tokens, idfs = sent.value.column("token").combine_chunks(), sent.value.column("idf").to_numpy()
+        for batch in batches:
+            lists, total = batch.column(len(keys) + 1), batch.column(len(keys)).to_numpy(zero_copy_only=False)
+            flat = lists.flatten()
+            row = np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy())
+            token = pc.index_in(flat.field("token"), tokens)
+            hit = np.flatnonzero(token.is_valid().to_numpy(zero_copy_only=False))
+            if not len(hit):
+                continue
+            row, at = row[hit], token.take(pa.array(hit)).to_numpy(zero_copy_only=False)
+            weight = flat.field("count").to_numpy(zero_copy_only=False)[hit] / total[row] * idfs[at]
+            found, starts = np.unique(row, return_index=True)
+            norm = np.sqrt(np.add.reduceat(weight * weight, starts))
+            terms = pa.StructArray.from_arrays([flat.field("token").take(pa.array(hit)), pa.array(weight)], names=["token", "weight"])
+            offsets = pa.array(np.r_[starts, len(row)].astype(np.int32))
+            columns = [batch.column(i).take(pa.array(found)) for i in range(len(keys))]
+            columns += [pa.ListArray.from_arrays(offsets, terms), pa.array(norm)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, "terms", "norm"])
+
+    def weighed(rows: DataFrame) -> DataFrame:
+        return rows.select(*keys, "total_tokens", "terms").mapInArrow(run, schema)
+
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    repeated = counted.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
+    repeated = stage(repeated.select(*[F.col(key).alias(f"_{key}") for key in keys]), "repeated")
+    if not repeated.take(1):
+        return weighed(counted)
+    several = sized(repeated)
+    parts = weighed(counted.join(several, same, "left_semi"))
+    norm = F.sqrt(F.sum(F.col("norm") * F.col("norm"))).alias("norm")
+    together = parts.groupBy(*keys).agg(F.flatten(F.collect_list("terms")).alias("terms"), norm)
+    if add:
+        single = explode_structs(parts, keys, F.col("terms"), ["token", "weight"]).groupBy(*keys, "token").agg(F.sum("weight").alias("weight"))
+        summed = single.groupBy(*keys).agg(F.collect_list(F.struct("token", "weight")).alias("terms"))
+        together = summed.join(together.select(*keys, "norm"), keys).select(*keys, "terms", "norm")
+    return weighed(counted.join(several, same, "left_anti")).unionByName(together)
+
+
 def norms(counted: DataFrame, idf: DataFrame, keys: list[str], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(keys, norm) of units with counted terms. Squares are summed within the task that holds the unit;
     only rare tokens beyond the broadcast bound are looked up by a shuffle join."""
@@ -459,12 +496,23 @@ def search(
     """(query_id, keys, similarity, rank): the k units most similar to each query text.
 
     Fits the corpus first. Units are cut and tokenised once: one row per unit with its counted terms is
-    stored, and document frequencies, norms and products are taken from there. The vectors themselves are
-    not made, as they serve one batch of queries only; ``build_index`` stores them for many.
+    stored, and document frequencies, norms and products are taken from there. Where the terms of the queries are
+    within the bound, units become vectors and are scored by the task that holds them, and only k rows per query and
+    task are shuffled; beyond the bound of the vocabulary, units meet their norms in a join, with those of their
+    terms that some query holds. The vectors are not stored, as they serve one batch of queries only;
+    ``build_index`` stores them for many.
     """
     counted = stage(counted_terms(units, keys, text), "counted")
     idf = _idf(stage(_unit_counts(counted), "df"))
     query_terms = _query_weights(queries, idf)
+    if fits(query_terms):
+        known = counted.dropna(subset=keys)  # as in the joins below
+        if fits(idf, broadcast_rows):
+            found = _vectors_in_place(known, idf, keys, add=True)
+        else:
+            asked = query_terms.select("token", "idf").distinct()
+            found = _vectors_in_place(known, asked, keys, add=True).drop("norm").join(norms(counted, idf, keys, broadcast_rows), keys)
+        return _rank(_best_in_place(found, query_terms, keys, k), keys, k)
     matched = _terms(counted, keys).join(sized(query_terms), "token")
     dots = matched.groupBy(*keys, "query_id").agg(
         F.sum(_weight() * F.col("query_weight")).alias("dot"), F.first("query_norm").alias("query_norm")

@@ -1,11 +1,13 @@
 """Work that must not grow faster than its input: raw files, encoding, searches."""
 
 import hashlib
+import math
 import os
+from collections import Counter
 
 from checks import queries
 from lectern.functions.text import tokens
-from lectern.operators import embed
+from lectern.operators import embed, tfidf
 from lectern.sources import files
 
 
@@ -56,3 +58,64 @@ def test_encoder_counts_in_workers_and_is_pruned(spark):
     embedded = embed.embed_hashed(df)
     assert "ArrowEvalPython" in embedded._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in embedded.select("id")._jdf.queryExecution().executedPlan().toString()
+
+
+def _cosines(units, questions, keys):
+    """Brute force: idf over rows, one vector per key, all pairs."""
+    n = len(units)
+    df = Counter(t for *_, text in units for t in set(text.split()))
+    idf = {t: math.log(n / (c + 1)) for t, c in df.items()}
+
+    def vector(texts):
+        out = Counter()
+        for text in texts:
+            for t, c in Counter(text.split()).items():
+                if t in idf:
+                    out[t] += c / len(text.split()) * idf[t]
+        return out
+
+    def norm(texts):
+        return math.sqrt(sum(v * v for text in texts for v in vector([text]).values()))
+
+    grouped = {}
+    for *key, text in units:
+        grouped.setdefault(tuple(key), []).append(text)
+    found = {}
+    for q, asked in questions:
+        wanted = vector([asked])
+        for key, texts in grouped.items():
+            dot = sum(w * wanted.get(t, 0.0) for t, w in vector(texts).items())
+            if dot > 0 and None not in key:
+                found[q, *key] = dot / norm(texts) / norm([asked])
+    return found
+
+
+def test_tfidf_search_shuffles_no_pairs(spark):
+    """Repeated and null keys, and a vocabulary beyond the bound, give what brute force gives."""
+    units = [(i % 37, i % 5, " ".join(f"w{(i * j) % 23}" for j in range(1, 9)) + f" only{i} x") for i in range(200)]
+    units += [(1000 + i, 0, f"w{i} w1 far{i}") for i in range(20)] + [(None, 0, "w1 w2")]
+    questions = [(q, f"w{q} w{q + 3} only{q} x nowhere") for q in range(8)]
+    df = spark.createDataFrame(units, "doc long, part int, text string")
+    asked = spark.createDataFrame(questions, "query_id long, query_text string")
+    expected = _cosines(units, questions, ["doc", "part"])
+    for bound in (500_000, 5):
+        found = tfidf.search(df, asked, ["doc", "part"], 400, broadcast_rows=bound)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in plan
+        got = {(r["query_id"], r["doc"], r["part"]): r["similarity"] for r in found.collect()}
+        assert got.keys() == expected.keys()
+        assert all(abs(got[key] - expected[key]) < 1e-9 for key in got)
+
+
+def test_tfidf_vectors_stay_where_they_lie(spark):
+    units = [(i, " ".join(f"w{(i * j) % 23}" for j in range(1, 9)) + f" only{i}") for i in range(100)]
+    df = spark.createDataFrame([*units, (5, "w1 w2 w2"), (None, "w3 w4")], "doc long, text string")
+    idf = tfidf.inverse_document_frequency(df)
+    rows = {}
+    for bound in (500_000, 5):
+        made = tfidf.vectors(df, idf, ["doc"], broadcast_rows=bound)
+        rows[bound] = {r["doc"]: (sorted((t["token"], round(t["weight"], 12)) for t in r["terms"]), round(r["norm"], 12)) for r in made.collect()}
+    assert len(rows[500_000]) == 101
+    assert [{key: row for key, row in rows[b].items() if key is not None} for b in rows] == [rows[5]] * 2
+    once = tfidf.vectors(df.where("doc <> 5"), idf, ["doc"])
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
