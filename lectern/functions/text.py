@@ -13,7 +13,7 @@ WHITESPACE_CHARACTERS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-NOT_PRINTABLE = r"[\p{C}\p{Z}&&[^ \t\n]]"
+NOT_PRINTABLE = r"[[^\x20-\x7e\t\n]&&[\p{C}\p{Z}]]"  # printable ASCII is passed over without a look at its category
 WORD = r"[\p{L}\p{N}_]+"
 EXTENSION = r"[^/.][^/]*\.([^/.]*)$"
 TOKENS_PER_WORD = 1.3

@@ -191,22 +191,37 @@ def apply_changes(
     Documents whose path is gone or whose text has changed leave, with their chunks and vectors; new and
     changed ones come in, with chunks by the given strategy and, where vectors are stored, vectors of the
     native encoder (other models are brought up to date by ``embed_corpus``). Documents that stay are
-    neither cut nor embedded again. Doing it a second time changes nothing.
+    neither cut nor embedded again. Doing it a second time changes nothing: only paths, hashes and ids are read
+    then, and no text is written.
     """
-    documents, cut = changed_tables(spark, corpus, incoming, strategy, **options)
-    sink.write_documents(documents, corpus.documents, resume=False)
-    sink.replace_chunks(cut, corpus.chunks)
+    status = _status(tables.load_documents(spark, corpus.documents), incoming)
+    if status.where("status <> 'same'").take(1) or not _chunks_belong(spark, corpus):
+        documents, cut = changed_tables(spark, corpus, incoming, strategy, status=status, **options)
+        sink.write_documents(documents, corpus.documents, resume=False)
+        sink.replace_chunks(cut, corpus.chunks)
     if tables.if_stored(lambda: spark.read.parquet(corpus.embeddings)) is not None:
         embed_corpus(spark, corpus)
 
 
+def _status(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+    """Staged (source_path, status) of a delivery."""
+    return stage(dedup.changes(stored, incoming).select("source_path", "status"), "changes")
+
+
+def _chunks_belong(spark: SparkSession, corpus: Corpus) -> bool:
+    """Whether there are chunks, and each has its document; only ids are compared."""
+    chunks = tables.if_stored(lambda: spark.read.parquet(corpus.chunks))
+    known = tables.load_documents(spark, corpus.documents).select("doc_id")
+    return chunks is not None and not chunks.select("doc_id").join(known, "doc_id", "left_anti").take(1)
+
+
 def changed_tables(
-    spark: SparkSession, corpus: Corpus, incoming: DataFrame, strategy: str = "fixed", **options: int
+    spark: SparkSession, corpus: Corpus, incoming: DataFrame, strategy: str = "fixed", status: DataFrame | None = None, **options: int
 ) -> tuple[DataFrame, DataFrame]:
     """Documents and chunks of a corpus as they are after a delivery; both are read from staged tables, so that
     they can be written where they came from."""
     stored = tables.load_documents(spark, corpus.documents)
-    status = stage(dedup.changes(stored, incoming).select("source_path", "status"), "changes")
+    status = _status(stored, incoming) if status is None else status
     stays = status.where(F.col("status") == "same").select("source_path")
     kept = stage(stored.join(stays, "source_path", "left_semi").select(*stored.columns), "documents-kept")
     fresh = incoming.join(status.where(F.col("status").isin("new", "changed")), "source_path", "left_semi")

@@ -5,9 +5,13 @@ import math
 import os
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from checks import queries
-from lectern.functions.text import tokens
+from lectern.functions.text import NOT_PRINTABLE, tokens
 from lectern.operators import embed, tfidf
+from lectern.plans import stages
+from lectern.sinks import tables as sink
 from lectern.sources import files
 
 
@@ -119,3 +123,23 @@ def test_tfidf_vectors_stay_where_they_lie(spark):
     assert [{key: row for key, row in rows[b].items() if key is not None} for b in rows] == [rows[5]] * 2
     once = tfidf.vectors(df.where("doc <> 5"), idf, ["doc"])
     assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unchanged_delivery_writes_no_text(spark, tmp_path):
+    corpus = stages.Corpus(str(tmp_path))
+    docs = queries._as_documents(spark.createDataFrame([(i, f"text {i}", "s") for i in range(5)], "doc_id long, text string, source string"))
+    sink.write_documents(docs, corpus.documents)
+    stages.chunk_corpus(spark, corpus)
+    before = {path: set(os.listdir(path)) for path in (corpus.documents, f"{corpus.chunks}/chunking_strategy=fixed")}
+    stages.apply_changes(spark, corpus, docs)
+    assert {path: set(os.listdir(path)) for path in before} == before
+    stages.apply_changes(spark, corpus, docs.where("doc_id <> '3'"))
+    assert spark.read.parquet(corpus.documents).count() == spark.read.parquet(corpus.chunks).count() == 4
+
+
+def test_unprintable_characters_are_the_same(spark):
+    """Every character of the first plane but surrogates, by the plain definition."""
+    text = "".join(chr(c) for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF)
+    df = spark.createDataFrame([(text,)], "text string")
+    wanted = F.regexp_replace("text", r"[\p{C}\p{Z}&&[^ \t\n]]", "")
+    assert df.select(F.regexp_replace("text", NOT_PRINTABLE, "") == wanted).first()[0]
