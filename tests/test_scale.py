@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from lectern.functions.text import NOT_PRINTABLE, tokens
-from lectern.operators import embed, tfidf
+from lectern.operators import embed, ivf, tfidf
 from lectern.plans import stages
 from lectern.sinks import tables as sink
 from lectern.sources import files
@@ -143,3 +143,9 @@ def test_unprintable_characters_are_the_same(spark):
     df = spark.createDataFrame([(text,)], "text string")
     wanted = F.regexp_replace("text", r"[\p{C}\p{Z}&&[^ \t\n]]", "")
     assert df.select(F.regexp_replace("text", NOT_PRINTABLE, "") == wanted).first()[0]
+
+
+def test_centroids_are_trained_on_a_bounded_sample(spark):
+    vectors = spark.range(20_000).select(F.col("id").alias("vec_id"))
+    assert 1_000 < ivf.training_sample(vectors, 20_000, 20).count() < 1_700
+    assert ivf.training_sample(vectors, 20_000, 200).count() == 20_000
