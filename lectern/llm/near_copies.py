@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -78,10 +79,10 @@ def sketches(docs: DataFrame, id_col: str, text: str, shingle_words: int) -> Dat
     """doc_id, node (hash of the set: equal sets are one node), n (size of the set), bits (fingerprint)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).cast(pa.binary()).fill_null(b"").to_pylist()
+        texts = batch.column(1).cast(pa.binary()).fill_null(b"")
         nodes, sizes, bits = [], [], []
-        for a, b in slices_by_bytes([len(t) for t in texts], _SLICE_BYTES):
-            sets = [shingle_set(t, shingle_words) for t in texts[a:b]]
+        for a, b in slices_by_bytes(pc.binary_length(texts).to_pylist(), _SLICE_BYTES):
+            sets = [shingle_set(t, shingle_words) for t in texts.slice(a, b - a).to_pylist()]
             nodes += map(_digest, sets)
             sizes += map(len, sets)
             bits += [row.tobytes() for row in fingerprints(sets)]
@@ -242,9 +243,14 @@ def _sets(docs: DataFrame, text: str, shingle_words: int) -> DataFrame:
     """node, hashes: the set of each row's text, 32 bits a shingle."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingle_set(t, shingle_words) for t in batch.column(0).cast(pa.binary()).fill_null(b"").to_pylist()]
-        low = [np.unique(one.astype(np.uint32)).tobytes() for one in found]
-        nodes = np.array([_digest(one) for one in found], np.uint64).view(np.int64)
+        texts = batch.column(0).cast(pa.binary()).fill_null(b"")
+        digests, low = [], []
+        for a, b in slices_by_bytes(pc.binary_length(texts).to_pylist(), _SLICE_BYTES):
+            for text in texts.slice(a, b - a).to_pylist():
+                one = shingle_set(text, shingle_words)
+                digests.append(_digest(one))
+                low.append(np.unique(one.astype(np.uint32)).tobytes())
+        nodes = np.array(digests, np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(low, pa.binary())], names=["node", "hashes"])
 
     return map_batches(docs.select(text), run, "node long, hashes binary")

@@ -13,9 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.llm.common import kept_in_worker, ranked, text_slices
+from lectern.llm.common import kept_in_worker, ranked, release_memory, text_slices
 from lectern.llm.token_counts import BytePairs, batch_counts
-from lectern.session import stage
+from lectern.session import setting, stage
 
 MAX_TOKENS = 2048
 BUCKETS = 8
@@ -23,6 +23,10 @@ BATCH_TOKENS = 65_536
 
 _SLICE_BYTES = 4 << 20
 
+# Rows that the JVM hands to a worker at a time while texts are counted: with Spark's 10,000, a batch of texts is held
+# several times over on both sides. Counts do not depend on it.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+
 
 def word_tokens(text: Column) -> Column:
     """Words between white space, and one token for the end of the document."""
@@ -41,6 +45,7 @@ def counted(
     rows = docs.select(F.col(text).alias("__text"), F.col(id_col), *[o.alias(n) for o, n in zip(order, names, strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -51,9 +56,11 @@ def counted(
                 counts += batch_counts(table, known, texts)
             lengths = pa.array([c + 1 for c in counts], pa.int64())
             yield pa.RecordBatch.from_arrays([lengths, *batch.columns[1:]], names=["n_tokens", *batch.schema.names[1:]])
+        release_memory()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    out = stage(rows.mapInArrow(run, f"n_tokens long, {kinds}"), "pack-tokens")
+    with setting(docs.sparkSession, BATCH_SETTING, str(BATCH_ROWS)):
+        out = stage(rows.mapInArrow(run, f"n_tokens long, {kinds}"), "pack-tokens")
     return out, [F.col(n) for n in names]
 
 

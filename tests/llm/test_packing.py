@@ -92,3 +92,20 @@ def test_the_query_and_the_stage_cut_and_budget_by_tokens(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rows = corpus_pipeline.pack_batches(spark, docs, folder).collect()
     check(rows, lengths, op.MAX_TOKENS, op.BUCKETS, op.BATCH_TOKENS)
+
+
+def test_counting_hands_small_batches_to_workers(spark, monkeypatch):
+    """The setting holds while texts are counted, and is put back; counts do not depend on it."""
+    seen, kept = [], op.stage
+
+    def watched(df, name):
+        seen.append(df.sparkSession.conf.get(op.BATCH_SETTING))
+        return kept(df, name)
+
+    monkeypatch.setattr(op, "stage", watched)
+    monkeypatch.setattr(op, "BATCH_ROWS", 2)
+    before = spark.conf.get(op.BATCH_SETTING)
+    docs = spark.createDataFrame([(i, "some words " * i) for i in range(7)], "doc_id long, text string")
+    rows, _ = op.counted(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    assert seen == ["2"] and spark.conf.get(op.BATCH_SETTING) == before
+    assert {r["doc_id"]: r["n_tokens"] for r in rows.collect()}[0] == 1 and rows.count() == 7
