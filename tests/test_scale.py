@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from checks import queries
 from lectern.functions.text import NOT_PRINTABLE, tokens
-from lectern.operators import embed, ivf, tfidf
+from lectern.operators import embed, ivf, search, tfidf
 from lectern.plans import stages
 from lectern.sinks import tables as sink
 from lectern.sources import files
@@ -149,3 +149,38 @@ def test_centroids_are_trained_on_a_bounded_sample(spark):
     vectors = spark.range(20_000).select(F.col("id").alias("vec_id"))
     assert 1_000 < ivf.training_sample(vectors, 20_000, 20).count() < 1_700
     assert ivf.training_sample(vectors, 20_000, 200).count() == 20_000
+
+
+def test_index_ids_are_counted_per_id(spark):
+    """Vectors and metadata are joined nowhere to be compared: each side's ids are shuffled once."""
+    vectors = spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [0.0, 1.0]), (None, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    metadata = spark.createDataFrame([(1,), (3,), (3,), (None,)], "vec_id long")
+    report = search.validate(vectors, metadata, 2)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and plan.count("Aggregate [vec_id") == 1
+    row = report.first().asDict()
+    assert row == {
+        "total_vectors": 4, "wrong_dimension": 0, "not_finite": 0, "repeated_vectors": 2, "total_ids": 4, "repeated_ids": 2,
+        "without_metadata": 2, "without_vector": 3, "valid": False,
+    }
+
+
+def test_texts_of_chunks_to_embed_are_not_shuffled(spark, folder, monkeypatch):
+    """None of the chunks has its vector: their ids are compared, and the texts go straight to the encoder."""
+    corpus = stages.Corpus(folder)
+    docs = spark.createDataFrame([(f"d{i}", f"text of document {i}. " * 40) for i in range(20)], "doc_id string, text string")
+    filled = docs.selectExpr("doc_id", "doc_id AS source_path", "text", "md5(text) AS hash", "'txt' AS file_type", "timestamp'2026-01-01 00:00:00' AS ingestion_timestamp")
+    sink.write_documents(filled, corpus.documents)
+    written, write = [], sink.write_embeddings
+
+    def watched(embedded, path):
+        written.append(embedded._jdf.queryExecution().sparkPlan().toString())
+        write(embedded, path)
+
+    monkeypatch.setattr(sink, "write_embeddings", watched)
+    for size, overlap in ((512, 50), (300, 30)):
+        stages.chunk_corpus(spark, corpus, "fixed", size=size, overlap=overlap)
+        stages.embed_corpus(spark, corpus)
+    assert "BroadcastHashJoin" in written[1] and "SortMergeJoin" not in written[1]
+    ids = lambda path: {r["chunk_id"] for r in spark.read.parquet(path).select("chunk_id").collect()}
+    assert ids(corpus.embeddings) == ids(corpus.chunks)
