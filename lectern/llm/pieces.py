@@ -45,7 +45,8 @@ class Pieces:
         self.offsets = split.offsets.to_numpy()  # of each plain text, where its pieces begin
         values = split.flatten()
         coded = values.dictionary_encode()
-        self.numbers, self.names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        self.numbers = coded.indices.to_numpy()
+        self.names: list[str] = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist is slow
         # the pieces with which the texts begin stand without a space before them
         self.first = values.take(pa.array(self.offsets[:-1])).to_pylist()
 

@@ -19,15 +19,16 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lectern.llm.common import kept_in_worker, text_slices
+from lectern.llm.common import kept_in_worker, release_memory, text_slices
 from lectern.llm.pieces import Pieces, spelled
 from lectern.session import shared_dir, stage
 
 END_ID = 0
 
-# Pieces whose ids a task remembers before it forgets those not in use, and bytes of text in work at a time.
-CACHE_PIECES = 500_000
-_SLICE_BYTES = 4 << 20
+# Pieces whose ids a worker remembers, in two halves: when the younger one is full, the older one is forgotten. And bytes
+# of text in work at a time.
+CACHE_PIECES = 1_000_000
+_SLICE_BYTES = 8 << 20
 _JOINED_PIECES, _JOINED_TEXTS = 256, 64
 
 _MANIFEST = (
@@ -60,6 +61,7 @@ class _Encoder:
         self.library = Tokenizer.from_file(path)
         self.kind = np.dtype(f"<u{width}")
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         vocabulary = self.library.get_vocab()
         self.begins_blank = np.zeros(max(vocabulary.values()) + 1, bool)
         self.begins_blank[[i for token, i in vocabulary.items() if token[0] in _BLANK_LETTERS]] = True
@@ -98,8 +100,11 @@ class _Encoder:
         gathered at once."""
         pieces = Pieces(texts)
         new = set(pieces.names).difference(self.known)
-        if len(self.known) + len(new) > CACHE_PIECES:  # what this batch holds is remembered
-            self.known = {p: self.known[p] for p in pieces.names if p in self.known}
+        if again := new.intersection(self.older):
+            self.known.update((p, self.older[p]) for p in again)
+            new -= again
+        if 2 * (len(self.known) + len(new)) > CACHE_PIECES:  # what is in use comes back from the older half
+            self.older, self.known = self.known, {p: self.known[p] for p in pieces.names if p in self.known}
         self._learn(new)
         first = list(set(pieces.first).union(*pieces.odd.values()))
         starts = dict(zip(first, self._each(first), strict=True))
@@ -108,17 +113,13 @@ class _Encoder:
             begun = list(dict.fromkeys(pieces.first))
             table = [*map(self.known.__getitem__, pieces.names), *map(starts.__getitem__, begun)]
             at = {p: len(pieces.names) + i for i, p in enumerate(begun)}
-            numbers = pieces.numbers.astype(np.int64)
+            numbers = pieces.numbers.copy()
             numbers[pieces.offsets[:-1]] = [at[p] for p in pieces.first]
-            sizes = np.fromiter(map(len, table), np.int64, len(table)) // self.kind.itemsize
-            begins = np.cumsum(sizes) - sizes
-            ids = np.frombuffer(b"".join(table), self.kind)
-            counts = sizes[numbers]
-            ends = np.cumsum(counts)
-            gathered = ids[np.repeat(begins[numbers] - (ends - counts), counts) + np.arange(counts.sum())]
-            data = memoryview(gathered.tobytes())
-            cuts = np.r_[0, ends][pieces.offsets] * self.kind.itemsize
-            for i, a, b in zip(pieces.plain, cuts.tolist(), cuts[1:].tolist(), strict=False):
+            gathered = pa.array(table, pa.large_binary()).take(pa.array(numbers))
+            _, ends, data = gathered.buffers()
+            cuts = np.frombuffer(ends, np.int64)[pieces.offsets].tolist()
+            data = memoryview(data).cast("B") if data else memoryview(b"")
+            for i, a, b in zip(pieces.plain, cuts, cuts[1:], strict=False):
                 out[i] = data[a:b]
         for i, parts in pieces.odd.items():
             out[i] = b"".join(map(starts.__getitem__, parts))
@@ -187,6 +188,7 @@ def write_token_files(
         kinds = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
         names = [c.split()[0] for c in _MANIFEST.split(", ")]
         yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=names)
+        release_memory()
 
     written = stage(ordered.mapInArrow(run, _MANIFEST), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition

@@ -52,6 +52,20 @@ def test_encoder_equals_the_library(monkeypatch):
         assert encoder.encode(part) == [np.array(ids(t), "<u2").tobytes() for t in part]
 
 
+def test_pieces_in_use_are_learnt_once(monkeypatch):
+    """Op5, check of round 3: a full cache forgot all that the batch at hand did not hold."""
+    monkeypatch.setattr(token_files, "CACHE_PIECES", 40)
+    encoder, learnt = token_files._Encoder(PATH, 2), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda parts: (learnt.extend(parts), learn(parts)))
+    a, b, c = ([f"{letter}{i}" for i in range(n)] for letter, n in (("a", 10), ("b", 15), ("c", 20)))
+    for words in (a, b, a, c, a):
+        text = " ".join(["x", *words])
+        assert encoder.encode([text]) == [np.array(ids(text), "<u2").tobytes()]
+        assert len(encoder.known) + len(encoder.older) <= 40 + len(words)
+    assert sorted(learnt) == sorted([*a, *b, *c, "x"])
+
+
 def test_small_caches_change_nothing(monkeypatch):
     monkeypatch.setattr(token_counts, "CACHE_PIECES", 50)
     known = {}
