@@ -25,7 +25,7 @@ from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from lectern.llm.common import ranked
+from lectern.llm.common import ranked, release_memory
 from lectern.operators.rows import sized
 from lectern.session import shared_dir, stage
 
@@ -262,6 +262,8 @@ def _with_places(located: DataFrame, folder: str, file: str, row: str) -> tuple[
                     yield pa.RecordBatch.from_arrays(
                         [*[batch.column(i).slice(u, v - u) for i in kept], *more], names=[*columns, *names]
                     )
+        held = None
+        release_memory()
 
     return located.mapInArrow(run, T.StructType(fields)), names
 

@@ -19,11 +19,11 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lectern.llm.common import map_batches, slices_by_bytes
+from lectern.llm.common import BATCH_ROWS, BATCH_SETTING, map_batches, slices_by_bytes
 from lectern.llm.components import connected_components
 from lectern.llm.simhash import shingle_hashes
 from lectern.operators.rows import sized
-from lectern.session import stage
+from lectern.session import setting, stage
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -333,10 +333,12 @@ def one_per_group(
     their component's ids; of rows that repeat the id that stays, all stay. An empty table gives no rows.
     Further columns are carried along, whatever their names.
     """
-    rows = stage(sketches(docs, id_col, text, shingle_words), "near-sketches")
+    with setting(docs.sparkSession, BATCH_SETTING, str(BATCH_ROWS)):
+        rows = stage(sketches(docs, id_col, text, shingle_words), "near-sketches")
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     nodes = stage(nodes, "near-nodes")
-    found = similar_components(nodes, docs, id_col, text, shingle_words, similarity, **options)
+    with setting(docs.sparkSession, BATCH_SETTING, str(BATCH_ROWS)):
+        found = similar_components(nodes, docs, id_col, text, shingle_words, similarity, **options)
     labelled = nodes.select(F.col("node").alias("own"), "first_id").join(found, F.col("own") == F.col("node"), "left")
     labelled = stage(labelled.select("own", "first_id", F.coalesce("component", "own").alias("component")), "near-labels")
     smallest = stage(labelled.groupBy("component").agg(F.min("first_id").alias("component_id")), "near-smallest")

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lectern.llm.common import kept_in_worker, ranked, release_memory, text_slices
+from lectern.llm.common import BATCH_ROWS, BATCH_SETTING, kept_in_worker, ranked, release_memory, text_slices
 from lectern.llm.token_counts import BytePairs, batch_counts
 from lectern.session import setting, stage
 
@@ -21,11 +21,7 @@ MAX_TOKENS = 2048
 BUCKETS = 8
 BATCH_TOKENS = 65_536
 
-_SLICE_BYTES = 4 << 20
-
-# Rows that the JVM hands to a worker at a time while texts are counted: with Spark's 10,000, a batch of texts is held
-# several times over on both sides. Counts do not depend on it.
-BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1_000
+_SLICE_BYTES = 2 << 20
 
 
 def word_tokens(text: Column) -> Column:

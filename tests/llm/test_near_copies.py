@@ -119,3 +119,21 @@ def test_odd_rows(spark):
     ids = {r.doc_id for r in kept.collect()}
     assert 1 in ids and not ids & {2, 3, 5, 6, 8}
     assert op.one_per_group(samples.empty(spark)).count() == 0
+
+
+def test_workers_get_small_batches(spark, monkeypatch):
+    """Pipeline, check of round 3: workers that held batches of 10,000 whole texts kept the room they took."""
+    seen, stage = {}, op.stage
+
+    def watched(df, name):
+        seen[name] = df.sparkSession.conf.get(op.BATCH_SETTING)
+        return stage(df, name)
+
+    docs = samples.documents(spark)
+    want = sorted(map(str, op.one_per_group(docs).collect()))
+    monkeypatch.setattr(op, "stage", watched)
+    monkeypatch.setattr(op, "BATCH_ROWS", 2)
+    before = spark.conf.get(op.BATCH_SETTING)
+    assert sorted(map(str, op.one_per_group(docs).collect())) == want
+    assert {seen[n] for n in ("near-sketches", "near-candidates", "near-sets", "near-links")} == {"2"}
+    assert spark.conf.get(op.BATCH_SETTING) == before
