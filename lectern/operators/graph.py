@@ -25,6 +25,9 @@ ENTRIES_PER_SQRT = 1
 BEAM = 24
 STEPS = 8
 
+# Vectors whose groups of neighbours are compared in one call of a worker.
+BUCKET_CENTRES = 256
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -52,26 +55,44 @@ def _random_edges(vectors: DataFrame, degree: int) -> DataFrame:
     return edges
 
 
-def _local_joins(around: DataFrame, kind: str, degree: int) -> DataFrame:
-    """(vec_id, neighbour, distance): in every vector's group of neighbours, each one's nearest of the others."""
+def _local_joins(around: DataFrame, kind: str, degree: int, buckets: int) -> DataFrame:
+    """(vec_id, neighbour, distance): in every vector's group of neighbours, each one's nearest of the others. The
+    groups are dealt to buckets, and a call compares those of one bucket, one after the other."""
 
-    def join(group):
+    def join(table):
         import numpy as np
-        import pandas as pd
-
-        group = group.drop_duplicates("member")
-        ids, matrix = group["member"].to_numpy(), np.stack(group["embedding"].to_numpy()).astype(np.float64)
-        lengths = np.einsum("ij,ij->i", matrix, matrix)
-        square = np.maximum(lengths[:, None] + lengths[None, :] - 2.0 * matrix @ matrix.T, 0.0)
-        np.fill_diagonal(square, np.inf)
-        count = min(degree, len(ids) - 1)
-        if count < 1:
-            return pd.DataFrame({"vec_id": ids[:0], "neighbour": ids[:0], "distance": np.zeros(0)})
-        near = np.argpartition(square, count - 1, axis=1)[:, :count]
-        row = np.repeat(np.arange(len(ids)), count)
-        return pd.DataFrame({"vec_id": ids[row], "neighbour": ids[near.reshape(-1)], "distance": square[row, near.reshape(-1)]})
-
-    return around.groupBy("centre").applyInPandas(join, f"vec_id {kind}, neighbour {kind}, distance double")
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        vectors = table.column("embedding").combine_chunks()
+        if pc.count_distinct(pc.list_value_length(vectors), mode="all").as_py() != 1 or vectors.null_count:
+            raise ValueError("the vectors are not all of one length")
+        matrix = vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+        centres = table.column("centre").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        members = table.column("member").combine_chunks().dictionary_encode()
+        ids, member = members.dictionary, members.indices.to_numpy()
+        order = np.lexsort((member, centres))
+        same = (np.diff(centres[order]) == 0) & (np.diff(member[order]) == 0)
+        order = order[np.r_[True, ~same]]
+        cuts = np.r_[0, np.flatnonzero(np.diff(centres[order])) + 1, len(order)].tolist()
+        left, right, distance = [order[:0]], [order[:0]], [np.zeros(0)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            count = min(degree, b - a - 1)
+            if count < 1:
+                continue
+            own, block = member[order[a:b]], matrix[order[a:b]].astype(np.float64)
+            lengths = np.einsum("ij,ij->i", block, block)
+            square = np.maximum(lengths[:, None] + lengths[None, :] - 2.0 * block @ block.T, 0.0)
+            np.fill_diagonal(square, np.inf)
+            near = np.argpartition(square, count - 1, axis=1)[:, :count]
+            left.append(np.repeat(own, count))
+            right.append(own[near.reshape(-1)])
+            distance.append(np.take_along_axis(square, near, axis=1).reshape(-1))
+        ends = [ids.take(pa.array(np.concatenate(side))) for side in (left, right)]
+        return pa.table([*ends, pa.array(np.concatenate(distance))], names=["vec_id", "neighbour", "distance"])
+
+    dealt = around.withColumn("_bucket", F.pmod(F.xxhash64("centre"), F.lit(buckets)))
+    return dealt.groupBy("_bucket").applyInArrow(join, f"vec_id {kind}, neighbour {kind}, distance double")
 
 
 def build_graph(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS) -> Graph:
@@ -85,6 +106,7 @@ def build_graph(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS)
     kind = vectors.schema["vec_id"].dataType.simpleString()
     pairs = stage(_random_edges(vectors, degree).where("vec_id <> neighbour").distinct(), "graph-random")
     edges = pairs.withColumn("distance", F.lit(float("inf")))
+    buckets = max(1, math.ceil(vectors.count() / BUCKET_CENTRES))
     for _ in range(rounds):
         out = edges.select(F.col("vec_id").alias("centre"), F.col("neighbour").alias("member"))
         back = edges.select(F.col("neighbour").alias("centre"), F.col("vec_id").alias("member"))
@@ -92,7 +114,7 @@ def build_graph(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS)
         own = vectors.select(F.col("vec_id").alias("centre"), F.col("vec_id").alias("member"))
         members = out.unionByName(back).unionByName(own)
         around = members.join(vectors.withColumnRenamed("vec_id", "member"), "member")
-        offered = _local_joins(around, kind, degree)
+        offered = _local_joins(around, kind, degree, buckets)
         known = edges.where(F.col("distance") < float("inf"))
         best = offered.unionByName(known.select("vec_id", "neighbour", "distance"))
         best = best.groupBy("vec_id", "neighbour").agg(F.min("distance").alias("distance"))
