@@ -28,47 +28,107 @@ PLAIN_TEXT = r"\A[\x00-\u012f\u0131-\u024f]*\z"
 # Marks the joined tokens of such a text; no plain text has this character.
 CUT = "\uffff"
 
-# Tokens whose bucket a worker remembers, and the longest of them, in characters.
-KNOWN_TOKENS, KNOWN_LENGTH = 200_000, 64
+# Tokens whose bucket a worker remembers: those of texts cut by the JVM, those of plain texts, and the longest of
+# them, in characters.
+KNOWN_TOKENS, MET_TOKENS, KNOWN_LENGTH = 200_000, 500_000, 64
+
+# Characters that a worker cuts at once; a longer text is cut by itself.
+SLICE_CHARS = 1 << 21
+
+_MET: dict = {}
+
+
+def _met(dim: int) -> list:
+    """[tokens, their buckets] that this worker has met in plain texts; kept from task to task, and never empty."""
+    import numpy as np
+
+    return _MET.setdefault(dim, [pa.array([b""], pa.large_binary()), np.zeros(1, np.int64)])
 
 
 def _counter(dim: int):
-    """Arrow arrays of texts, or of marked lists of their tokens, to arrays of counts per bucket."""
+    """Arrow arrays of texts, or of marked lists of their tokens, to arrays of counts per bucket.
+
+    Plain texts are cut together, as arrays of character codes, and their tokens are looked up together, among
+    those met before; only the others are hashed one by one.
+    """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import hashlib
         import re
 
         import numpy as np
+        import pyarrow.compute as pc
 
-        find, known = re.compile(r"\w+").findall, {}
-        ascii_table = {i: c.lower() if (c := chr(i)).isalnum() or c == "_" else " " for i in range(128)}
+        known, met = {}, _met(dim)
+        lowered = np.zeros(0x250, np.uint16)  # of a character of a plain text that belongs to tokens; 0 for the others
+        for code in range(len(lowered)):
+            if len(low := chr(code).lower()) == 1 and re.match(r"\w", low):
+                lowered[code] = ord(low)
 
-        def words_of(text: str) -> list:
-            if text.isascii():
-                return text.translate(ascii_table).split()
-            return text[1:].split(" ") if text[0] == CUT and len(text) > 1 else find(text.lower())
+        def hashed(token: str) -> int:
+            return int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % dim
 
         def bucket(token: str) -> int:
-            number = int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % dim
+            number = hashed(token)
             if len(token) <= KNOWN_LENGTH:
                 if len(known) >= KNOWN_TOKENS:
                     known.clear()
                 known[token] = number
             return number
 
+        def found(words: pa.Array) -> np.ndarray:
+            """The buckets of UTF-16 tokens."""
+            tokens_met, buckets = met
+            at = pc.index_in(words, value_set=tokens_met)
+            numbers = buckets[at.fill_null(0).to_numpy()]
+            if at.null_count:
+                other = words.filter(at.is_null()).dictionary_encode()
+                fresh = other.dictionary
+                their = np.array([hashed(token.decode("utf-16-le")) for token in fresh.to_pylist()], np.int64)
+                numbers[at.is_null().to_numpy(zero_copy_only=False)] = their[other.indices.to_numpy()]
+                if len(tokens_met) + len(fresh) > MET_TOKENS:  # those that occur here stay
+                    used = np.union1d([0], at.drop_null().to_numpy())[:MET_TOKENS]
+                    tokens_met, buckets = tokens_met.take(pa.array(used)), buckets[used]
+                room = np.arange(len(fresh)) < MET_TOKENS - len(tokens_met)
+                short = room & (pc.binary_length(fresh).to_numpy() <= 2 * KNOWN_LENGTH)
+                kept = pa.concat_arrays([tokens_met, fresh.filter(pa.array(short))])
+                met[:] = kept, np.concatenate([buckets, their[short]])
+            return numbers
+
+        def slices(texts: list) -> Iterator[list]:
+            part, held = [], 0
+            for text in texts:
+                if part and held + len(text) > SLICE_CHARS:
+                    yield part
+                    part, held = [], 0
+                part.append(text)
+                held += len(text)
+            if part:
+                yield part
+
+        def counted(part: list) -> np.ndarray:
+            plain = ["" if text.startswith(CUT) else text for text in part]
+            low = lowered[np.frombuffer("\n".join(["", *plain, ""]).encode("utf-16-le"), np.uint16)]
+            inside = low != 0
+            edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+            starts, ends = edges[::2], edges[1::2]
+            behind = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)) + 1)  # where each text ends
+            row = np.repeat(np.arange(len(part)), np.diff(np.searchsorted(starts, behind), prepend=0))
+            offsets = 2 * np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+            buffers = [None, pa.py_buffer(offsets), pa.py_buffer(low[inside])]
+            words = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers)
+            counts = np.bincount(row * dim + found(words), minlength=len(part) * dim)
+            for at, text in enumerate(part):
+                if text.startswith(CUT) and len(text) > 1:
+                    for token in text[1:].split(" "):
+                        number = known.get(token)
+                        counts[at * dim + (bucket(token) if number is None else number)] += 1
+            return counts.astype(np.float32)
+
         for texts in batches:
-            flat, sizes = [], []
-            for text in texts.to_pylist():
-                words = words_of(text)
-                sizes.append(len(words))
-                for word in words:
-                    number = known.get(word)
-                    flat.append(bucket(word) if number is None else number)
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            counts = np.bincount(row * dim + np.array(flat, np.int64), minlength=len(sizes) * dim)
+            counts = np.concatenate([np.empty(0, np.float32), *map(counted, slices(texts.to_pylist()))])
             starts = np.arange(0, len(counts) + 1, dim, dtype=np.int32)
-            yield pa.ListArray.from_arrays(pa.array(starts), pa.array(counts.astype(np.float32)))
+            yield pa.ListArray.from_arrays(pa.array(starts), pa.array(counts))
 
     return run
 
@@ -81,7 +141,8 @@ def embed_hashed(df: DataFrame, text: str = "chunk_text", vector: str = "embeddi
     """
     count = F.arrow_udf(_counter(dim), "array<float>")
     given = F.coalesce(text, F.lit(""))
-    sent = F.when(given.rlike(PLAIN_TEXT), given).otherwise(F.concat(F.lit(CUT), F.array_join(tokens(given), " ")))
+    plain = (F.octet_length(given) == F.char_length(given)) | given.rlike(PLAIN_TEXT)  # ASCII is seen without a pattern
+    sent = F.when(plain, given).otherwise(F.concat(F.lit(CUT), F.array_join(tokens(given), " ")))
     none = F.array().cast("array<float>")
     return df.select("*", F.when(F.col(text).isNotNull(), count(sent)).otherwise(none).alias(vector))
 

@@ -3,8 +3,11 @@
 import hashlib
 import math
 import os
+import re
 from collections import Counter
 
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from checks import queries
@@ -64,6 +67,33 @@ def test_encoder_counts_in_workers_and_is_pruned(spark):
     assert "Python" not in embedded.select("id")._jdf.queryExecution().executedPlan().toString()
 
 
+def _counts_in_this_process(texts: list, dim: int, rows: int) -> list:
+    batches = [pa.array(texts[i : i + rows], pa.string()) for i in range(0, len(texts), rows)]
+    return [r for counts in embed._counter(dim)(iter(batches)) for r in counts.to_pylist()]
+
+
+def test_encoder_hashes_a_token_once_in_a_worker(monkeypatch):
+    """Not once in every task: a second task of the same worker meets known tokens."""
+    texts, hashed, md5 = [f"Otter{n % 50} Été swims, otter{n % 7}." for n in range(300)], [], hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda token: hashed.append(token) or md5(token))
+    first = _counts_in_this_process(texts, 11, 100)
+    assert len(hashed) == len(set(hashed)) == 52
+    assert _counts_in_this_process(texts, 11, 30) == first and len(hashed) == 52
+
+
+@pytest.mark.parametrize("size, held", [(1, 2), (40, 5), (1 << 21, 1), (300, 1000)])
+def test_encoder_slices_and_forgets_without_a_change(monkeypatch, size, held):
+    monkeypatch.setattr(embed, "SLICE_CHARS", size)
+    monkeypatch.setattr(embed, "MET_TOKENS", held)
+    monkeypatch.setattr(embed, "KNOWN_TOKENS", 3)
+    monkeypatch.setattr(embed, "_MET", {})
+    texts = [f"a{n} b{n % 3} _é{n % 5}! É_" for n in range(60)] + ["", " . ", "x" * 200, "x" * 200, "\uffff", "\uffffx 日本 x"]
+    expected = [_plain_counts((t[1:] if t[:1] == "\uffff" else re.sub(r"\W", " ", t.lower())).split(), 13) for t in texts]
+    assert _counts_in_this_process(texts, 13, 25) == expected
+    assert len(embed._MET[13][0]) == len(embed._MET[13][1]) <= max(held, 1)
+    assert _counts_in_this_process([], 13, 1) == []
+
+
 def _cosines(units, questions, keys):
     """Brute force: idf over rows, one vector per key, all pairs."""
     n = len(units)
