@@ -33,6 +33,37 @@ def test_raw_files_lie_in_a_folder_per_source(spark, tmp_path):
     assert sorted(r["text"] for r in texts) == sorted({t for *_, t in rows})
 
 
+def test_raw_files_are_the_same_when_a_task_runs_again(spark, tmp_path):
+    """Named by task and row, one per row, whatever the text and the source are; nothing unfinished stays."""
+    rows = [(i, "en", s, t) for i, (s, t) in enumerate([("a", "x"), ("a", "x"), ("b/c %", "é\n"), ("", "y"), (None, None), ("a", None)])]
+    _documents(spark, str(tmp_path), rows)
+    found = []
+    for root in (f"{tmp_path}/raw", f"file://{tmp_path}/raw"):
+        queries._write_raw(spark, str(tmp_path), root)
+        paths = [os.path.join(folder, n) for folder, _, names in os.walk(tmp_path / "raw") for n in names]
+        found.append({path: open(path, "rb").read() for path in paths})
+    assert found[0] == found[1] and all(path.endswith(".txt") and "/.." not in path and "/.0" not in path for path in found[0])
+    assert sorted(found[0].values()) == sorted(f"{t or ''}\n".encode() for *_, t in rows)
+    texts = queries.ingest_files(spark, str(tmp_path)).select("text").collect()
+    assert sorted(r["text"] for r in texts) == ["", "x", "y", "é"]
+
+
+def test_ingestion_lists_its_files_once(spark, tmp_path, monkeypatch):
+    for name in ("a.txt", "b.MD", "c.d/e.log", "c.d/f.PDF", "g.csv", "h.pdf.txt", "i%20 j.pdf", "_k.txt"):
+        (tmp_path / "raw" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "raw" / name).write_text(f"text of {name}")
+    listed, listing = [], files._listing
+    monkeypatch.setattr(files, "_listing", lambda *a, **b: listed.append(a) or listing(*a, **b))
+    corpus, before = stages.Corpus(str(tmp_path / "corpus")), spark.conf.get(files.OPEN_COST)
+    stages.ingest(spark, str(tmp_path / "raw"), corpus, lambda content: [content.decode().upper()])
+    texts = {r["text"] for r in spark.read.parquet(corpus.documents).collect()}
+    assert len(listed) == 1 and spark.conf.get(files.OPEN_COST) == before
+    assert texts == {f"text of {n}" for n in ("a.txt", "b.MD", "c.d/e.log", "h.pdf.txt")} | {"TEXT OF C.D/F.PDF", "TEXT OF I%20 J.PDF"}
+    text, paged = files.scan_kinds(spark, str(tmp_path / "raw"), files.TEXT_TYPES, files.PAGED_TYPES)
+    plan = paged._jdf.queryExecution().executedPlan().toString()
+    assert paged.count() == 2 and text.count() == 4 and "file_name" in plan
+
+
 def test_many_scan_partitions_are_packed(spark):
     scan = spark.range(0, 100, 1, 50)
     packed = files._packed(scan, tasks=5, packed=4)
