@@ -65,9 +65,7 @@ def deliver(
         sink.write_documents(incoming, target.documents, resume=False)
         stages.chunk_corpus(spark, target, strategy, **options)
     else:
-        documents, chunks = stages.changed_tables(spark, Corpus(root, last), incoming, strategy, in_place=False, **options)
-        sink.write_documents(documents, target.documents, resume=False)
-        sink.replace_chunks(chunks, target.chunks)
+        stages.write_changed(spark, Corpus(root, last), incoming, target.documents, target.chunks, strategy, **options)
     stages.embed_corpus(spark, target, model_name, keep_orphans=True)
     counts = [spark.read.parquet(p).count() for p in (target.documents, target.chunks)]
     _commit(spark, target, (target.version, last, model_name, strategy, *counts, time.time()))
