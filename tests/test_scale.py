@@ -64,6 +64,27 @@ def test_ingestion_lists_its_files_once(spark, tmp_path, monkeypatch):
     assert paged.count() == 2 and text.count() == 4 and "file_name" in plan
 
 
+def test_folders_are_ingested_in_groups_of_bounded_lists(spark, tmp_path, monkeypatch):
+    """All files, in folders of folders too, and none of a folder that scans leave out."""
+    names = [f"{f}/{n}.txt" for f in ("a", "b/x", "b/y=1", "b/z", "_c=1") for n in range(4)]
+    for name in [*names, "_hidden/1.txt", ".hidden/1.txt", "b/_hidden/1.txt", "b/z/_1.txt"]:
+        (tmp_path / "raw" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "raw" / name).write_text(f"text of {name}")
+    listed, listing = [], files._listing
+    monkeypatch.setattr(files, "_listing", lambda *a, **b: listed.append(a[1]) or listing(*a, **b))
+    monkeypatch.setattr(files.parts, "__defaults__", (8,))
+    for number, root in enumerate((f"{tmp_path}/raw", f"file://{tmp_path}/raw/")):
+        corpus = stages.Corpus(f"{tmp_path}/corpus{number}")
+        row = stages.ingest(spark, root, corpus).first()
+        assert row["documents_processed"] == 20 and row["parse_failures"] == 0
+        stored = spark.read.parquet(corpus.documents).collect()
+        assert {r["text"] for r in stored} == {f"text of {name}" for name in names}
+        assert {r["source_path"] for r in stored} == {f"file:{tmp_path}/raw/{name}" for name in names}
+    assert len(listed) == 6 and {len(folders) for folders in listed} == {1, 2}
+    assert files.parts(spark, f"{tmp_path}/raw/*", 1) == [[f"{tmp_path}/raw/*"]]
+    assert files.parts(spark, f"{tmp_path}/raw/a", 1) == [[f"{tmp_path}/raw/a"]]
+
+
 def test_many_scan_partitions_are_packed(spark):
     scan = spark.range(0, 100, 1, 50)
     packed = files._packed(scan, tasks=5, packed=4)
